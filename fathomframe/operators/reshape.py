@@ -4,55 +4,91 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomframe.functions.columns import columns_with_prefix, row_total
 from fathomframe.operators.joins import hinted, join_on
 
-_BLOCK, _RIGHT, _SEEN, _ALL = "__block", "__right", "__seen", "__all"
+_BLOCK, _SHARE, _CELLS, _ALL, _ONE = "__block", "__share", "__cells", "__all", "__one"
+RIGHT_BLOCKS = 32
 
 
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def unobserved_pairs(df: DataFrame, left: Sequence[str], right: Sequence[str],
-                     carry: DataFrame | None = None, carry_how: str = "inner",
-                     right_blocks: int = 32) -> DataFrame:
-    """Every observed ``left`` tuple with every observed ``right`` tuple it
-    does not occur with.  NULL counts as a value.
+def packed_cells(cells: DataFrame, left: Sequence[str], right: Sequence[str],
+                 blocks: int = RIGHT_BLOCKS) -> DataFrame:
+    """``left`` columns and one struct per cell, partitioned by ``left``.
 
-    Only distinct observed pairs are shuffled.  The right tuples are hashed
-    into blocks; a left tuple meets a block as one row carrying the tuples it
-    has already seen there, so the difference and the expansion to dense rows
-    happen after the last shuffle and the dense rows themselves never move.
+    ``cells`` holds each (left, right) pair once, so a partition key has at
+    most as many rows as there are ``right`` tuples, however many raw rows it
+    has.  The struct names the block its tuple is hashed to.  The partition
+    count is explicit: these partitions are small now but grow to the dense
+    result, so they must not be merged by size.  All later steps read this one
+    exchange.
     """
-    left, right = list(left), list(right)
-    pairs = df.select(*left, *right).distinct()
-    block = F.pmod(F.xxhash64(*right), F.lit(right_blocks)).cast("int")
-    packed = pairs.select(*left, block.alias(_BLOCK), F.struct(*right).alias(_RIGHT))
-
-    every_block = F.explode(F.sequence(F.lit(0), F.lit(right_blocks - 1))).alias(_BLOCK)
-    nothing = F.lit(None).cast(packed.schema[_RIGHT].dataType).alias(_RIGHT)
-    grid = pairs.select(*left).distinct().select(*left, every_block, nothing)
-
-    # An explicit partition count: these partitions are small now but grow to
-    # the dense result, so they must not be merged by size.
-    seen = (packed.unionByName(grid)
-            .repartition(shuffle_partitions(df), *left)
-            .groupBy(*left, _BLOCK)
-            .agg(F.collect_list(_RIGHT).alias(_SEEN)))
-    if carry is not None:
-        seen = join_on(seen, carry, left, carry_how, null_safe=())
+    values = [c for c in cells.columns if c not in left and c not in right]
+    block = F.pmod(F.xxhash64(*right), F.lit(blocks)).cast("int")
+    return (cells.select(*left, F.struct(block.alias(_BLOCK), *right, *values).alias(_ONE))
+            .repartition(shuffle_partitions(cells), *left))
+
+
+def cells_by_left(packed: DataFrame, left: Sequence[str]) -> DataFrame:
+    """One row per ``left`` tuple with the array of its cells."""
+    return packed.groupBy(*left).agg(F.collect_list(_ONE).alias(_CELLS))
+
+
+def no_cells() -> Column:
+    """True for a left row that came from elsewhere and has no cells at all."""
+    return F.col(_CELLS).isNull()
+
+
+def right_tuples(packed: DataFrame, right: Sequence[str]) -> DataFrame:
+    """The distinct ``right`` tuples that occur in any cell."""
+    return packed.select(*[F.col(f"{_ONE}.{c}").alias(c) for c in right]).distinct()
+
+
+def expand_cells(by_left: DataFrame, left: Sequence[str], tuples: DataFrame,
+                 right: Sequence[str], values: Sequence[str] | None = None,
+                 blocks: int = RIGHT_BLOCKS) -> DataFrame:
+    """Rows for the ``right`` tuples each left row lacks.
 
-    blocks = (pairs.select(*right).distinct()
-              .groupBy(block.alias(_BLOCK))
-              .agg(F.collect_list(F.struct(*right)).alias(_ALL)))
-    dense = seen.join(blocks, _BLOCK).withColumn(
-        _RIGHT, F.explode(F.array_except(_ALL, _SEEN)))
-    extra = [] if carry is None else [c for c in carry.columns if c not in left]
-    return dense.select(*left, *[F.col(f"{_RIGHT}.{c}").alias(c) for c in right], *extra)
+    With ``values`` the cells it has are returned as well, and new cells carry
+    NULL values.  A left row meets the tuples block by block through an equi
+    join, after its cells are reduced to that block.  The difference and the
+    expansion come after the last shuffle; dense rows never move.
+    """
+    right = list(right)
+    others = [c for c in by_left.columns if c != _CELLS]
+    kinds = by_left.schema[_CELLS].dataType.elementType
+    empty = [F.lit(None).cast(kinds[v].dataType).alias(v) for v in values or ()]
+    # Few blocks would mean few join keys: spread each over several shares of
+    # the left rows, as many as the cluster has partitions for.
+    shares = max(1, -(-shuffle_partitions(by_left) // blocks))
+
+    block = F.pmod(F.xxhash64(*right), F.lit(blocks)).cast("int")
+    listed = (tuples.groupBy(block.alias(_BLOCK))
+              .agg(F.collect_list(F.struct(*right, *empty)).alias(_ALL))
+              .withColumn(_SHARE, F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))))
+    own = F.filter(F.col(_CELLS), lambda c: c[_BLOCK] == F.col(_BLOCK))
+    per_block = (by_left
+                 .withColumn(_SHARE, F.pmod(F.xxhash64(*left), F.lit(shares)).cast("int"))
+                 .withColumn(_BLOCK, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+                 .select(*others, _BLOCK, _SHARE, own.alias(_CELLS)))
+
+    def blank(c):
+        return F.struct(*[c[k].alias(k) for k in right], *empty)
+
+    out = F.when(F.col(_CELLS).isNull(), F.col(_ALL)).otherwise(
+        F.array_except(_ALL, F.transform(_CELLS, blank)))
+    fields = [*right, *(values or ())]
+    if values is not None:
+        out = F.concat(out, F.transform(
+            _CELLS, lambda c: F.struct(*[c[k].alias(k) for k in fields])))
+    dense = per_block.join(listed, [_BLOCK, _SHARE]).select(*others, F.explode(out).alias(_ONE))
+    return dense.select(*others, *[F.col(f"{_ONE}.{c}").alias(c) for c in fields])
 
 
 def fill_missing(df: DataFrame, fill: Mapping[str, object]) -> DataFrame:
@@ -61,22 +97,40 @@ def fill_missing(df: DataFrame, fill: Mapping[str, object]) -> DataFrame:
         for c, v in fill.items()})
 
 
+def complete_cells(cells: DataFrame, left: Sequence[str], right: Sequence[str],
+                   fill: Mapping[str, object] | None = None,
+                   carry: DataFrame | None = None, carry_how: str = "inner",
+                   blocks: int = RIGHT_BLOCKS) -> DataFrame:
+    """Complete a table that holds each (left, right) pair once.
+
+    The table is read once and its rows travel inside the array of their left
+    tuple.  ``carry`` (keyed by ``left``) is joined there too, that is once
+    per left tuple and not once per dense row.
+    """
+    left, right = list(left), list(right)
+    values = [c for c in cells.columns if c not in left and c not in right]
+    packed = packed_cells(cells, left, right, blocks)
+    by_left = cells_by_left(packed, left)
+    if carry is not None:
+        by_left = join_on(by_left, hinted(carry), left, carry_how, null_safe=())
+    out = expand_cells(by_left, left, right_tuples(packed, right), right, values, blocks)
+    return fill_missing(out, fill) if fill else out
+
+
 def complete(df: DataFrame, left: Sequence[str], right: Sequence[str],
              fill: Mapping[str, object] | None = None,
-             carry: DataFrame | None = None, carry_how: str = "inner",
-             right_blocks: int = 32) -> DataFrame:
-    """All rows of ``df`` plus one row for each missing combination.
+             blocks: int = RIGHT_BLOCKS) -> DataFrame:
+    """All rows of ``df`` plus one row for each missing combination of
+    observed ``left`` and observed ``right`` tuples; NULL counts as a value.
 
-    ``fill`` replaces missing values, those already in ``df`` included.
-    ``carry`` is a table keyed by ``left`` whose columns are added to observed
-    and new rows alike, before the expansion.
+    Rows of ``df`` are not shuffled, only their distinct pairs.  ``fill``
+    replaces missing values, those already in ``df`` included.
     """
-    base = df
-    if carry is not None:
-        carry = hinted(carry)
-        base = join_on(df, carry, left, carry_how, null_safe=())
-    missing = unobserved_pairs(df, left, right, carry, carry_how, right_blocks)
-    out = base.unionByName(missing, allowMissingColumns=True).select(*base.columns)
+    left, right = list(left), list(right)
+    packed = packed_cells(df.select(*left, *right).distinct(), left, right, blocks)
+    missing = expand_cells(cells_by_left(packed, left), left, right_tuples(packed, right),
+                           right, None, blocks)
+    out = df.unionByName(missing, allowMissingColumns=True)
     return fill_missing(out, fill) if fill else out
 
 

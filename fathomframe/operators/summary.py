@@ -16,18 +16,28 @@ def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
         .otherwise(F.lit(0)).cast("long")
 
 
+def _values(df: DataFrame, column: str) -> DataFrame:
+    return df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
+
+
+def _one_row(df: DataFrame, *names: str) -> Column:
+    """A one-row table as one struct value, for use in another table."""
+    return df.select(F.struct(*names)).scalar()
+
+
 def histogram_density(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """Count and density per bin of equal width between minimum and maximum."""
-    x = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    x = _values(df, column)
     ends = x.agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("n"))
-    low, high, n = (ends.select(c).scalar() for c in ("low", "high", "n"))
-    width = (high - low) / F.lit(float(bins))
-    counted = x.groupBy(_bin(F.col("v"), low, high, bins).alias("bin")).agg(
-        F.count(F.lit(1)).alias("n"))
+    spread = x.select("v", _one_row(ends, "low", "high", "n").alias("e"))
+    counted = (spread.groupBy("e", _bin(F.col("v"), F.col("e.low"), F.col("e.high"), bins)
+                              .alias("bin"))
+               .agg(F.count(F.lit(1)).alias("n")))
+    width = (F.col("e.high") - F.col("e.low")) / F.lit(float(bins))
     return counted.select(
-        "bin", (low + F.col("bin") * width).alias("bin_start"),
-        (low + (F.col("bin") + 1) * width).alias("bin_end"),
-        F.col("n"), F.try_divide(F.col("n"), n * width).alias("density"))
+        "bin", (F.col("e.low") + F.col("bin") * width).alias("bin_start"),
+        (F.col("e.low") + (F.col("bin") + 1) * width).alias("bin_end"),
+        F.col("n"), F.try_divide(F.col("n"), F.col("e.n") * width).alias("density"))
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> DataFrame:
@@ -37,12 +47,11 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> DataF
     are counted first, a fixed number of bins locates the wanted ranks, and
     only the few bins that hold one are ordered.
     """
-    counts = (df.select(F.col(column).cast("double").alias("v"))
-              .filter(F.col("v").isNotNull())
-              .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
+    counts = _values(df, column).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
     ends = counts.agg(F.min("v").alias("low"), F.max("v").alias("high"))
-    low, high = (ends.select(c).scalar() for c in ("low", "high"))
-    binned = counts.withColumn("bin", _bin(F.col("v"), low, high, _BINS))
+    spread = counts.select("v", "c", _one_row(ends, "low", "high").alias("e"))
+    binned = spread.withColumn(
+        "bin", _bin(F.col("v"), F.col("e.low"), F.col("e.high"), _BINS))
 
     # At most _BINS rows from here on, so one window task is enough.
     before = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
@@ -52,53 +61,50 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> DataF
               .select("bin", "c",
                       F.coalesce(F.sum("c").over(before), F.lit(0)).alias("before"),
                       F.sum("c").over(whole).alias("n")))
-    ranks = []
-    for p in probs:
-        h = (F.col("n") - 1) * F.lit(float(p))
-        ranks += [F.floor(h), F.ceil(h)]
-    holds = F.exists(F.array(*ranks), lambda r: (r >= F.col("before"))
-                     & (r < F.col("before") + F.col("c")))
-    wanted = totals.filter(holds).select("bin", "before", "n")
+    position = [(F.col("n") - 1) * F.lit(float(p)) for p in probs]
+    ranks = F.array(*[f(h) for h in position for f in (F.floor, F.ceil)])
+    wanted = totals.filter(F.exists(ranks, lambda r: (r >= F.col("before"))
+                                    & (r < F.col("before") + F.col("c"))))
 
     inside = Window.partitionBy("bin").orderBy("v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    placed = (binned.join(F.broadcast(wanted), "bin")
+    placed = (binned.join(F.broadcast(wanted.select("bin", "before", "n")), "bin")
               .withColumn("end", F.col("before") + F.sum("c").over(inside))
               .withColumn("start", F.col("end") - F.col("c")))
 
     def at(rank: Column) -> Column:
         return F.max(F.when((rank >= F.col("start")) & (rank < F.col("end")), F.col("v")))
 
-    out = [F.max("n").alias("n"), low.alias("min")]
-    for i, p in enumerate(probs):
-        h = (F.col("n") - 1) * F.lit(float(p))
-        share = F.max(h - F.floor(h))
+    out = [F.max("n").alias("n"), F.max("e.low").alias("min")]
+    for i, h in enumerate(position):
         lower, upper = at(F.floor(h)), at(F.ceil(h))
-        out.append((lower + (upper - lower) * share).alias(f"q{i}"))
-    return placed.agg(*out, high.alias("max"))
+        out.append((lower + (upper - lower) * F.max(h - F.floor(h))).alias(f"q{i}"))
+    return placed.agg(*out, F.max("e.high").alias("max"))
+
+
+_QUARTILES = (0.25, 0.5, 0.75)
 
 
 def summary_stats(df: DataFrame, column: str) -> DataFrame:
     """Minimum, quartiles, mean, maximum and number of missing values."""
     plain = df.agg(F.avg(column).alias("mean"),
                    F.sum(F.col(column).isNull().cast("long")).alias("missing"))
-    mean, missing = (plain.select(c).scalar() for c in ("mean", "missing"))
-    q = exact_quantiles(df, column, (0.25, 0.5, 0.75))
+    q = exact_quantiles(df, column, _QUARTILES).select(
+        "*", _one_row(plain, "mean", "missing").alias("p"))
     return q.select("min", F.col("q0").alias("q1"), F.col("q1").alias("median"),
-                    mean.alias("mean"), F.col("q2").alias("q3"), "max",
-                    missing.alias("missing"))
+                    F.col("p.mean").alias("mean"), F.col("q2").alias("q3"), "max",
+                    F.col("p.missing").alias("missing"))
 
 
 def box_stats(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
     """Quartiles, whisker ends (last value within ``reach`` box heights) and
     the number of values beyond them."""
-    q = exact_quantiles(df, column, (0.25, 0.5, 0.75)).select(
-        F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
-    q1, median, q3 = (q.select(c).scalar() for c in ("q1", "median", "q3"))
-    x = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    lowest, highest = q1 - reach * (q3 - q1), q3 + reach * (q3 - q1)
-    inside = (F.col("v") >= lowest) & (F.col("v") <= highest)
-    return x.agg(q1.alias("q1"), median.alias("median"), q3.alias("q3"),
+    box = exact_quantiles(df, column, _QUARTILES)
+    x = _values(df, column).select("v", _one_row(box, "q0", "q1", "q2").alias("q"))
+    height = reach * (F.col("q.q2") - F.col("q.q0"))
+    inside = F.col("v").between(F.col("q.q0") - height, F.col("q.q2") + height)
+    return x.agg(F.max("q.q0").alias("q1"), F.max("q.q1").alias("median"),
+                 F.max("q.q2").alias("q3"),
                  F.min(F.when(inside, F.col("v"))).alias("lower_whisker"),
                  F.max(F.when(inside, F.col("v"))).alias("upper_whisker"),
                  F.sum((~inside).cast("long")).alias("outliers"))

@@ -12,8 +12,10 @@ from fathomframe.functions.columns import (
 from fathomframe.operators.aggregates import best_ranked, geometric_mean
 from fathomframe.operators.filters import exclude_values, positive
 from fathomframe.operators.joins import (
-    anti_join, attach_metadata, hinted, join_on, keep_all_samples, lookup_join)
-from fathomframe.operators.reshape import complete, fill_missing, unobserved_pairs, uncount
+    anti_join, attach_metadata, hinted, join_on, lookup_join)
+from fathomframe.operators.reshape import (
+    cells_by_left, complete_cells, expand_cells, fill_missing, no_cells, packed_cells,
+    right_tuples, uncount)
 
 
 def complete_maxn(maxn: DataFrame, metadata: DataFrame,
@@ -27,7 +29,8 @@ def complete_maxn(maxn: DataFrame, metadata: DataFrame,
     key = [key] if isinstance(key, str) else list(key)
     summed = maxn.groupBy(*key, *TAXON).agg(
         F.sum(F.coalesce(F.col("maxn").cast("double"), F.lit(0.0))).alias("maxn"))
-    filled = complete(summed, key, TAXON, fill={"maxn": 0.0}, carry=metadata.drop("id"))
+    filled = complete_cells(summed, key, TAXON, fill={"maxn": 0.0},
+                            carry=metadata.drop("id"))
     named = exclude_values(filled, "family", ["Unknown"], keep_missing=False)
     return named.withColumns({"scientific": scientific_name(), "id": sample_id()})
 
@@ -42,13 +45,19 @@ def complete_length(length: DataFrame, metadata: DataFrame) -> DataFrame:
     metadata = hinted(metadata.drop("id"))
     known = exclude_values(length, "family", ["Unknown"], keep_missing=False).select(
         *SAMPLE, *TAXON, F.col("length").cast("double").alias("length"), "number", "range")
-    pairs = known.select(*SAMPLE, *TAXON).distinct()
-    empty = join_on(metadata, pairs.select(*SAMPLE).distinct(), SAMPLE, "left_anti",
-                    null_safe=())
     observed = join_on(known, metadata, SAMPLE, "inner", null_safe=())
-    observed = observed.unionByName(empty, allowMissingColumns=True)
-    missing = unobserved_pairs(keep_all_samples(pairs, metadata), SAMPLE, TAXON,
-                               carry=metadata)
+
+    # From the packed pairs on there is one row per sample, so a right join
+    # meets no hot key.
+    pairs = join_on(known.select(*SAMPLE, *TAXON).distinct(), metadata.select(*SAMPLE), SAMPLE,
+                    "left_semi", null_safe=())
+    packed = packed_cells(pairs, SAMPLE, TAXON)
+    seen = cells_by_left(packed, SAMPLE)
+    samples = join_on(seen, metadata, SAMPLE, "right", null_safe=())
+    no_taxon = (samples.filter(no_cells())
+                .select(*[F.lit(None).cast("string").alias(t) for t in TAXON]).distinct())
+    taxa = right_tuples(packed, TAXON).unionByName(no_taxon)
+    missing = expand_cells(samples, SAMPLE, taxa, TAXON)
     filled = observed.unionByName(missing, allowMissingColumns=True)
     return fill_missing(filled, {"number": 0}).withColumn("id", sample_id())
 

@@ -58,6 +58,6 @@ def complete_count(count: DataFrame, metadata: DataFrame,
     """Zero counts for each class a taxon was not counted in, plus the factors."""
     keys = [c for c in ("project", *SAMPLE, *TAXON) if c in count.columns]
     numeric = count.select(*keys, within, to_numeric("count").alias("count"))
-    filled = complete(numeric, keys, [within], fill={"count": 0}, right_blocks=1)
+    filled = complete(numeric, keys, [within], fill={"count": 0}, blocks=1)
     join_keys = [c for c in ("project", *SAMPLE) if c in count.columns and c in metadata.columns]
     return attach_metadata(filled, metadata, "left", join_keys)

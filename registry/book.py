@@ -31,7 +31,8 @@ def query(name: str, sql: str | None = None, extra: dict[str, str] | None = None
     return register
 
 
-def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Round all doubles: sums of doubles depend on the order of the rows."""
-    return df.withColumns({f.name: F.round(f.name, digits) for f in df.schema
-                           if isinstance(f.dataType, T.DoubleType)})
+def rounded(df: DataFrame, *columns: str, digits: int = DIGITS) -> DataFrame:
+    """Round the columns whose last digits depend on the order of the rows or
+    on the mathematical library (all doubles unless named)."""
+    names = columns or [f.name for f in df.schema if isinstance(f.dataType, T.DoubleType)]
+    return df.withColumns({n: F.round(n, digits) for n in names})

@@ -106,10 +106,10 @@ def _(r):
 
 
 @query("na_tokens", """SELECT family, nullif(genus, 'NA') AS genus, species,
-      nullif(length, '') AS length, number, campaignid, sample, round(range, 4) AS range
+      nullif(length, '') AS length, number, campaignid, sample, range
     FROM length_raw""")
 def _(r):
-    return rounded(C.null_tokens(r.length_raw(), ["", " ", "NA"]))
+    return C.null_tokens(r.length_raw(), ["", " ", "NA"])
 
 
 @query("clean_names", """SELECT s_suppkey AS sample_no, s_name AS done_dd_mm_yy_,
@@ -221,7 +221,7 @@ def _(r):
     return rename_by_map(h, BROAD_NAMES, C.SAMPLE)
 
 
-_LEN = "campaignid, sample, family, genus, species, length, number, round(range, 4) AS range"
+_LEN = "campaignid, sample, family, genus, species, length, number, range"
 
 
 @query("successful_filter", """SELECT * FROM metadata
@@ -232,28 +232,28 @@ def _(r):
 
 @query("drop_sync_points", f"SELECT {_LEN} FROM length_role WHERE number IS NOT NULL")
 def _(r):
-    return rounded(flt.drop_sync_points(r.length()).drop("legal_sublegal"))
+    return flt.drop_sync_points(r.length()).drop("legal_sublegal")
 
 
 @query("three_d_points", f"""SELECT {_LEN} FROM length_role
     WHERE length IS NULL AND number IS NOT NULL""")
 def _(r):
-    return rounded(flt.three_d_points(r.length()).drop("legal_sublegal"))
+    return flt.three_d_points(r.length()).drop("legal_sublegal")
 
 
 @query("schools", f"SELECT {_LEN} FROM length_role WHERE number > 1")
 def _(r):
-    return rounded(flt.schools(r.length()).drop("legal_sublegal"))
+    return flt.schools(r.length()).drop("legal_sublegal")
 
 
 @query("out_of_range", f"SELECT {_LEN} FROM length_role l WHERE l.range > 10000")
 def _(r):
-    return rounded(flt.out_of_range(r.length()).drop("legal_sublegal"))
+    return flt.out_of_range(r.length()).drop("legal_sublegal")
 
 
 @query("within_range", f"SELECT {_LEN} FROM length_role l WHERE l.range < 10000")
 def _(r):
-    return rounded(flt.within_range(r.length()).drop("legal_sublegal"))
+    return flt.within_range(r.length()).drop("legal_sublegal")
 
 
 @query("range_gap", f"""SELECT {_LEN} FROM (
@@ -262,7 +262,7 @@ def _(r):
 def _(r):
     at_limit = r.length().drop("legal_sublegal").withColumn(
         "range", F.when(F.col("number").isNotNull(), 10000.0).otherwise(F.col("range")))
-    return rounded(flt.range_gap(at_limit))
+    return flt.range_gap(at_limit)
 
 
 @query("region_filter", """SELECT family, genus, species, marine_region FROM life_history
@@ -307,7 +307,7 @@ def _(r):
 @query("standardise_length", """SELECT campaignid, sample, coalesce(family, 'Unknown') AS family,
       replace(coalesce(genus, 'Unknown'), 'NA', 'Unknown') AS genus,
       coalesce(species, 'spp') AS species, TRY_CAST(length AS DOUBLE) AS length,
-      TRY_CAST(number AS DOUBLE) AS number, round(l.range, 4) AS range
+      TRY_CAST(number AS DOUBLE) AS number, l.range
     FROM length_raw l WHERE TRY_CAST(number AS DOUBLE) IS NOT NULL""")
 def _(r):
-    return rounded(check.standardise_length(r.length_raw()))
+    return check.standardise_length(r.length_raw())

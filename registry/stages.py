@@ -39,7 +39,7 @@ def _(r):
 
 
 @query("build_length3d", """SELECT l.campaignid, l.sample, family, genus, species, length, number,
-      round(l.range, 4) AS range, location, status, depth, successful_count, successful_length
+      l.range, location, status, depth, successful_count, successful_length
     FROM length_role l JOIN metadata m ON l.campaignid = m.campaignid AND l.sample = m.sample
     WHERE successful_length = 'Yes'""")
 def _(r):
@@ -47,7 +47,7 @@ def _(r):
     generic = rows.filter("legal_sublegal = 'F' AND length IS NOT NULL").drop("legal_sublegal")
     em = rows.filter("legal_sublegal = 'O' AND length IS NOT NULL").drop("legal_sublegal")
     located = rows.filter("length IS NULL").drop("legal_sublegal", "length")
-    return rounded(gather.build_length3d(generic, em, located, r.metadata()))
+    return gather.build_length3d(generic, em, located, r.metadata())
 
 
 @query("complete_count", """SELECT a.project, a.campaignid, a.sample, a.family, a.genus, a.species,
@@ -73,7 +73,7 @@ def _(r):
 def _(r):
     sheet = r.life_history_sheet().withColumn(
         "global_region", F.concat(F.lit("Australia/"), "global_region"))
-    return rounded(check.load_life_history(sheet), 6)
+    return rounded(check.load_life_history(sheet), digits=6)
 
 
 _RENAMED = f"""SELECT l.* REPLACE (coalesce(new_family, l.family) AS family,
@@ -169,7 +169,7 @@ _STEREO = f"SELECT {_KEYS}, sum(number) AS stereo_maxn FROM observed GROUP BY AL
         AND {_taxon_eq('s', 'm')})
     WHERE maxn <> stereo_maxn""", {"stereo": _STEREO})
 def _(r):
-    return rounded(check.maxn_vs_stereo(r.observed(), r.maxn()))
+    return rounded(check.maxn_vs_stereo(r.observed(), r.maxn()), "percent_difference")
 
 
 @query("maxn_vs_stereo_all", f"""SELECT {_KEYS}, maxn, stereo_maxn,
@@ -185,15 +185,16 @@ def _(r):
     WHERE maxn <> stereo_maxn AND EXISTS (SELECT 1 FROM observed o
       WHERE o.campaignid = x.campaignid AND o.sample = x.sample)""", {"stereo": _STEREO})
 def _(r):
-    return rounded(check.maxn_vs_stereo(r.observed(), r.maxn(), include_unmeasured=True))
+    gaps = check.maxn_vs_stereo(r.observed(), r.maxn(), include_unmeasured=True)
+    return rounded(gaps, "percent_difference")
 
 
-_OBS = f"{_KEYS}, length, number, round(l.range, 4) AS range"
+_OBS = f"{_KEYS}, length, number, l.range"
 
 
 @query("drop_errors_range", f"SELECT {_OBS} FROM observed l WHERE l.range < 10000")
 def _(r):
-    return rounded(check.drop_errors(r.maxn(), r.observed(), None, None, None)[1])
+    return check.drop_errors(r.maxn(), r.observed(), None, None, None)[1]
 
 
 @query("drop_errors_taxa", f"""SELECT {_KEYS}, maxn FROM maxn_role l WHERE NOT EXISTS (
@@ -213,7 +214,7 @@ def _(r):
     length, lh = r.observed(), r.life_history()
     bad = check.taxa_not_observed(length, lh)
     wrong = check.wrong_length_taxa(length, check.max_length_bounds(lh))
-    return rounded(check.drop_errors(r.maxn(), length, None, bad, wrong)[1])
+    return check.drop_errors(r.maxn(), length, None, bad, wrong)[1]
 
 
 @query("drop_errors_length_per_sample", f"""SELECT {_OBS} FROM observed l
@@ -223,7 +224,7 @@ def _(r):
 def _(r):
     length = r.observed()
     wrong = check.wrong_length_taxa(length, check.max_length_bounds(r.life_history()))
-    return rounded(check.drop_wrong_lengths(length, wrong, per_sample=True))
+    return check.drop_wrong_lengths(length, wrong, per_sample=True)
 
 
 # ---------------------------------------------------------------- format
@@ -307,18 +308,18 @@ def _(r):
 
 
 @query("complete_length", f"""SELECT x.campaignid, x.sample, family, genus, species, length, number,
-      round(x.range, 4) AS range, {_META}, concat(x.campaignid, '.', x.sample) AS id
+      x.range, {_META}, concat(x.campaignid, '.', x.sample) AS id
     FROM completed x LEFT {_META_JOIN}""", _FORMAT)
 def _(r):
-    return rounded(_completed(r))
+    return _completed(r)
 
 
 @query("expanded_length", f"""SELECT x.campaignid, x.sample, family, genus, species, length,
-      round(x.range, 4) AS range, {_META}, concat(x.campaignid, '.', x.sample) AS id
+      x.range, {_META}, concat(x.campaignid, '.', x.sample) AS id
     FROM completed x LEFT {_META_JOIN} JOIN generate_series(1, 7) g(i) ON i <= number
     WHERE length IS NOT NULL""", _FORMAT)
 def _(r):
-    return rounded(fmt.expanded_length(_completed(r)))
+    return fmt.expanded_length(_completed(r))
 
 
 def _missing(keys: list[str]) -> str:
@@ -346,23 +347,24 @@ def _(r):
       round(b, 6) AS b, round("all", 6) AS "all", round(bll, 6) AS bll, rank FROM family_lw""",
        _FORMAT)
 def _(r):
-    return rounded(fmt.family_length_weight(r.life_history()), 6)
+    return rounded(fmt.family_length_weight(r.life_history()), digits=6)
 
 
 @query("length_to_mass", f"""SELECT x.campaignid, x.sample, family, genus, species, length,
-      round(x.range, 4) AS range, number, round(mass_g, 4) AS mass_g, length_cm, {_META},
+      x.range, number, round(mass_g, 4) AS mass_g, length_cm, {_META},
       concat(x.campaignid, '.', x.sample) AS id
     FROM mass x LEFT {_META_JOIN}""", _FORMAT)
 def _(r):
-    return rounded(fmt.length_to_mass(_completed(r), r.life_history()))
+    return rounded(fmt.length_to_mass(_completed(r), r.life_history()), "mass_g")
 
 
 @query("length_to_mass_by_sample", f"""SELECT m.campaignid, x.sample, family, genus, species, length,
-      round(x.range, 4) AS range, number, round(mass_g, 4) AS mass_g, length_cm, {_META}
+      x.range, number, round(mass_g, 4) AS mass_g, length_cm, {_META}
     FROM mass x JOIN metadata m ON x.sample = m.sample WHERE number > 0""", _FORMAT)
 def _(r):
     completed = flt.positive(_completed(r), "number")
-    return rounded(fmt.length_to_mass(completed, r.life_history(), r.metadata(), key=["sample"]))
+    mass = fmt.length_to_mass(completed, r.life_history(), r.metadata(), key=["sample"])
+    return rounded(mass, "mass_g")
 
 
 @query("check_mass", """SELECT family, genus, species, round(avg(kg), 3) AS mean_kg,

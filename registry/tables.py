@@ -128,7 +128,7 @@ def _(r):
       round(pow(10, avg(log10(a))), 6) AS a FROM life_history GROUP BY ALL""")
 def _(r):
     return rounded(r.life_history().groupBy("family", "length_measure")
-                   .agg(agg.geometric_mean("a").alias("a")), 6)
+                   .agg(agg.geometric_mean("a").alias("a")), digits=6)
 
 
 @query("distinct_taxa", "SELECT DISTINCT family, genus, species FROM length_role")
@@ -173,7 +173,7 @@ def _(r):
     LEFT JOIN maxn_role m ON m.campaignid = a.campaignid AND m.sample = a.sample
       AND m.family = b.family AND m.genus = b.genus AND m.species = b.species""")
 def _(r):
-    return R.complete(r.maxn(), C.SAMPLE, C.TAXON, fill={"maxn": 0.0})
+    return R.complete_cells(r.maxn(), C.SAMPLE, C.TAXON, fill={"maxn": 0.0})
 
 
 @query("complete_fill", """SELECT a.project, a.campaignid, a.sample, a.family, a.genus, a.species,
@@ -184,7 +184,7 @@ def _(r):
       AND a.genus = c.genus AND a.species = c.species AND b.legal_sublegal = c.legal_sublegal""")
 def _(r):
     return R.complete(r.count(), ["project", *C.SAMPLE, *C.TAXON], ["legal_sublegal"],
-                      fill={"count": 0.0}, right_blocks=1)
+                      fill={"count": 0.0}, blocks=1)
 
 
 @query("pivot_wide", "SELECT campaignid, sample, " + ", ".join(
@@ -263,8 +263,8 @@ def _(r):
     return rounded(S.summary_stats(known, "range"))
 
 
-@query("pair_projection", """SELECT round(l.range, 4) AS range, length,
+@query("pair_projection", """SELECT l.range, length,
       concat(genus, ' ', species) AS label
     FROM length_role l WHERE length IS NOT NULL AND l.range IS NOT NULL""")
 def _(r):
-    return rounded(S.pair_projection(r.length(), "range", "length", C.paste("genus", "species")))
+    return S.pair_projection(r.length(), "range", "length", C.paste("genus", "species"))
