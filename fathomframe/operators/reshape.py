@@ -14,29 +14,32 @@ _BLOCK, _SHARE, _CELLS, _ALL, _ONE = "__block", "__share", "__cells", "__all", "
 RIGHT_BLOCKS = 32
 
 
+def _bucket(columns: Sequence[str], count: int) -> Column:
+    """Hash bucket, never NULL: for a column that could be, Spark would add a
+    not-null filter to one of several readers of a shared exchange, and the
+    exchange would no longer be shared."""
+    return F.coalesce(F.pmod(F.xxhash64(*columns), F.lit(count)), F.lit(0)).cast("int")
+
+
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def packed_cells(cells: DataFrame, left: Sequence[str], right: Sequence[str],
-                 blocks: int = RIGHT_BLOCKS) -> DataFrame:
-    """``left`` columns and one struct per cell, partitioned by ``left``.
-
-    ``cells`` holds each (left, right) pair once, so a partition key has at
-    most as many rows as there are ``right`` tuples, however many raw rows it
-    has.  The struct names the block its tuple is hashed to.  The partition
-    count is explicit: these partitions are small now but grow to the dense
-    result, so they must not be merged by size.  All later steps read this one
-    exchange.
+def cells_by_left(cells: DataFrame, left: Sequence[str], right: Sequence[str],
+                  blocks: int = RIGHT_BLOCKS) -> DataFrame:
+    """One row per ``left`` tuple with the array of its cells.
+
+    ``cells`` holds each (left, right) pair once, so an array has at most as
+    many entries as there are ``right`` tuples, however many raw rows one
+    ``left`` tuple has.  Each entry names the block its tuple is hashed to.
+    The partition count is explicit: these partitions are small now but grow
+    to the dense result, so they must not be merged by size.  All later steps
+    read this one exchange.
     """
     values = [c for c in cells.columns if c not in left and c not in right]
-    block = F.pmod(F.xxhash64(*right), F.lit(blocks)).cast("int")
-    return (cells.select(*left, F.struct(block.alias(_BLOCK), *right, *values).alias(_ONE))
-            .repartition(shuffle_partitions(cells), *left))
-
-
-def cells_by_left(packed: DataFrame, left: Sequence[str]) -> DataFrame:
-    """One row per ``left`` tuple with the array of its cells."""
+    block = _bucket(right, blocks)
+    packed = (cells.select(*left, F.struct(block.alias(_BLOCK), *right, *values).alias(_ONE))
+              .repartition(shuffle_partitions(cells), *left))
     return packed.groupBy(*left).agg(F.collect_list(_ONE).alias(_CELLS))
 
 
@@ -45,9 +48,15 @@ def no_cells() -> Column:
     return F.col(_CELLS).isNull()
 
 
-def right_tuples(packed: DataFrame, right: Sequence[str]) -> DataFrame:
-    """The distinct ``right`` tuples that occur in any cell."""
-    return packed.select(*[F.col(f"{_ONE}.{c}").alias(c) for c in right]).distinct()
+def right_tuples(by_left: DataFrame, right: Sequence[str]) -> DataFrame:
+    """The distinct ``right`` tuples that occur in any cell.
+
+    Taken from the gathered cells and not from the table they came from:
+    the columns needed would be pruned down to the scan there, and the data
+    would be read and aggregated a second time.
+    """
+    one = by_left.select(F.explode(_CELLS).alias(_ONE))
+    return one.select(*[F.col(f"{_ONE}.{c}").alias(c) for c in right]).distinct()
 
 
 def expand_cells(by_left: DataFrame, left: Sequence[str], tuples: DataFrame,
@@ -68,13 +77,13 @@ def expand_cells(by_left: DataFrame, left: Sequence[str], tuples: DataFrame,
     # the left rows, as many as the cluster has partitions for.
     shares = max(1, -(-shuffle_partitions(by_left) // blocks))
 
-    block = F.pmod(F.xxhash64(*right), F.lit(blocks)).cast("int")
+    block = _bucket(right, blocks)
     listed = (tuples.groupBy(block.alias(_BLOCK))
               .agg(F.collect_list(F.struct(*right, *empty)).alias(_ALL))
               .withColumn(_SHARE, F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))))
     own = F.filter(F.col(_CELLS), lambda c: c[_BLOCK] == F.col(_BLOCK))
     per_block = (by_left
-                 .withColumn(_SHARE, F.pmod(F.xxhash64(*left), F.lit(shares)).cast("int"))
+                 .withColumn(_SHARE, _bucket(left, shares))
                  .withColumn(_BLOCK, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
                  .select(*others, _BLOCK, _SHARE, own.alias(_CELLS)))
 
@@ -109,11 +118,11 @@ def complete_cells(cells: DataFrame, left: Sequence[str], right: Sequence[str],
     """
     left, right = list(left), list(right)
     values = [c for c in cells.columns if c not in left and c not in right]
-    packed = packed_cells(cells, left, right, blocks)
-    by_left = cells_by_left(packed, left)
+    by_left = cells_by_left(cells, left, right, blocks)
+    tuples = right_tuples(by_left, right)
     if carry is not None:
-        by_left = join_on(by_left, hinted(carry), left, carry_how, null_safe=())
-    out = expand_cells(by_left, left, right_tuples(packed, right), right, values, blocks)
+        by_left = join_on(by_left, hinted(carry), left, carry_how, null_safe=left)
+    out = expand_cells(by_left, left, tuples, right, values, blocks)
     return fill_missing(out, fill) if fill else out
 
 
@@ -127,9 +136,8 @@ def complete(df: DataFrame, left: Sequence[str], right: Sequence[str],
     replaces missing values, those already in ``df`` included.
     """
     left, right = list(left), list(right)
-    packed = packed_cells(df.select(*left, *right).distinct(), left, right, blocks)
-    missing = expand_cells(cells_by_left(packed, left), left, right_tuples(packed, right),
-                           right, None, blocks)
+    by_left = cells_by_left(df.select(*left, *right).distinct(), left, right, blocks)
+    missing = expand_cells(by_left, left, right_tuples(by_left, right), right, None, blocks)
     out = df.unionByName(missing, allowMissingColumns=True)
     return fill_missing(out, fill) if fill else out
 

@@ -14,8 +14,8 @@ from fathomframe.operators.filters import exclude_values, positive
 from fathomframe.operators.joins import (
     anti_join, attach_metadata, hinted, join_on, lookup_join)
 from fathomframe.operators.reshape import (
-    cells_by_left, complete_cells, expand_cells, fill_missing, no_cells, packed_cells,
-    right_tuples, uncount)
+    cells_by_left, complete_cells, expand_cells, fill_missing, no_cells, right_tuples,
+    uncount)
 
 
 def complete_maxn(maxn: DataFrame, metadata: DataFrame,
@@ -47,16 +47,14 @@ def complete_length(length: DataFrame, metadata: DataFrame) -> DataFrame:
         *SAMPLE, *TAXON, F.col("length").cast("double").alias("length"), "number", "range")
     observed = join_on(known, metadata, SAMPLE, "inner", null_safe=())
 
-    # From the packed pairs on there is one row per sample, so a right join
-    # meets no hot key.
+    # ``seen`` has one row per sample, so the right join meets no hot key.
     pairs = join_on(known.select(*SAMPLE, *TAXON).distinct(), metadata.select(*SAMPLE), SAMPLE,
                     "left_semi", null_safe=())
-    packed = packed_cells(pairs, SAMPLE, TAXON)
-    seen = cells_by_left(packed, SAMPLE)
+    seen = cells_by_left(pairs, SAMPLE, TAXON)
     samples = join_on(seen, metadata, SAMPLE, "right", null_safe=())
     no_taxon = (samples.filter(no_cells())
                 .select(*[F.lit(None).cast("string").alias(t) for t in TAXON]).distinct())
-    taxa = right_tuples(packed, TAXON).unionByName(no_taxon)
+    taxa = right_tuples(seen, TAXON).unionByName(no_taxon)
     missing = expand_cells(samples, SAMPLE, taxa, TAXON)
     filled = observed.unionByName(missing, allowMissingColumns=True)
     return fill_missing(filled, {"number": 0}).withColumn("id", sample_id())
