@@ -1,0 +1,240 @@
+import itertools
+import statistics
+
+import numpy as np
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from fathomframe.operators import aggregates as agg
+from fathomframe.operators import filters as flt
+from fathomframe.operators import joins as J
+from fathomframe.operators import reshape as R
+from fathomframe.operators import summary as S
+
+TAXA = "family string, genus string, species string"
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_missing_matches_missing(spark):
+    left = spark.createDataFrame([("f", None, "a", 1), (None, None, None, 2)], TAXA + ", n int")
+    right = spark.createDataFrame([("f", None, "a"), (None, None, None)], TAXA)
+    keys = ["family", "genus", "species"]
+    assert J.semi_join(left, right, keys).count() == 2
+    assert J.anti_join(left, right, keys).count() == 0
+    assert J.join_on(left, right, keys, "inner", null_safe=()).count() == 0
+
+
+def test_clashing_columns_are_refused(spark):
+    left = spark.createDataFrame([(1, "x")], ["k", "v"])
+    with pytest.raises(ValueError, match="v"):
+        J.join_on(left, left, ["k"])
+
+
+def test_full_join_keeps_keys_of_both_sides(spark):
+    a = spark.createDataFrame([(1, "a"), (2, "b")], ["k", "x"])
+    b = spark.createDataFrame([(2, "c"), (3, "d")], ["k", "y"])
+    assert rows(J.join_on(a, b, ["k"], "full", ())) == [
+        (1, "a", None), (2, "b", "c"), (3, None, "d")]
+
+
+def test_semi_join_never_multiplies(spark):
+    a = spark.createDataFrame([(1,)], ["k"])
+    b = spark.createDataFrame([(1,), (1,)], ["k"])
+    assert J.semi_join(a, b, ["k"], ()).count() == 1
+
+
+def test_broadcast_is_measured(spark):
+    df = spark.range(1000).select(F.col("id").cast("string").alias("k"))
+    assert J.fits_broadcast(df, 1 << 20)
+    assert not J.fits_broadcast(df, 100)
+    assert not J.fits_broadcast(df, 0)
+    assert J._bytes_setting("10MB") == 10 << 20
+    assert J._bytes_setting("10485760b") == 10 << 20
+    assert J._bytes_setting("-1") == -1
+
+
+def test_results_do_not_depend_on_the_join_strategy(spark):
+    left = spark.createDataFrame([("f", None, "a", i) for i in range(50)], TAXA + ", n int")
+    right = spark.createDataFrame([("f", None, "a", 9)], TAXA + ", m int")
+    keys = ["family", "genus", "species"]
+    wide = rows(J.lookup_join(left, right, keys, "left"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows(J.lookup_join(left, right, keys, "left")) == wide
+        observed = spark.createDataFrame([("c", "s1", "f"), ("c", "s2", "g")], "c string, s string, t string")
+        assert R.complete(observed, ["c", "s"], ["t"]).count() == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_keep_all_samples(spark):
+    df = spark.createDataFrame([("c", "s1", 1), ("c", "s1", 2), ("c", "s9", 3)],
+                               ["campaignid", "sample", "n"])
+    meta = spark.createDataFrame([("c", "s1"), ("d", "s1")], ["campaignid", "sample"])
+    assert rows(J.keep_all_samples(df, meta)) == [
+        ("c", "s1", 1), ("c", "s1", 2), ("d", "s1", None)]
+
+
+def test_range_filters_leave_a_gap(spark):
+    df = spark.createDataFrame([(9999.0,), (10000.0,), (10001.0,), (None,)], "range double")
+    assert rows(flt.out_of_range(df)) == [(10001.0,)]
+    assert rows(flt.within_range(df)) == [(9999.0,)]
+    assert rows(flt.range_gap(df)) == [(10000.0,), (None,)]
+
+
+def test_exclude_values_and_missing(spark):
+    df = spark.createDataFrame([("spp",), ("a",), (None,)], "species string")
+    assert rows(flt.exclude_values(df, "species", ["spp"])) == [("a",), (None,)]
+    assert rows(flt.exclude_values(df, "species", ["spp"], keep_missing=False)) == [("a",)]
+
+
+def test_best_ranked_keeps_ties(spark):
+    df = spark.createDataFrame([("f", "SL"), ("f", "x"), ("g", "FL"), ("g", "TL"), (None, "TL")],
+                               "family string, length_measure string")
+    assert rows(agg.best_ranked(df, ["family"]).select("family", "length_measure")) == [
+        ("f", "SL"), ("f", "x"), ("g", "FL"), (None, "TL")]
+
+
+def test_sd_of_one_value_is_missing(spark):
+    df = spark.createDataFrame([("a", 1.0), ("b", 1.0), ("b", 3.0)], ["k", "v"])
+    got = dict(rows(agg.group_sd(df, ["k"], "v", "sd")))
+    assert got["a"] is None and abs(got["b"] - 2 ** 0.5) < 1e-12
+
+
+def test_count_distinct_counts_missing(spark):
+    df = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
+    assert agg.count_distinct(df, ["k"]).first()[0] == 2
+
+
+def test_sort_desc(spark):
+    df = spark.createDataFrame([(1, "b"), (3, "a"), (1, "a")], ["n", "k"])
+    assert [tuple(r) for r in agg.sort_desc(df, "n", ["k"]).collect()] == [
+        (3, "a"), (1, "a"), (1, "b")]
+
+
+def brute_complete(data, n_left):
+    lefts = dict.fromkeys(r[:n_left] for r in data)
+    rights = dict.fromkeys(r[n_left:-1] for r in data)
+    seen = {r[:-1] for r in data}
+    return sorted([*data, *[(*a, *b, None) for a, b in itertools.product(lefts, rights)
+                            if (*a, *b) not in seen]], key=repr)
+
+
+word = st.one_of(st.none(), st.sampled_from("abcd"))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(word, word, word, word, st.integers(0, 3)), min_size=1, max_size=12),
+       st.sampled_from([1, 3, 32]))
+def test_complete_against_brute_force(spark, data, blocks):
+    df = spark.createDataFrame(data, "c string, s string, f string, g string, n int")
+    assert rows(R.complete(df, ["c", "s"], ["f", "g"], blocks=blocks)) == brute_complete(data, 2)
+    unique = list({r[:-1]: r for r in data}.values())
+    cells = spark.createDataFrame(unique, df.schema)
+    assert rows(R.complete_cells(cells, ["c", "s"], ["f", "g"], blocks=blocks)) == \
+        brute_complete(unique, 2)
+
+
+def test_complete_fill_also_replaces_given_gaps(spark):
+    df = spark.createDataFrame([("s1", "a", None), ("s2", "b", 2.0)], "s string, t string, n double")
+    want = [("s1", "a", 0.0), ("s1", "b", 0.0), ("s2", "a", 0.0), ("s2", "b", 2.0)]
+    assert rows(R.complete(df, ["s"], ["t"], {"n": 0})) == want
+    assert rows(R.complete_cells(df, ["s"], ["t"], {"n": 0})) == want
+
+
+def test_complete_with_one_hot_left_tuple(spark):
+    hot = spark.range(3000).select(F.lit("hot").alias("s"), (F.col("id") % 7).cast("string").alias("t"))
+    cold = spark.createDataFrame([(f"s{i}", "7") for i in range(20)], "s string, t string")
+    out = R.complete(hot.union(cold), ["s"], ["t"])
+    assert out.count() == 3000 + 20 + 1 + 20 * 7
+
+
+def test_completion_reads_its_input_once(spark):
+    base = spark.createDataFrame([("s1", "a", 1.0), ("s2", "b", 2.0)], "s string, t string, n double")
+    cells = base.groupBy("s", "t").agg(F.sum("n").alias("n"))
+    out = R.complete_cells(cells, ["s"], ["t"], {"n": 0})
+    assert out.count() == 4
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    assert "ReusedExchange" in final
+
+
+@pytest.mark.parametrize("n,times", [(None, 0), (0.0, 0), (1.0, 1), (2.9, 2), (25001.0, 25001)])
+def test_uncount(spark, n, times):
+    df = spark.createDataFrame([("k", n)], "k string, n double")
+    out = R.uncount(df, "n")
+    assert out.columns == ["k"] and out.count() == times
+    assert R.uncount(df, "n", keep=True).columns == ["k", "n"]
+
+
+def test_pivot_refuses_two_values_for_a_cell(spark):
+    df = spark.createDataFrame([("a", "x", 1), ("a", "y", 2)], ["k", "name", "value"])
+    assert rows(R.pivot_wide(df, ["k"], "name", "value", ["x", "y", "z"], fill=0)) == [("a", 1, 2, 0)]
+    twice = df.union(df)
+    with pytest.raises(Exception, match="more than one value"):
+        R.pivot_wide(twice, ["k"], "name", "value", ["x"]).collect()
+
+
+def test_rename_in_order_and_many_to_one(spark):
+    names = [("a", "b"), ("b", "c")]
+    assert R.mapped_names(["a", "b", "x"], names) == ["c", "c", "x"]
+    df = spark.createDataFrame([("k", 1.0, None, 5.0)], "id string, a double, b double, x double")
+    out = R.rename_by_map(df, names, ["id"])
+    assert out.columns == ["id", "c", "x"] and tuple(out.first()) == ("k", 1.0, 5.0)
+
+
+def test_prefix_sums_read_original_columns(spark):
+    df = spark.createDataFrame([("k", 1.0, 2.0, None)],
+                               "id string, sponges_a double, sponges_b double, relief_0 double")
+    out = R.prefix_sums(df, {"sponges": "sponges", "sponges_more": "sponges", "none": "zz",
+                             "relief_0": "relief_0"}, ["id"])
+    assert tuple(out.first()) == ("k", 3.0, 3.0, 0.0, 0.0)
+
+
+def test_bind_rows_by_name(spark):
+    a = spark.createDataFrame([(1, "x")], ["n", "k"])
+    b = spark.createDataFrame([("y", 2.0)], ["k", "z"])
+    assert rows(R.bind_rows(a, b)) == [(1, "x", None), (None, "y", 2.0)]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), st.integers(-50, 10**6).map(float)), min_size=1, max_size=60)
+       .filter(lambda v: any(x is not None for x in v)))
+def test_quantiles_against_numpy(spark, values):
+    known = [v for v in values if v is not None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = S.summary_stats(df, "v").first()
+    want = np.quantile(known, [0.25, 0.5, 0.75])
+    assert np.allclose([got["q1"], got["median"], got["q3"]], want)
+    assert (got["min"], got["max"]) == (min(known), max(known))
+    assert abs(got["mean"] - statistics.fmean(known)) < 1e-6 * max(1, abs(got["mean"]))
+    assert got["missing"] == len(values) - len(known)
+
+
+def test_quantiles_with_a_far_outlier_and_heavy_ties(spark):
+    values = [1.0] * 500 + [float(i) for i in range(400)] + [1e12]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = S.exact_quantiles(df, "v", (0.0, 0.25, 0.5, 0.9, 1.0)).first()
+    assert np.allclose([got[f"q{i}"] for i in range(5)], np.quantile(values, [0, .25, .5, .9, 1]))
+
+
+def test_box_stats(spark):
+    values = [1.0, 2.0, 3.0, 4.0, 100.0]
+    got = S.box_stats(spark.createDataFrame([(v,) for v in values], "v double"), "v").first()
+    assert tuple(got) == (2.0, 3.0, 4.0, 1.0, 4.0, 1)
+
+
+def test_histogram_sums_to_one(spark):
+    df = spark.createDataFrame([(float(v),) for v in [0, 1, 2, 2, 10]] + [(None,)], "v double")
+    got = S.histogram_density(df, "v", 5).collect()
+    assert sum(r["n"] for r in got) == 5
+    assert abs(sum(r["density"] * 2 for r in got) - 1) < 1e-12
+    one = S.histogram_density(df.filter("v = 10"), "v", 5).first()
+    assert (one["bin"], one["n"], one["density"]) == (0, 1, None)
