@@ -167,13 +167,10 @@ def pivot_wide(df: DataFrame, keys: Sequence[str], name: str, value: str,
                names: Sequence[str] | None = None, fill: object = None) -> DataFrame:
     """One column per name.  Two values for one cell are an error, raised by
     the job that meets them."""
-    cell = F.when(F.count(F.lit(1)) > 1,
-                  F.raise_error(F.lit("more than one value for a cell")))\
-        .otherwise(F.first(value))
-    cells = df.groupBy(*keys, name).agg(cell.alias(value))
-    grouped = cells.groupBy(*keys)
-    wide = (grouped.pivot(name, list(names)) if names is not None
-            else grouped.pivot(name)).agg(F.first(value))
+    cell = (F.when(F.count(F.lit(1)) > 1,
+                   F.raise_error(F.lit("more than one value for a cell")))
+            .otherwise(F.max(value)))
+    wide = df.groupBy(*keys).pivot(name, None if names is None else list(names)).agg(cell)
     if fill is None:
         return wide
     return wide.fillna(fill, subset=[c for c in wide.columns if c not in keys])

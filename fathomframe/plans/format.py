@@ -12,7 +12,7 @@ from fathomframe.functions.columns import (
 from fathomframe.operators.aggregates import best_ranked, geometric_mean
 from fathomframe.operators.filters import exclude_values, positive
 from fathomframe.operators.joins import (
-    anti_join, attach_metadata, hinted, join_on, lookup_join)
+    anti_join, attach_metadata, fits_broadcast, hinted, join_on)
 from fathomframe.operators.reshape import (
     cells_by_left, complete_cells, expand_cells, fill_missing, no_cells, right_tuples,
     uncount)
@@ -108,9 +108,13 @@ def length_to_mass(completed: DataFrame, life_history: DataFrame,
                              F.lit(True).alias("listed"))
     fam = family_length_weight(life_history).select(
         "family", F.lit(True).alias("unlisted"), *[F.col(c).alias("f_" + c) for c in _LW])
-    rows = lookup_join(completed, lw, ["genus", "species"], "left")
+    # The family table has at most the rows of the table it summarises, so
+    # one measurement decides for both.
+    if fits_broadcast(lw):
+        lw, fam = F.broadcast(lw), F.broadcast(fam)
+    rows = join_on(completed, lw, ["genus", "species"], "left")
     rows = rows.withColumn("unlisted", F.col("listed").isNull())
-    rows = lookup_join(rows, fam, ["family", "unlisted"], "left")
+    rows = join_on(rows, fam, ["family", "unlisted"], "left")
 
     pick = {c: F.when(F.col("unlisted"), F.col("f_" + c)).otherwise(F.col("s_" + c))
             for c in _LW}
@@ -131,10 +135,15 @@ def length_to_mass(completed: DataFrame, life_history: DataFrame,
 
 
 def check_mass(mass: DataFrame) -> DataFrame:
-    """Mass per individual (kg) and length (cm) per taxon, heaviest first."""
+    """Mass per individual (kg) and length (cm) per taxon, heaviest first.
+
+    A mass needs a length; saying so lets Spark leave out the zero rows of the
+    completion before it creates them.
+    """
     kg = F.col("mass_g") / F.col("number") / 1000
     cm = F.round(F.col("length") / 10, 2)
-    rows = positive(mass, "mass_g").select(*TAXON, kg.alias("kg"), cm.alias("cm"))
+    weighed = positive(mass, "mass_g").filter(F.col("length").isNotNull())
+    rows = weighed.select(*TAXON, kg.alias("kg"), cm.alias("cm"))
     return (rows.groupBy(*TAXON)
             .agg(F.round(F.avg("kg"), 3).alias("mean_kg"),
                  F.round(F.max("kg"), 3).alias("max_kg"),
