@@ -161,11 +161,41 @@ def drop_wrong_lengths(length: DataFrame, wrong: DataFrame,
                    null_safe=[*TAXON, "length"])
 
 
+def drop_unknown_taxa(obs: DataFrame, life_history: DataFrame,
+                      ignore: Sequence[str] = ("spp",)) -> DataFrame:
+    """What :func:`drop_listed_taxa` leaves when the unchanged report of
+    :func:`taxa_not_observed` is applied.
+
+    Whether a row goes depends on its taxon alone, so the small life-history
+    table decides and the observations need no shuffle.
+    """
+    known = life_history.select(*TAXON).distinct().withColumn("__known", F.lit(True))
+    tagged = lookup_join(obs, known, TAXON, "left")
+    keep = F.col("__known") | F.coalesce(F.col("species").isin(*ignore), F.lit(False))
+    return tagged.filter(F.coalesce(keep, F.lit(False))).select(*obs.columns)
+
+
+def drop_implausible_lengths(length: DataFrame, bounds: DataFrame) -> DataFrame:
+    """What :func:`drop_wrong_lengths` leaves when the unchanged report of
+    :func:`wrong_length_taxa` is applied.
+
+    Whether a length is wrong depends on its taxon and itself, so every sample
+    is treated alike and the lengths need no shuffle.  Bounds listed twice for
+    a taxon come down to the narrowest.
+    """
+    limits = bounds.groupBy(*TAXON).agg(F.max("min_length").alias("__low"),
+                                        F.min("max_length").alias("__high"))
+    tested = lookup_join(length, limits, TAXON, "left")
+    wrong = (F.col("length") < F.col("__low")) | (F.col("length") > F.col("__high"))
+    return tested.filter(~F.coalesce(wrong, F.lit(False))).select(*length.columns)
+
+
 def drop_errors(maxn: DataFrame, length: DataFrame, bad_taxa_maxn: DataFrame | None,
                 bad_taxa_length: DataFrame | None, wrong: DataFrame | None,
                 max_range_mm: float | None = MAX_RANGE_MM,
                 per_sample: bool = False) -> tuple[DataFrame, DataFrame]:
-    """The decision step: each list given is applied, ``None`` skips it."""
+    """The decision step with reports that may have been edited by hand: each
+    list given is applied, ``None`` skips it."""
     if max_range_mm is not None:
         length = within_range(length, max_range_mm)
     if bad_taxa_maxn is not None:

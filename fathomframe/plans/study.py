@@ -74,12 +74,15 @@ def gather_counts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 @dataclass
 class Decisions:
-    """What to drop after the reports were read."""
+    """What to drop after the reports were read.
+
+    The reports are applied as they are; to apply edited ones pass them to
+    ``check.drop_errors``.
+    """
 
     max_range_mm: float | None = filters.MAX_RANGE_MM
     drop_taxa: bool = True
     drop_lengths: bool = True
-    per_sample: bool = False
 
 
 def check_study(maxn: DataFrame, length: DataFrame, life_history: DataFrame,
@@ -97,21 +100,21 @@ def check_study(maxn: DataFrame, length: DataFrame, life_history: DataFrame,
     if synonyms is not None:
         maxn, reports["maxn.taxa.names.updated"] = check.apply_synonyms(maxn, synonyms)
         length, reports["length.taxa.names.updated"] = check.apply_synonyms(length, synonyms)
-    bad_maxn = check.taxa_not_observed(maxn, life_history)
-    bad_length = check.taxa_not_observed(length, life_history)
-    wrong = check.wrong_length_taxa(length, check.max_length_bounds(life_history))
+    bounds = check.max_length_bounds(life_history)
     reports |= {
-        "maxn.species.not.previously.observed": bad_maxn,
-        "length.species.not.previously.observed": bad_length,
-        "check.wrong.length.taxa.vs.life.history": wrong,
+        "maxn.species.not.previously.observed": check.taxa_not_observed(maxn, life_history),
+        "length.species.not.previously.observed": check.taxa_not_observed(length, life_history),
+        "check.wrong.length.taxa.vs.life.history": check.wrong_length_taxa(length, bounds),
         "taxa.maxn.vs.stereo.summary": check.maxn_vs_stereo(length, maxn),
         "length.greater.than.1.meter": filters.big_fish(length).select(*SAMPLE, *TAXON, "length"),
     }
-    maxn, length = check.drop_errors(
-        maxn, length, bad_maxn if decisions.drop_taxa else None,
-        bad_length if decisions.drop_taxa else None,
-        wrong if decisions.drop_lengths else None,
-        decisions.max_range_mm, decisions.per_sample)
+    if decisions.max_range_mm is not None:
+        length = filters.within_range(length, decisions.max_range_mm)
+    if decisions.drop_taxa:
+        maxn = check.drop_unknown_taxa(maxn, life_history)
+        length = check.drop_unknown_taxa(length, life_history)
+    if decisions.drop_lengths:
+        length = check.drop_implausible_lengths(length, bounds)
     return reports, {"checked.maxn": maxn, "checked.length": length}
 
 

@@ -227,6 +227,20 @@ def _(r):
     return check.drop_wrong_lengths(length, wrong, per_sample=True)
 
 
+@query("drop_unknown_taxa", f"""SELECT {_OBS} FROM observed l WHERE NOT EXISTS (
+      SELECT 1 FROM bad_length b WHERE b.campaignid = l.campaignid AND b.sample = l.sample
+        AND {_taxon_eq('l', 'b')})""", _CHECKS)
+def _(r):
+    return check.drop_unknown_taxa(r.observed(), r.life_history())
+
+
+@query("drop_implausible_lengths", f"""SELECT {_OBS} FROM observed l WHERE NOT EXISTS (
+      SELECT 1 FROM wrong w WHERE {_taxon_eq('l', 'w')}
+        AND l.length IS NOT DISTINCT FROM w.length)""", _CHECKS)
+def _(r):
+    return check.drop_implausible_lengths(r.observed(), check.max_length_bounds(r.life_history()))
+
+
 # ---------------------------------------------------------------- format
 
 _META = "location, status, depth, successful_count, successful_length"

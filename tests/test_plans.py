@@ -176,6 +176,24 @@ def test_wrong_lengths_go_in_every_sample_unless_told(spark, life_history):
     assert rows(per, "sample", "length") == [("s1", 500.0), ("s1", None), ("s2", 5.0)]
 
 
+def test_direct_removal_equals_applying_the_reports(spark, life_history):
+    length = spark.createDataFrame(
+        [("c", "s1", "F", "G", "a", 149.0), ("c", "s2", "F", "G", "a", 150.0), ("c", "s2", "F", "G", "a", 851.0),
+         ("c", "s1", "F", "G", "spp", 1.0), ("c", "s1", "F", "G", None, 1.0), ("c", "s1", None, None, None, 1.0),
+         ("c", "s3", "K", "L", "d", 29.0), ("c", "s3", "K", "L", "d", 90.0), ("c", "s3", "K", "L", "new", 5.0),
+         ("c", "s3", "K", "L", "d", None)], KEY + ", " + TAXA + ", length double").selectExpr(
+        "*", "1.0D AS number", "5.0D AS range")
+    narrower = spark.createDataFrame([("K", "L", "d", "NW", "TL", 0.1, 3.0, None, None, 100.0, "TL")], LH)
+    lh = life_history.union(narrower)                       # two rows for one taxon
+    bounds = check.max_length_bounds(lh)
+    bad, wrong = check.taxa_not_observed(length, lh), check.wrong_length_taxa(length, bounds)
+    maxn = length.selectExpr(*SAMPLE, *TAXON, "number AS maxn")
+    by_report = check.drop_errors(maxn, length, check.taxa_not_observed(maxn, lh), bad, wrong)
+    assert rows(check.drop_unknown_taxa(maxn, lh)) == rows(by_report[0])
+    direct = check.drop_implausible_lengths(check.drop_unknown_taxa(length, lh), bounds)
+    assert rows(direct) == rows(by_report[1]) and direct.count() == 3
+
+
 def test_complete_maxn_keys(spark, metadata):
     maxn = spark.createDataFrame(
         [("c", "s1", "F", "G", "a", 2.0), ("d", "s1", "F", "G", "b", 3.0),
