@@ -26,7 +26,7 @@ SUFFIXES = {
 }
 # Headers of annotation exports and the names used here.
 EXPORT_NAMES = {"opcode": "sample", "length_mm_": "length", "range_mm_": "range",
-                "time_mins_": "periodtime"}
+                "period_time_mins_": "periodtime"}
 
 
 def _scan(spark: SparkSession, root: str, kind: str, layout: str) -> DataFrame | None:

@@ -73,6 +73,33 @@ def test_results_do_not_depend_on_the_join_strategy(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_hot_sample_is_split(spark):
+    """A third of all rows in one sample, and a metadata table too big to broadcast."""
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB"}
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        n = 60_000
+        sample = F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 1000).cast("string"))
+        df = spark.range(0, n, 1, 6).select(F.lit("c").alias("campaignid"), sample.alias("sample"),
+                                            F.xxhash64("id").alias("value"))
+        meta = df.select("campaignid", "sample").distinct().withColumn("site", F.lit("x"))
+        for out in (J.attach_metadata(df, meta), J.keep_all_samples(df, meta)):
+            got = out.agg(F.count(F.lit(1)), F.sum(F.col("value") % 1000)).first()
+            assert tuple(got) == tuple(df.agg(F.count(F.lit(1)), F.sum(F.col("value") % 1000)).first())
+            out.write.format("noop").mode("overwrite").save()
+        joined = J.attach_metadata(df, meta)
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_keep_all_samples(spark):
     df = spark.createDataFrame([("c", "s1", 1), ("c", "s1", 2), ("c", "s9", 3)],
                                ["campaignid", "sample", "n"])
