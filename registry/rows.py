@@ -311,3 +311,18 @@ def _(r):
     FROM length_raw l WHERE TRY_CAST(number AS DOUBLE) IS NOT NULL""")
 def _(r):
     return check.standardise_length(r.length_raw())
+
+
+@query("standardise_observations", """SELECT 'maxn' AS kind, campaignid, sample,
+      coalesce(family, 'Unknown') AS family, coalesce(genus, 'Unknown') AS genus,
+      coalesce(lower(species), 'spp') AS species, TRY_CAST(number AS DOUBLE) AS maxn,
+      NULL::DOUBLE AS length, NULL::DOUBLE AS number, NULL::DOUBLE AS range FROM length_raw
+    UNION ALL SELECT 'length', campaignid, sample, coalesce(family, 'Unknown'),
+      replace(coalesce(genus, 'Unknown'), 'NA', 'Unknown'), coalesce(species, 'spp'), NULL,
+      TRY_CAST(length AS DOUBLE), TRY_CAST(number AS DOUBLE), l.range
+    FROM length_raw l WHERE TRY_CAST(number AS DOUBLE) IS NOT NULL""")
+def _(r):
+    maxn = check.standardise_maxn(r.length_raw().withColumn("maxn", F.col("number")))
+    length = check.standardise_length(r.length_raw())
+    return bind_rows(maxn.withColumn("kind", F.lit("maxn")),
+                     length.withColumn("kind", F.lit("length")))
