@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, langid, mixing, quality, urls
+from . import exact, langid, mixing, quality, tokens, urls
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,16 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.train(docs)
     found = langid.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def encoded(docs: DataFrame, model: str = tokens.MODEL) -> DataFrame:
+    """doc_id, n_tokens, ids, round_trip: the ids of every whole text, and whether they decode to it."""
+    pieces = tokens.Pieces.load(model)
+    out = tokens.decode(tokens.encode(docs.select("doc_id", "text"), pieces), pieces)
+    plain = F.translate(F.coalesce("text", F.lit("")), tokens.SPACE, " ")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == plain).alias("round_trip"))
+
+
+@query
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(table(spark, sf_dir, "documents"))
