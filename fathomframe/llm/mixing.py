@@ -41,20 +41,16 @@ def source_targets(sizes: DataFrame, most: int = MOST_COPIES) -> DataFrame:
         F.least(F.col("_cap").cast("double"), F.coalesce(F.col("_common") * F.col("_w"), F.lit(0.0))).alias("target"))
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """doc_id, size, source_size, target, copies, taken: one row per row of docs.
+def row_hash(doc_id: Column, text: Column) -> Column:
+    """63 bits that decide which documents are taken once more."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit("mix"), doc_id, text), 1)
 
-    Every document is taken floor(target / source size) times, and once more where its hash lies below the
-    source's threshold. The threshold comes from histograms of size by source and leading hash bits: whole
-    buckets below the budget are in, only the boundary bucket is split by the next bits, until it holds one
-    row; that row is in if this brings the sum nearer. Nothing is sorted, the histogram combines before its
-    shuffle, so one source may hold most rows. The hash is of id and text, so reruns agree; rows equal in
-    both share a fate. A null text has size 0, a null source is a source, a source of size 0 takes nothing.
+
+def mix_plan(narrow: DataFrame) -> DataFrame:
+    """source, source_size, target, _base, _cut: whole copies and hash threshold of each source.
+
+    narrow: source, size, _u; written, as each histogram reads it once.
     """
-    narrow = docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
-        F.shiftrightunsigned(F.xxhash64(F.lit("mix"), F.col(doc_id), F.col(text)), 1).alias("_u"))
-    narrow = written(narrow, "mix-sizes")
     sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
     budget = source_targets(sizes).withColumn(
         "_base", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
@@ -85,11 +81,43 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     cut = cuts[0]
     for more in cuts[1:]:
         cut = cut.unionByName(more)
-    plan = budget.alias("b").join(cut.alias("c"), F.col("b.source").eqNullSafe(F.col("c.source")), "left").select(
+    return budget.alias("b").join(cut.alias("c"), F.col("b.source").eqNullSafe(F.col("c.source")), "left").select(
         "b.source", "source_size", "target", "_base",
         # without a boundary the budget covers all that is left: nothing if it is nothing
         F.coalesce("_cut", F.when(F.col("_rest") > 0, ALL).otherwise(0)).alias("_cut"))
+
+
+def copies() -> Column:
+    return F.least(F.lit(MOST_COPIES), F.col("_base") + F.when(F.col("_u") < F.col("_cut"), 1).otherwise(0)).cast("int")
+
+
+def narrowed(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
+    return written(docs.select(
+        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
+        row_hash(F.col(doc_id), F.col(text)).alias("_u")), "mix-sizes")
+
+
+def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """doc_id, size, source_size, target, copies, taken: one row per row of docs.
+
+    Every document is taken floor(target / source size) times, and once more where its hash lies below the
+    source's threshold. The threshold comes from histograms of size by source and leading hash bits: whole
+    buckets below the budget are in, only the boundary bucket is split by the next bits, until it holds one
+    row; that row is in if this brings the sum nearer. Nothing is sorted, the histogram combines before its
+    shuffle, so one source may hold most rows. The hash is of id and text, so reruns agree; rows equal in
+    both share a fate. A null text has size 0, a null source is a source, a source of size 0 takes nothing.
+    """
+    narrow = narrowed(docs, doc_id, text, source)
+    plan = mix_plan(narrow)
     out = narrow.alias("n").join(plan.alias("p"), F.col("n.source").eqNullSafe(F.col("p.source")), "left")
-    copies = F.least(F.lit(MOST_COPIES), F.col("_base") + F.when(F.col("_u") < F.col("_cut"), 1).otherwise(0)).cast("int")
     return out.select(
-        "doc_id", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+        "doc_id", "size", "source_size", "target", copies().alias("copies"), (F.col("size") * copies()).alias("taken"))
+
+
+def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The rows of docs as the mix takes them, each as often as it is taken; columns as they were."""
+    plan = mix_plan(narrowed(docs, doc_id, text, source)).select(F.col("source").alias("_source"), "_base", "_cut")
+    rows = docs.select(F.struct("*").alias("_doc"), F.col(source).alias("_of"), row_hash(F.col(doc_id), F.col(text)).alias("_u"))
+    met = rows.join(plan, F.col("_of").eqNullSafe(F.col("_source")))
+    taken = met.withColumn("_n", copies()).where("_n > 0")
+    return taken.select("_doc", F.explode(F.sequence(F.lit(1), "_n"))).select("_doc.*")

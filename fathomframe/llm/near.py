@@ -104,7 +104,7 @@ def sets(docs: DataFrame, doc_id: str, text: str, full: bool) -> DataFrame:
             own = [shingler.shingles(x) for x in batch["text"]]
             out = pd.DataFrame({"vertex": batch["vertex"], "n": [len(s) for s in own]})
             if full:
-                out["shingles"] = [s.view(np.int64) for s in own]
+                out["shingles"] = [np.sort(s.view(np.int64)) for s in own]
             else:
                 out["digest"] = [xxhash.xxh128_digest(s.tobytes()) for s in own]
                 out["sig"] = [signature(s).tobytes() for s in own]
