@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, langid, mixing, near, quality, substrings, tokens, urls
+from . import exact, langid, mixing, near, quality, substrings, tokens, urls, wrappers
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,8 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substrings.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
