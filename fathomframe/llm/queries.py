@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, langid, mixing, near, quality, substrings, tokens, urls, wrappers
+from . import exact, langid, mixing, near, passages, quality, substrings, tokens, urls, wrappers
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,8 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.near_passages(table(spark, sf_dir, "documents"))
