@@ -1,4 +1,4 @@
-"""Column expressions shared by all stages.  Everything stays in codegen."""
+"""Column expressions shared by all stages: built-in functions only."""
 
 from __future__ import annotations
 
@@ -23,9 +23,16 @@ def _c(col: ColumnLike) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+#: What counts as a number in text; the words and suffixes that a cast would also take do not.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def to_numeric(col: ColumnLike) -> Column:
-    """Number or NULL; text that is no number never fails the job."""
-    return _c(col).try_cast("double")
+    """Finite number or NULL; text that is no number never fails the job."""
+    c = _c(col)
+    text = c.cast("string")
+    value = F.when((F.typeof(c) != "string") | text.rlike(NUMBER), c.try_cast("double"))
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def with_numeric(df: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
@@ -18,12 +19,17 @@ def clean_name(name: str) -> str:
     return _SEPARATORS.sub("_", name.strip().lower())
 
 
-def clean_names(df: DataFrame) -> DataFrame:
-    """Normalise all column names; a name that would repeat gets a number."""
+def unique_names(raw: Iterable[str]) -> list[str]:
+    """Normalised names; a name that would repeat gets a number."""
     seen: dict[str, int] = {}
     names = []
-    for raw in df.columns:
-        base = clean_name(raw)
+    for name in raw:
+        base = clean_name(name)
         seen[base] = seen.get(base, 0) + 1
         names.append(base if seen[base] == 1 else f"{base}_{seen[base]}")
-    return df.toDF(*names)
+    return names
+
+
+def clean_names(df: DataFrame) -> DataFrame:
+    """Normalise all column names."""
+    return df.toDF(*unique_names(df.columns))

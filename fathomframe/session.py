@@ -6,8 +6,6 @@ the library depends on them for correct results, only for good plans.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 SQL_SETTINGS = {
@@ -41,10 +39,8 @@ def build_session(app: str = "fathomframe", master: str | None = None,
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder for intermediate tables.
-
-    On a cluster this is the shared folder named by ``spark.checkpoint.dir``;
-    only where that is unset (tests, a laptop) a fresh local folder is used.
-    """
+    """Folder for intermediate tables, shared by the driver and all executors."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    return shared or tempfile.mkdtemp(prefix="fathomframe-")
+    if not shared:
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
+    return shared.rstrip("/")

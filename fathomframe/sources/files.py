@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import csv
+import io
+import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fathomframe.functions.columns import null_tokens
-from fathomframe.functions.names import clean_names
+from fathomframe.functions.names import clean_name, clean_names, unique_names
 from fathomframe.operators.reshape import bind_rows
+from fathomframe.session import scratch_root
 
 DEFAULT_NA = ("", "NA")
 BLANK_NA = ("", " ")
@@ -41,81 +47,198 @@ def provenance(path: Column, suffix: str, layout: str = "project/campaign") -> d
     raise ValueError(f"unknown layout: {layout}")
 
 
-def _lines(spark: SparkSession, root: str, suffix: str) -> DataFrame:
-    return (spark.read.option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*" + _escape_glob(suffix)).text(root))
+def _file_system(spark: SparkSession, root: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def list_files(spark: SparkSession, root: str, suffix: str) -> list[str]:
+    """All files below ``root`` whose name ends in ``suffix``, those with a leading ``_`` or ``.`` included."""
+    fs, path = _file_system(spark, root)
+    if not fs.exists(path):
+        raise FileNotFoundError(f"no such folder: {root!r}")
+    found, files = [], fs.listFiles(path, True)
+    while files.hasNext():
+        name = files.next().getPath()
+        if name.getName().endswith(suffix) and not name.getName().endswith(".crc"):
+            found.append(name.toString())
+    return sorted(found)
+
+
+def _first_line(spark: SparkSession, file: str) -> str:
+    """The header of one file: the stream is closed after it, however long the file is.
+
+    A line break inside quotes belongs to the header.
+    """
+    jvm, (fs, path) = spark._jvm, _file_system(spark, file)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(path)
+    stream = fs.open(path)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+        codec.createInputStream(stream) if codec is not None else stream, "UTF-8"))
+    try:
+        header = reader.readLine()
+        while header is not None and header.count('"') % 2:
+            more = reader.readLine()
+            if more is None:
+                break
+            header += "\n" + more
+    finally:
+        reader.close()
+    return (header or "").rstrip("\r").removeprefix("\ufeff")
 
 
 def files_by_header(spark: SparkSession, root: str, suffix: str) -> dict[str, list[str]]:
-    """Header line -> files that carry it.
+    """Header -> files that carry it; an empty file is in no group.
 
-    One reader must never see two headers: Spark would put values under the
-    wrong names without a word.  Only one line per file reaches the driver,
-    which holds the list of files anyway.
+    One reader must never see two headers: Spark would put values under the wrong names without a word. Only
+    the first line of a file is read here, on the driver, which holds the list of files anyway.
     """
-    first = (_lines(spark, root, suffix)
-             .filter(F.col("_metadata.file_block_start") == 0)
-             .select("value", F.col("_metadata.file_path").alias("file"),
-                     F.monotonically_increasing_id().alias("at"))
-             .groupBy("file").agg(F.min_by("value", "at").alias("header"))
-             .select("header", decoded(F.col("file")).alias("file")))
+    paths = list_files(spark, root, suffix)
+    with ThreadPoolExecutor(16) as pool:
+        headers = list(pool.map(lambda f: _first_line(spark, f), paths))
     groups: dict[str, list[str]] = {}
-    for row in first.orderBy("file").toLocalIterator():
-        groups.setdefault(row["header"].rstrip("\r").removeprefix("\ufeff"), []).append(row["file"])
+    for header, path in zip(headers, paths, strict=True):
+        if header:
+            groups.setdefault(header, []).append(path)
     return groups
 
 
+_STAGED = "visible-copy-"
+
+
+def _readable(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Paths that Spark's readers do not pass over.
+
+    They leave out files whose own name begins with ``_`` or ``.``; such files (the campaign information
+    files are named so) are copied, project and campaign folder included, below the shared scratch folder
+    under a name with one letter before it. The copy streams through the file system client.
+    """
+    hidden = [p for p in paths if p.rsplit("/", 1)[1][0] in "_."]
+    if not hidden:
+        return paths
+    target, out = f"{scratch_root(spark)}/{_STAGED}{uuid.uuid4().hex}", {}
+    conf, copy = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.FileUtil.copy
+    for i, p in enumerate(hidden):
+        *_, project, campaign, name = p.split("/")
+        out[p] = f"{target}/{i}/{project}/{campaign}/v{name}"
+        (fs, source), (to, place) = _file_system(spark, p), _file_system(spark, out[p])
+        copy(fs, source, to, place, False, conf)
+    return [out.get(p, p) for p in paths]
+
+
+def _columns_of(header: str, sep: str) -> list[str]:
+    return next(csv.reader(io.StringIO(header), delimiter=sep, quotechar='"', doublequote=True), [])
+
+
+def _scan_group(spark: SparkSession, header: str, paths: list[str], sep: str, multi_line: bool,
+                odd: str) -> tuple[DataFrame, list[str]]:
+    """Files with one header under places 0, 1, ... as text, with the record of a row of another width."""
+    names = unique_names(_columns_of(header, sep))
+    places = [f"c{i}" for i in range(len(names))]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*places, _ODD)])
+    raw = (spark.read.schema(schema).csv(
+        [_escape_glob(p) for p in _readable(spark, paths)], header=True, sep=sep, quote='"', escape='"',
+        multiLine=multi_line, ignoreTrailingWhiteSpace=False, ignoreLeadingWhiteSpace=False,
+        mode="PERMISSIVE", columnNameOfCorruptRecord=_ODD))
+    if odd == "fail":
+        problem = F.concat(
+            F.lit(f"a row is not as wide as its header ({len(names)} columns) in "), F.col("_metadata.file_path"),
+            F.lit(": "), F.substring(_ODD, 1, 200))
+        raw = raw.select("*", "_metadata").filter(
+            F.when(F.col(_ODD).isNotNull(), F.raise_error(problem).cast("boolean")).otherwise(True))
+    return raw, names
+
+
+_ODD = "__odd"
+
+
 def scan_files(spark: SparkSession, root: str, suffix: str, sep: str = ",",
                na: Sequence[str] = DEFAULT_NA, layout: str = "project/campaign",
-               multi_line: bool = False) -> DataFrame:
+               multi_line: bool = False, odd_rows: str = "fail") -> DataFrame:
     """All files below ``root`` whose name ends in ``suffix``, as text columns.
 
     Headers are normalised, missing-value tokens become NULL, and the
-    provenance columns come first.
+    provenance columns come first.  Files whose name begins with ``_`` or
+    ``.`` are read like any other.  ``multi_line`` reads cells with line
+    breaks (such files are not split).  A row that is not as wide as its
+    header ends the job that reads it; with ``odd_rows="skip"`` it is left
+    to :func:`odd_width_rows`, which lists all of them.
     """
+    tables = []
+    for header, paths in _groups(spark, root, suffix).items():
+        raw, names = _scan_group(spark, header, paths, sep, multi_line, odd_rows)
+        if odd_rows == "skip":
+            raw = raw.select("*", "_metadata").filter(F.col(_ODD).isNull())
+        source = provenance(_seen_path(), suffix, layout)
+        keep = [(i, n) for i, n in enumerate(names) if n not in source]
+        tables.append(raw.select(*[c.alias(n) for n, c in source.items()],
+                                 *[F.col(f"c{i}").alias(n) for i, n in keep]))
+    return null_tokens(bind_rows(*tables), na)
+
+
+def _groups(spark: SparkSession, root: str, suffix: str) -> dict[str, list[str]]:
     groups = files_by_header(spark, root, suffix)
     if not groups:
         raise FileNotFoundError(f"no file ending in {suffix!r} below {root!r}")
+    return groups
+
+
+def _seen_path() -> Column:
+    """The path of the file a row came from, a copy's letter taken off again."""
+    path = decoded(F.col("_metadata.file_path"))
+    return F.when(path.contains(f"/{_STAGED}"), F.regexp_replace(path, "/v([^/]*)$", "/$1")).otherwise(path)
+
+
+def odd_width_rows(spark: SparkSession, root: str, suffix: str, sep: str = ",",
+                   layout: str = "project/campaign", multi_line: bool = False) -> DataFrame:
+    """Provenance, file and record of every row that is not as wide as its file's header."""
     tables = []
-    for paths in groups.values():
-        raw = spark.read.csv([_escape_glob(p) for p in paths], header=True, sep=sep,
-                             quote='"', escape='"', multiLine=multi_line,
-                             ignoreTrailingWhiteSpace=False,
-                             ignoreLeadingWhiteSpace=False)
-        source = provenance(decoded(F.col("_metadata.file_path")), suffix, layout)
-        tagged = raw.select("*", *[c.alias("__" + n) for n, c in source.items()])
-        values = clean_names(raw).columns
-        named = tagged.toDF(*values, *["__" + n for n in source])
-        keep = [c for c in values if c not in source]
-        tables.append(named.select(*[F.col("__" + n).alias(n) for n in source], *keep))
-    return null_tokens(bind_rows(*tables), na)
+    for header, paths in _groups(spark, root, suffix).items():
+        raw, _ = _scan_group(spark, header, paths, sep, multi_line, "keep")
+        # Spark refuses to read nothing but the odd records, so the filter looks at a cell as well
+        cell = F.length(F.coalesce("c0", F.lit(""))) >= 0
+        rows = raw.select("*", "_metadata").filter(F.col(_ODD).isNotNull() & cell)
+        tables.append(rows.select(*[c.alias(n) for n, c in provenance(_seen_path(), suffix, layout).items()],
+                                  _seen_path().alias("file"), F.col(_ODD).alias("record")))
+    return bind_rows(*tables)
 
 
 def scan_tsv(spark: SparkSession, root: str, suffix: str = "_Habitat.point.score.txt",
-             na: Sequence[str] = DEFAULT_NA, layout: str = "project/campaign") -> DataFrame:
-    return scan_files(spark, root, suffix, sep="\t", na=na, layout=layout)
-
+             na: Sequence[str] = DEFAULT_NA, layout: str = "project/campaign",
+             multi_line: bool = False) -> DataFrame:
+    return scan_files(spark, root, suffix, sep="\t", na=na, layout=layout, multi_line=multi_line)
 
-def scan_campaign_info(spark: SparkSession, root: str, suffix: str = "info.csv",
-                       layout: str = "project/campaign") -> DataFrame:
-    """Name/value pairs of all campaigns in one scan.
 
-    Spark passes over files whose name starts with a dot or underscore, so
-    the files have to be stored under another name.
-    """
-    info = scan_files(spark, root, suffix, layout=layout)
+def scan_campaign_info(spark: SparkSession, root: str, suffix: str = ".info.csv",
+                       layout: str = "project/campaign", multi_line: bool = True) -> DataFrame:
+    """Name/value pairs of all campaigns in one scan; the files are usually named ``.info.csv``."""
+    info = scan_files(spark, root, suffix, layout=layout, multi_line=multi_line)
     return info.select("project", "campaignid", "name", "value")
 
 
 def scan_reference_table(spark: SparkSession, path: str, sep: str = ",",
-                         na: Sequence[str] = DEFAULT_NA) -> DataFrame:
-    """A life-history, synonym or name-map table (csv or parquet)."""
+                         na: Sequence[str] = DEFAULT_NA, multi_line: bool = True) -> DataFrame:
+    """A life-history, synonym or name-map table (csv or parquet); cells may hold line breaks."""
     if path.rstrip("/").endswith(".parquet"):
         return clean_names(spark.read.parquet(path))
-    raw = spark.read.csv(path, header=True, sep=sep, quote='"', escape='"')
+    raw = spark.read.csv(path, header=True, sep=sep, quote='"', escape='"', multiLine=multi_line)
     return null_tokens(clean_names(raw), na)
 
 
+def load_name_map(table: DataFrame, old: str = "old_name", new: str = "new_name") -> list[tuple[str, str]]:
+    """The pairs of a map from detailed habitat names to broad ones, for ``rename_by_map``.
+
+    Both columns come in the form headers have here (lower case, ``_`` for
+    dots and blanks), new names are lower-cased.  Pairs keep the order of the
+    table when it has an ``order`` column, and are sorted otherwise; a map
+    has at most one row per column of a table, so it is brought to the driver.
+    """
+    rows = table.filter(F.col(old).isNotNull() & F.col(new).isNotNull())
+    rows = rows.orderBy(*(["order"] if "order" in table.columns else []), old, new)
+    pairs = [(clean_name(r[old]), clean_name(r[new])) for r in rows.select(old, new).collect()]
+    return list(dict.fromkeys(pairs))
+
+
 # The metadata columns a study keeps, in their usual order.
 METADATA_COLUMNS = (
     "project", "campaignid", "sample", "latitude", "longitude", "date", "time",
@@ -126,9 +249,13 @@ METADATA_COLUMNS = (
 
 def scan_metadata(spark: SparkSession, root: str, suffix: str = "_Metadata.csv",
                   layout: str = "project/campaign",
-                  columns: Sequence[str] | None = METADATA_COLUMNS) -> DataFrame:
-    """Sample metadata narrowed to the usual columns (``None`` keeps all)."""
-    meta = scan_files(spark, root, suffix, layout=layout)
+                  columns: Sequence[str] | None = METADATA_COLUMNS,
+                  multi_line: bool = True) -> DataFrame:
+    """Sample metadata narrowed to the usual columns (``None`` keeps all).
+
+    Its comments are free text, so cells with line breaks are expected.
+    """
+    meta = scan_files(spark, root, suffix, layout=layout, multi_line=multi_line)
     if columns is None:
         return meta
     if layout == "flat":

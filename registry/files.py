@@ -5,6 +5,7 @@ Every call writes into a folder of its own below the shared scratch folder.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -16,6 +17,10 @@ from registry.book import query
 
 
 def _fresh(r) -> str:
+    """A new folder below the shared one; a session on this machine alone may go without that setting."""
+    alone = r.spark.sparkContext.master.split("[")[0] == "local"
+    if alone and not r.spark.conf.get("spark.checkpoint.dir", None):
+        r.spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="survey-"))
     return f"{scratch_root(r.spark)}/survey-files-{uuid.uuid4().hex}"
 
 

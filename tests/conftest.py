@@ -4,8 +4,9 @@ from fathomframe import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tests", "local[4]", 4, **{"spark.ui.enabled": "false"})
+def spark(tmp_path_factory):
+    session = build_session("tests", "local[4]", 4, **{
+        "spark.ui.enabled": "false", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
