@@ -43,6 +43,11 @@ def cells_by_left(cells: DataFrame, left: Sequence[str], right: Sequence[str],
     return packed.groupBy(*left).agg(F.collect_list(_ONE).alias(_CELLS))
 
 
+def cells_column() -> Column:
+    """The gathered cells of a left row, to carry them through a select."""
+    return F.col(_CELLS)
+
+
 def no_cells() -> Column:
     """True for a left row that came from elsewhere and has no cells at all."""
     return F.col(_CELLS).isNull()
@@ -109,20 +114,25 @@ def fill_missing(df: DataFrame, fill: Mapping[str, object]) -> DataFrame:
 def complete_cells(cells: DataFrame, left: Sequence[str], right: Sequence[str],
                    fill: Mapping[str, object] | None = None,
                    carry: DataFrame | None = None, carry_how: str = "inner",
-                   blocks: int = RIGHT_BLOCKS) -> DataFrame:
+                   blocks: int = RIGHT_BLOCKS, wanted: Column | None = None) -> DataFrame:
     """Complete a table that holds each (left, right) pair once.
 
     The table is read once and its rows travel inside the array of their left
     tuple.  ``carry`` (keyed by ``left``) is joined there too, that is once
-    per left tuple and not once per dense row.
+    per left tuple and not once per dense row.  Only ``right`` tuples that
+    are ``wanted`` are filled in or returned; left tuples stay whatever they hold.
     """
     left, right = list(left), list(right)
     values = [c for c in cells.columns if c not in left and c not in right]
     by_left = cells_by_left(cells, left, right, blocks)
     tuples = right_tuples(by_left, right)
+    if wanted is not None:
+        tuples = tuples.filter(wanted)
     if carry is not None:
         by_left = join_on(by_left, hinted(carry), left, carry_how, null_safe=left)
     out = expand_cells(by_left, left, tuples, right, values, blocks)
+    if wanted is not None:
+        out = out.filter(wanted)
     return fill_missing(out, fill) if fill else out
 
 
@@ -142,6 +152,36 @@ def complete(df: DataFrame, left: Sequence[str], right: Sequence[str],
     return fill_missing(out, fill) if fill else out
 
 
+def complete_classes(df: DataFrame, left: Sequence[str], column: str,
+                     fill: Mapping[str, object] | None = None) -> DataFrame:
+    """:func:`complete` for one column of few distinct values, in one exchange.
+
+    The values are measured and brought to the driver: they are the classes
+    of a count (legal and sublegal), not data.  Rows are gathered to their
+    left tuple, where the classes it lacks are added.
+    """
+    classes = sorted((r[0] for r in df.select(column).distinct().collect()), key=lambda v: (v is None, v))
+    kind, left = df.schema[column].dataType, list(left)
+    others = [c for c in df.columns if c not in left]
+    if len(classes) > MOST_CLASSES:
+        return complete(df, left, [column], fill)
+    every = F.array(*[F.lit(v).cast(kind) for v in classes])
+    gathered = df.groupBy(*left).agg(F.collect_list(F.struct(*others)).alias(_CELLS))
+    blank = [F.lit(None).cast(df.schema[c].dataType).alias(c) for c in others if c != column]
+    lacking = F.filter(every, lambda v: ~F.exists(_CELLS, lambda c: c[column].eqNullSafe(v)))
+    added = F.transform(lacking, lambda v: F.struct(
+        *[v.alias(c) if c == column else b for c, b in zip(others, _in_order(others, column, blank), strict=True)]))
+    out = gathered.select(*left, F.explode(F.concat(_CELLS, added)).alias(_ONE)).select(
+        *left, *[F.col(f"{_ONE}.{c}").alias(c) for c in others]).select(*df.columns)
+    return fill_missing(out, fill) if fill else out
+
+
+def _in_order(names: Sequence[str], column: str, blanks: Sequence[Column]) -> list[Column | None]:
+    rest = iter(blanks)
+    return [None if n == column else next(rest) for n in names]
+
+
+MOST_CLASSES = 100
 _CHUNK = 10_000
 
 

@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomframe.functions.columns import (
-    SAMPLE, TAXON, measure_rank, sample_id, scientific_name)
+    SAMPLE, TAXON, measure_rank, sample_id, scientific_name, to_numeric)
 from fathomframe.operators.aggregates import best_ranked, geometric_mean
 from fathomframe.operators.filters import exclude_values, positive
 from fathomframe.operators.joins import (
-    anti_join, attach_metadata, fits_broadcast, hinted, join_on)
+    anti_join, attach_metadata, hinted, join_on, lookup_join)
 from fathomframe.operators.reshape import (
-    cells_by_left, complete_cells, expand_cells, fill_missing, no_cells, right_tuples,
-    uncount)
+    cells_by_left, cells_column, complete_cells, expand_cells, fill_missing, no_cells,
+    right_tuples, uncount)
 
 
 def complete_maxn(maxn: DataFrame, metadata: DataFrame,
@@ -28,11 +28,37 @@ def complete_maxn(maxn: DataFrame, metadata: DataFrame,
     """
     key = [key] if isinstance(key, str) else list(key)
     summed = maxn.groupBy(*key, *TAXON).agg(
-        F.sum(F.coalesce(F.col("maxn").cast("double"), F.lit(0.0))).alias("maxn"))
-    filled = complete_cells(summed, key, TAXON, fill={"maxn": 0.0},
-                            carry=metadata.drop("id"))
-    named = exclude_values(filled, "family", ["Unknown"], keep_missing=False)
-    return named.withColumns({"scientific": scientific_name(), "id": sample_id()})
+        F.sum(F.coalesce(to_numeric("maxn"), F.lit(0.0))).alias("maxn"))
+    filled = complete_cells(summed, key, TAXON, fill={"maxn": 0.0}, carry=metadata.drop("id"),
+                            wanted=F.col("family") != "Unknown")
+    return filled.withColumns({"scientific": scientific_name(), "id": sample_id()})
+
+
+def _known(length: DataFrame) -> DataFrame:
+    return exclude_values(length, "family", ["Unknown"], keep_missing=False).select(
+        *SAMPLE, *TAXON, to_numeric("length").alias("length"), to_numeric("number").alias("number"),
+        to_numeric("range").alias("range"))
+
+
+def _pairs(known: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Samples of the metadata with the taxa seen in them."""
+    return join_on(known.select(*SAMPLE, *TAXON).distinct(), metadata.select(*SAMPLE), SAMPLE,
+                   "left_semi", null_safe=())
+
+
+def _no_taxon(samples: DataFrame) -> DataFrame:
+    """The missing taxon as one row, if there is a sample."""
+    return samples.select(*[F.lit(None).cast("string").alias(t) for t in TAXON]).distinct()
+
+
+def _completion(known: DataFrame, metadata: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows with factors; samples with their cells and factors; the taxa to complete."""
+    observed = join_on(known, metadata, SAMPLE, "inner", null_safe=())
+    # ``seen`` has one row per sample, so the right join meets no hot key.
+    seen = cells_by_left(_pairs(known, metadata), SAMPLE, TAXON)
+    samples = join_on(seen, metadata, SAMPLE, "right", null_safe=())
+    taxa = right_tuples(seen, TAXON).unionByName(_no_taxon(samples.filter(no_cells())))
+    return observed, samples, taxa
 
 
 def complete_length(length: DataFrame, metadata: DataFrame) -> DataFrame:
@@ -42,35 +68,35 @@ def complete_length(length: DataFrame, metadata: DataFrame) -> DataFrame:
     without taxon stands for it, and that missing taxon takes part in the
     completion like any other.
     """
-    metadata = hinted(metadata.drop("id"))
-    known = exclude_values(length, "family", ["Unknown"], keep_missing=False).select(
-        *SAMPLE, *TAXON, F.col("length").cast("double").alias("length"), "number", "range")
-    observed = join_on(known, metadata, SAMPLE, "inner", null_safe=())
-
-    # ``seen`` has one row per sample, so the right join meets no hot key.
-    pairs = join_on(known.select(*SAMPLE, *TAXON).distinct(), metadata.select(*SAMPLE), SAMPLE,
-                    "left_semi", null_safe=())
-    seen = cells_by_left(pairs, SAMPLE, TAXON)
-    samples = join_on(seen, metadata, SAMPLE, "right", null_safe=())
-    no_taxon = (samples.filter(no_cells())
-                .select(*[F.lit(None).cast("string").alias(t) for t in TAXON]).distinct())
-    taxa = right_tuples(seen, TAXON).unionByName(no_taxon)
+    observed, samples, taxa = _completion(_known(length), hinted(metadata.drop("id")))
     missing = expand_cells(samples, SAMPLE, taxa, TAXON)
     filled = observed.unionByName(missing, allowMissingColumns=True)
     return fill_missing(filled, {"number": 0}).withColumn("id", sample_id())
 
 
+def completed_taxa(length: DataFrame, metadata: DataFrame) -> DataFrame:
+    """The taxa of :func:`complete_length`, from the observed rows alone."""
+    pairs = _pairs(_known(length), metadata)
+    empty = join_on(metadata.select(*SAMPLE), pairs.select(*SAMPLE).distinct(), SAMPLE, "left_anti",
+                    null_safe=())
+    return pairs.select(*TAXON).distinct().unionByName(_no_taxon(empty))
+
+
 def expanded_length(completed: DataFrame) -> DataFrame:
     """One row per measured individual."""
     return uncount(completed.filter(F.col("length").isNotNull()), "number")
 
 
-def missing_length_weight(completed: DataFrame, life_history: DataFrame,
+def missing_length_weight(taxa: DataFrame, life_history: DataFrame,
                           level: str = "species") -> DataFrame:
-    """Taxa, genera or families without any length-weight relation."""
+    """Taxa, genera or families without any length-weight relation.
+
+    ``taxa`` is any table with taxa; :func:`completed_taxa` gives those of a
+    completed table without completing it.
+    """
     keys = {"species": list(TAXON), "genus": ["genus"], "family": ["family"]}[level]
     known = life_history.filter(F.col("a").isNotNull())
-    return anti_join(completed.select(*keys).distinct(), known, keys)
+    return anti_join(taxa.select(*keys).distinct(), known, keys)
 
 
 def family_length_weight(life_history: DataFrame) -> DataFrame:
@@ -90,43 +116,53 @@ def body_mass(length_cm: Column, a: Column, b: Column, all_: Column, bll: Column
     return F.when(~F.isnan(grams), grams)
 
 
+# Parameters of the length-weight relation, and the columns of a mass table.
 _LW = ("length_measure", "a", "b", "all", "bll")
 MASS_COLUMNS = ("family", "genus", "species", "length", "range", "number", "mass_g", "length_cm")
 
 
-def length_to_mass(completed: DataFrame, life_history: DataFrame,
-                   metadata: DataFrame | None = None,
-                   key: Sequence[str] = SAMPLE) -> DataFrame:
-    """Biomass of each completed length row.
+def mass_parameters(taxa: DataFrame, life_history: DataFrame) -> DataFrame:
+    """Length-weight parameters (``__a``, ``__b``, ``__all``, ``__bll``) of distinct taxa.
 
-    Parameters come from genus and species; where those are not listed, from
-    the family.  Rows without parameters are dropped.  With ``metadata`` the
-    factors are joined by ``key``; otherwise those already present stay.
+    They come from genus and species; where those are not listed, from the
+    family.  A taxon listed twice has two rows, one without ``a`` has none.
     """
-    key = [key] if isinstance(key, str) else list(key)
     lw = life_history.select("genus", "species", *[F.col(c).alias("s_" + c) for c in _LW],
                              F.lit(True).alias("listed"))
     fam = family_length_weight(life_history).select(
         "family", F.lit(True).alias("unlisted"), *[F.col(c).alias("f_" + c) for c in _LW])
-    # The family table has at most the rows of the table it summarises, so
-    # one measurement decides for both.
-    if fits_broadcast(lw):
-        lw, fam = F.broadcast(lw), F.broadcast(fam)
-    rows = join_on(completed, lw, ["genus", "species"], "left")
+    rows = join_on(taxa.select(*TAXON), lw, ["genus", "species"], "left")
     rows = rows.withColumn("unlisted", F.col("listed").isNull())
     rows = join_on(rows, fam, ["family", "unlisted"], "left")
-
     pick = {c: F.when(F.col("unlisted"), F.col("f_" + c)).otherwise(F.col("s_" + c))
             for c in _LW}
-    rows = rows.withColumns({"__" + c: v for c, v in pick.items()})
-    rows = rows.filter(F.col("__a").isNotNull())
+    rows = rows.select(*TAXON, *[v.alias("__" + c) for c, v in pick.items()])
     standard = F.col("__length_measure").isin("TL", "FL", "SL")
-    all_ = F.when(F.col("__all").isNull() & standard, 0.0).otherwise(F.col("__all"))
-    bll = F.when(F.col("__bll").isNull() & standard, 1.0).otherwise(F.col("__bll"))
+    return rows.filter(F.col("__a").isNotNull()).withColumns({
+        "__all": F.when(F.col("__all").isNull() & standard, 0.0).otherwise(F.col("__all")),
+        "__bll": F.when(F.col("__bll").isNull() & standard, 1.0).otherwise(F.col("__bll")),
+    }).drop("__length_measure")
+
+
+def _weighed(rows: DataFrame) -> DataFrame:
     cm = F.col("length") / 10
-    rows = rows.withColumns({
-        "length_cm": cm,
-        "mass_g": body_mass(cm, F.col("__a"), F.col("__b"), all_, bll) * F.col("number")})
+    grams = body_mass(cm, F.col("__a"), F.col("__b"), F.col("__all"), F.col("__bll"))
+    return rows.withColumns({"length_cm": cm, "mass_g": grams * F.col("number")})
+
+
+def length_to_mass(completed: DataFrame, life_history: DataFrame,
+                   metadata: DataFrame | None = None,
+                   key: Sequence[str] = SAMPLE) -> DataFrame:
+    """Biomass of each row of a length table that was completed before.
+
+    Rows without parameters are dropped.  With ``metadata`` the factors are
+    joined by ``key``; otherwise those already present stay.  Parameters are
+    found once per taxon, so rows meet one small table.  To complete and
+    weigh in one go, :func:`complete_mass` needs no join of dense rows.
+    """
+    key = [key] if isinstance(key, str) else list(key)
+    rows = lookup_join(completed, mass_parameters(completed.select(*TAXON).distinct(), life_history), TAXON)
+    rows = _weighed(rows)
     if metadata is not None:
         own = [c for c in dict.fromkeys([*key, *MASS_COLUMNS])]
         return attach_metadata(rows.select(*own), metadata, "inner", key)
@@ -134,6 +170,39 @@ def length_to_mass(completed: DataFrame, life_history: DataFrame,
     return rows.select(*kept, *MASS_COLUMNS)
 
 
+def complete_mass(length: DataFrame, metadata: DataFrame, life_history: DataFrame,
+                  key: Sequence[str] = SAMPLE) -> DataFrame:
+    """:func:`complete_length` and :func:`length_to_mass` in one.
+
+    Parameters are found per taxon, taxa without any are left out before the
+    expansion, and factors are joined per sample, so no join stands above
+    the dense rows.  A row filled in has no length and no mass, only its
+    taxon: one listed twice is filled in twice.  ``key=("sample",)`` takes
+    the factors of every campaign that has a sample of that name.
+    """
+    key = [key] if isinstance(key, str) else list(key)
+    factors = hinted(metadata.drop("id"))
+    known = _known(length)
+    observed, samples, taxa = _completion(known, factors)
+    parameters = hinted(mass_parameters(taxa, life_history))
+    found = join_on(observed, parameters, TAXON)
+    if key != list(SAMPLE):
+        found = attach_metadata(found.select(*key, *TAXON, "length", "number", "range", "__a", "__b",
+                                             "__all", "__bll"), factors, "inner", key)
+        samples = join_on(samples.select(*key, cells_column()), factors, key, "inner", null_safe=())
+    times = parameters.groupBy(*TAXON).agg(F.count(F.lit(1)).alias("times"))
+    most = times.agg(F.max("times")).first()[0] or 0
+    rows = fill_missing(found, {"number": 0})
+    rows = _weighed(rows).drop("__a", "__b", "__all", "__bll")
+    for n in range(1, most + 1):
+        listed = times.filter(F.col("times") >= n).select(*TAXON)
+        rows = rows.unionByName(expand_cells(samples, key, listed, TAXON).withColumn(
+            "number", F.lit(0.0)), allowMissingColumns=True)
+    kept = [c for c in rows.columns if c not in MASS_COLUMNS]
+    out = rows.select(*kept, *MASS_COLUMNS)
+    return out.withColumn("id", sample_id()) if key == list(SAMPLE) else out
+
+
 def check_mass(mass: DataFrame) -> DataFrame:
     """Mass per individual (kg) and length (cm) per taxon, heaviest first.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fathomframe.functions.columns import SAMPLE, TAXON, to_numeric
 from fathomframe.operators.filters import positive, successful
 from fathomframe.operators.joins import attach_metadata
-from fathomframe.operators.reshape import bind_rows, complete
+from fathomframe.operators.reshape import bind_rows, complete_classes
 
 
 def maxn_from_points(points: DataFrame) -> DataFrame:
@@ -58,6 +58,6 @@ def complete_count(count: DataFrame, metadata: DataFrame,
     """Zero counts for each class a taxon was not counted in, plus the factors."""
     keys = [c for c in ("project", *SAMPLE, *TAXON) if c in count.columns]
     numeric = count.select(*keys, within, to_numeric("count").alias("count"))
-    filled = complete(numeric, keys, [within], fill={"count": 0}, blocks=1)
+    filled = complete_classes(numeric, keys, within, fill={"count": 0})
     join_keys = [c for c in ("project", *SAMPLE) if c in count.columns and c in metadata.columns]
     return attach_metadata(filled, metadata, "left", join_keys)

@@ -268,8 +268,8 @@ def _(r):
 @query("region_filter", """SELECT family, genus, species, marine_region FROM life_history
     WHERE marine_region LIKE '%NW%' AND family <> 'SMALL'""")
 def _(r):
-    return flt.in_region(r.life_history_sheet()).filter(F.col("family") != "SMALL").select(
-        *C.TAXON, "marine_region")
+    """The sheet lists SMALL taxa for another country only."""
+    return flt.in_region(r.life_history_sheet()).select(*C.TAXON, "marine_region")
 
 
 @query("exclude_spp", """SELECT campaignid, sample, genus, species FROM (

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fathomframe.functions import columns as C
-from fathomframe.operators import filters as flt
 from fathomframe.plans import check, format as fmt, gather, habitat as hab
 from fathomframe.plans.info import campaign_info_wide
 from registry.book import query, rounded
@@ -30,12 +29,11 @@ def _taxon_eq(a: str, b: str) -> str:
       FROM (SELECT campaignid, sample, family, genus, species, frame, sum(number) AS n,
               min(periodtime) AS t FROM points GROUP BY ALL)
       GROUP BY ALL
-      UNION ALL SELECT campaignid, sample, family, genus, species, "count", NULL FROM count_role
-        WHERE legal_sublegal = 'F') x
+      UNION ALL SELECT campaignid, sample, family, genus, species, "count", NULL FROM count_role) x
     JOIN metadata m ON x.campaignid = m.campaignid AND x.sample = m.sample
     WHERE successful_count = 'Yes' AND maxn > 0""")
 def _(r):
-    return gather.build_maxn(r.points(), r.count().filter("legal_sublegal = 'F'"), r.metadata())
+    return gather.build_maxn(r.points(), r.count(), r.metadata())
 
 
 @query("build_length3d", """SELECT l.campaignid, l.sample, family, genus, species, length, number,
@@ -66,14 +64,10 @@ def _(r):
 
 @query("load_life_history", """SELECT DISTINCT family, genus, species, marine_region,
       length_measure, round(a, 6) AS a, round(b, 6) AS b, "all", bll, fb_length_max, fb_ltypemaxm
-    FROM life_history WHERE marine_region LIKE '%NW%' AND family <> 'SMALL'
-    UNION SELECT family, genus, species, marine_region, length_measure, round(a, 6), round(b, 6),
-      "all", bll, fb_length_max, fb_ltypemaxm FROM life_history
-    WHERE marine_region LIKE '%NW%' AND family = 'SMALL'""")
+    FROM life_history WHERE marine_region LIKE '%NW%' AND family <> 'SMALL'""")
 def _(r):
-    sheet = r.life_history_sheet().withColumn(
-        "global_region", F.concat(F.lit("Australia/"), "global_region"))
-    return rounded(check.load_life_history(sheet), digits=6)
+    """The sheet lists SMALL taxa for another country only."""
+    return rounded(check.load_life_history(r.life_history_sheet()), digits=6)
 
 
 _RENAMED = f"""SELECT l.* REPLACE (coalesce(new_family, l.family) AS family,
@@ -295,6 +289,14 @@ def _completed(r):
     return fmt.complete_length(_named(r.observed()), r.metadata())
 
 
+def _taxa(r):
+    return fmt.completed_taxa(_named(r.observed()), r.metadata())
+
+
+def _mass(r, key=C.SAMPLE):
+    return fmt.complete_mass(_named(r.observed()), r.metadata(), r.life_history(), key)
+
+
 @query("complete_maxn", f"""SELECT x.campaignid, x.sample, family, genus, species, maxn, {_META},
       concat(family, ' ', genus, ' ', species) AS scientific,
       concat(x.campaignid, '.', x.sample) AS id
@@ -344,17 +346,17 @@ def _missing(keys: list[str]) -> str:
 
 @query("missing_lw_species", _missing(["family", "genus", "species"]), _FORMAT)
 def _(r):
-    return fmt.missing_length_weight(_completed(r), r.life_history(), "species")
+    return fmt.missing_length_weight(_taxa(r), r.life_history(), "species")
 
 
 @query("missing_lw_genus", _missing(["genus"]), _FORMAT)
 def _(r):
-    return fmt.missing_length_weight(_completed(r), r.life_history(), "genus")
+    return fmt.missing_length_weight(_taxa(r), r.life_history(), "genus")
 
 
 @query("missing_lw_family", _missing(["family"]), _FORMAT)
 def _(r):
-    return fmt.missing_length_weight(_completed(r), r.life_history(), "family")
+    return fmt.missing_length_weight(_taxa(r), r.life_history(), "family")
 
 
 @query("family_length_weight", """SELECT family, length_measure, round(a, 6) AS a,
@@ -369,16 +371,23 @@ def _(r):
       concat(x.campaignid, '.', x.sample) AS id
     FROM mass x LEFT {_META_JOIN}""", _FORMAT)
 def _(r):
+    return rounded(_mass(r), "mass_g")
+
+
+@query("length_to_mass_completed", f"""SELECT x.campaignid, x.sample, family, genus, species, length,
+      x.range, number, round(mass_g, 4) AS mass_g, length_cm, {_META},
+      concat(x.campaignid, '.', x.sample) AS id
+    FROM mass x LEFT {_META_JOIN}""", _FORMAT)
+def _(r):
+    """From a table that was completed before."""
     return rounded(fmt.length_to_mass(_completed(r), r.life_history()), "mass_g")
 
 
 @query("length_to_mass_by_sample", f"""SELECT m.campaignid, x.sample, family, genus, species, length,
       x.range, number, round(mass_g, 4) AS mass_g, length_cm, {_META}
-    FROM mass x JOIN metadata m ON x.sample = m.sample WHERE number > 0""", _FORMAT)
+    FROM mass x JOIN metadata m ON x.sample = m.sample""", _FORMAT)
 def _(r):
-    completed = flt.positive(_completed(r), "number")
-    mass = fmt.length_to_mass(completed, r.life_history(), r.metadata(), key=["sample"])
-    return rounded(mass, "mass_g")
+    return rounded(_mass(r, ["sample"]), "mass_g")
 
 
 @query("check_mass", """SELECT family, genus, species, round(avg(kg), 3) AS mean_kg,
@@ -387,7 +396,7 @@ def _(r):
     FROM (SELECT family, genus, species, mass_g / number / 1000 AS kg,
             round(length / 10, 2) AS cm FROM mass WHERE mass_g > 0) GROUP BY ALL""", _FORMAT)
 def _(r):
-    return fmt.check_mass(fmt.length_to_mass(_completed(r), r.life_history()))
+    return fmt.check_mass(_mass(r))
 
 
 # ---------------------------------------------------------------- habitat

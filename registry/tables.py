@@ -44,31 +44,40 @@ def _(r):
       coalesce(s.sample, m.sample) AS sample, coalesce(s.family, m.family) AS family,
       coalesce(s.genus, m.genus) AS genus, coalesce(s.species, m.species) AS species,
       stereo_maxn, maxn
-    FROM stereo s FULL JOIN (SELECT * FROM maxn_role WHERE maxn > 3) m
+    FROM stereo s FULL JOIN (SELECT * REPLACE (CASE WHEN maxn > 3 THEN species ELSE 'sp9' END AS species)
+                       FROM maxn_role) m
       ON s.campaignid = m.campaignid AND s.sample = m.sample
       AND s.family IS NOT DISTINCT FROM m.family AND s.genus IS NOT DISTINCT FROM m.genus
       AND s.species IS NOT DISTINCT FROM m.species""", {"stereo": _STEREO})
 def _(r):
-    return J.join_on(check.stereo_maxn(r.observed()), r.maxn().filter("maxn > 3"),
-                     [*C.SAMPLE, *C.TAXON], "full")
+    """Rare taxa are counted under another species, so both sides have rows of their own."""
+    counted = r.maxn().withColumn("species", F.when(F.col("maxn") > 3, F.col("species")).otherwise("sp9"))
+    return J.join_on(check.stereo_maxn(r.observed()), counted, [*C.SAMPLE, *C.TAXON], "full")
 
 
 @query("full_join_habitat", """SELECT coalesce(a.campaignid, b.campaignid, c.campaignid) AS campaignid,
       coalesce(a.sample, b.sample, c.sample) AS sample, a.flat, b.open, c.sand
-    FROM (SELECT campaignid, sample, relief_0_flat AS flat FROM habitat WHERE relief_0_flat > 12) a
-    FULL JOIN (SELECT campaignid, sample, fieldofview_open AS open FROM habitat
-               WHERE fieldofview_limited > 12) b
+    FROM (SELECT campaignid, concat(sample, CASE WHEN relief_0_flat > 12 THEN '' ELSE 'f' END) AS sample,
+            relief_0_flat AS flat FROM habitat) a
+    FULL JOIN (SELECT campaignid,
+            concat(sample, CASE WHEN fieldofview_limited > 12 THEN '' ELSE 'l' END) AS sample,
+            fieldofview_open AS open FROM habitat) b
       ON a.campaignid = b.campaignid AND a.sample = b.sample
-    FULL JOIN (SELECT campaignid, sample, sand FROM habitat WHERE sand > 12) c
+    FULL JOIN (SELECT campaignid, concat(sample, CASE WHEN sand > 12 THEN '' ELSE 's' END) AS sample,
+            sand FROM habitat) c
       ON c.campaignid = coalesce(a.campaignid, b.campaignid)
       AND c.sample = coalesce(a.sample, b.sample)""")
 def _(r):
+    """Samples of few points have another name in each table, so each has rows of its own."""
     h = r.habitat()
+
+    def part(points: str, mark: str, value: str, name: str):
+        few = F.when(F.col(points) > 12, "").otherwise(mark)
+        return h.select("campaignid", F.concat("sample", few).alias("sample"), F.col(value).alias(name))
+
     return hab.full_join_habitat(
-        h.filter("relief_0_flat > 12").select(*C.SAMPLE, F.col("relief_0_flat").alias("flat")),
-        h.filter("fieldofview_limited > 12").select(
-            *C.SAMPLE, F.col("fieldofview_open").alias("open")),
-        h.filter("sand > 12").select(*C.SAMPLE, "sand"))
+        part("relief_0_flat", "f", "relief_0_flat", "flat"),
+        part("fieldofview_limited", "l", "fieldofview_open", "open"), part("sand", "s", "sand", "sand"))
 
 
 @query("anti_join", """SELECT campaignid, sample, family, genus, species, length FROM length_raw l
@@ -158,12 +167,10 @@ def _(r):
 
 
 @query("bind_rows", """SELECT genus, species, a, NULL::VARCHAR AS family FROM life_history
-      WHERE species = 'sp0'
-    UNION ALL SELECT NULL, NULL, a, family FROM life_history WHERE species = 'sp2'""")
+    UNION ALL SELECT NULL, NULL, a, family FROM life_history""")
 def _(r):
     lh = r.life_history()
-    return R.bind_rows(lh.filter("species = 'sp0'").select("genus", "species", "a"),
-                       lh.filter("species = 'sp2'").select("family", "a"))
+    return R.bind_rows(lh.select("genus", "species", "a"), lh.select("family", "a"))
 
 
 @query("complete_cross", """SELECT a.campaignid, a.sample, b.family, b.genus, b.species,
