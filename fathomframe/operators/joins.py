@@ -42,9 +42,13 @@ def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
     return size <= max_bytes
 
 
-def hinted(df: DataFrame) -> DataFrame:
-    """``df`` marked for broadcast if, and only if, it was measured to fit."""
-    return F.broadcast(df) if fits_broadcast(df) else df
+def hinted(df: DataFrame, fits: bool | None = None) -> DataFrame:
+    """``df`` marked for broadcast if, and only if, it was measured to fit.
+
+    ``fits`` passes on the verdict over a table that ``df`` is no larger
+    than, so that one table is measured once and not at every join.
+    """
+    return F.broadcast(df) if (fits_broadcast(df) if fits is None else fits) else df
 
 
 def _condition(keys: Sequence[str], null_safe: Sequence[str]) -> Column:
@@ -84,7 +88,7 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
 
 
 def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
-                null_safe: Sequence[str] = TAXON) -> DataFrame:
+                null_safe: Sequence[str] = TAXON, fits: bool | None = None) -> DataFrame:
     """Join a large table with a table meant to be small.
 
     The right side is measured first.  If it fits it is broadcast and ``left``
@@ -93,26 +97,26 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     """
     if how in ("left_semi", "left_anti"):
         right = right.select(*keys).distinct()
-    return join_on(left, hinted(right), keys, how, null_safe)
+    return join_on(left, hinted(right, fits), keys, how, null_safe)
 
 
 def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
-              null_safe: Sequence[str] = TAXON) -> DataFrame:
+              null_safe: Sequence[str] = TAXON, fits: bool | None = None) -> DataFrame:
     """Rows of ``left`` without a partner."""
-    return lookup_join(left, right, keys, "left_anti", null_safe)
+    return lookup_join(left, right, keys, "left_anti", null_safe, fits)
 
 
 def semi_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
-              null_safe: Sequence[str] = TAXON) -> DataFrame:
+              null_safe: Sequence[str] = TAXON, fits: bool | None = None) -> DataFrame:
     """Rows of ``left`` with a partner, never multiplied."""
-    return lookup_join(left, right, keys, "left_semi", null_safe)
+    return lookup_join(left, right, keys, "left_semi", null_safe, fits)
 
 
 def attach_metadata(df: DataFrame, metadata: DataFrame, how: str = "inner",
-                    keys: Sequence[str] = SAMPLE) -> DataFrame:
+                    keys: Sequence[str] = SAMPLE, fits: bool | None = None) -> DataFrame:
     """Add the sample factors.  Columns of ``df`` that clash are dropped first."""
     clash = [c for c in df.columns if c in metadata.columns and c not in keys]
-    return lookup_join(df.drop(*clash), metadata, keys, how, null_safe=())
+    return lookup_join(df.drop(*clash), metadata, keys, how, null_safe=(), fits=fits)
 
 
 def keep_all_samples(df: DataFrame, metadata: DataFrame,

@@ -40,35 +40,66 @@ def histogram_density(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
         F.col("n"), F.try_divide(F.col("n"), F.col("e.n") * width).alias("density"))
 
 
+def _value_counts(df: DataFrame, column: str) -> DataFrame:
+    return _values(df, column).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+
+
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> DataFrame:
     """One row ``n, min, q0, q1, ..., max`` with linear interpolation.
 
     Exact at any size without gathering the values in one task: equal values
-    are counted first, a fixed number of bins locates the wanted ranks, and
-    only the few bins that hold one are ordered.
+    are counted first, and bins locate the wanted ranks in two steps.  The
+    first bins are even on a logarithmic scale, so far values do not crowd
+    the others into one bin; the second divide, between its own ends, each
+    bin that holds a rank.  Only the small bins left are ordered.
     """
-    counts = _values(df, column).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    return _quantiles(_value_counts(df, column), probs)
+
+
+def located_bins(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """Values of the small bins that hold a rank: v, c, e, bin, part, before, n."""
     ends = counts.agg(F.min("v").alias("low"), F.max("v").alias("high"))
     spread = counts.select("v", "c", _one_row(ends, "low", "high").alias("e"))
-    binned = spread.withColumn(
-        "bin", _bin(F.col("v"), F.col("e.low"), F.col("e.high"), _BINS))
+    binned = spread.withColumn("bin", _bin(
+        F.asinh("v"), F.asinh(F.col("e.low")), F.asinh(F.col("e.high")), _BINS))
 
-    # At most _BINS rows from here on, so one window task is enough.
+    # At most _BINS rows here, so one window task is enough.
     before = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding,
                                               Window.unboundedFollowing)
-    totals = (binned.groupBy("bin").agg(F.sum("c").alias("c"))
-              .select("bin", "c",
+    totals = (binned.groupBy("bin")
+              .agg(F.sum("c").alias("c"), F.min("v").alias("low"), F.max("v").alias("high"))
+              .select("bin", "c", "low", "high",
                       F.coalesce(F.sum("c").over(before), F.lit(0)).alias("before"),
                       F.sum("c").over(whole).alias("n")))
-    position = [(F.col("n") - 1) * F.lit(float(p)) for p in probs]
-    ranks = F.array(*[f(h) for h in position for f in (F.floor, F.ceil)])
-    wanted = totals.filter(F.exists(ranks, lambda r: (r >= F.col("before"))
-                                    & (r < F.col("before") + F.col("c"))))
+    held = _holding(probs)
+    wanted = totals.filter(held).select("bin", "low", "high", "before", "n")
+    parted = binned.join(F.broadcast(wanted), "bin").withColumn(
+        "part", _bin(F.col("v"), F.col("low"), F.col("high"), _BINS)).drop("low", "high")
+
+    # At most _BINS rows for each of the few bins.
+    earlier = Window.partitionBy("bin").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    smaller = (parted.groupBy("bin", "part", "n", "before").agg(F.sum("c").alias("c"))
+               .withColumn("before", F.col("before") + F.coalesce(F.sum("c").over(earlier), F.lit(0))))
+    small = smaller.filter(held).select("bin", "part", F.col("before").alias("first"))
+    return parted.join(F.broadcast(small), ["bin", "part"]).withColumn("before", F.col("first")).drop("first")
+
+
+def _positions(probs: Sequence[float]) -> list[Column]:
+    return [(F.col("n") - 1) * F.lit(float(p)) for p in probs]
+
+
+def _holding(probs: Sequence[float]) -> Column:
+    """Whether ``before`` and ``c`` enclose a wanted rank."""
+    ranks = F.array(*[f(h) for h in _positions(probs) for f in (F.floor, F.ceil)])
+    return F.exists(ranks, lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("c")))
+
 
-    inside = Window.partitionBy("bin").orderBy("v").rowsBetween(
+def _quantiles(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
+    position = _positions(probs)
+    inside = Window.partitionBy("bin", "part").orderBy("v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    placed = (binned.join(F.broadcast(wanted.select("bin", "before", "n")), "bin")
+    placed = (located_bins(counts, probs)
               .withColumn("end", F.col("before") + F.sum("c").over(inside))
               .withColumn("start", F.col("end") - F.col("c")))
 
@@ -99,15 +130,16 @@ def summary_stats(df: DataFrame, column: str) -> DataFrame:
 def box_stats(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
     """Quartiles, whisker ends (last value within ``reach`` box heights) and
     the number of values beyond them."""
-    box = exact_quantiles(df, column, _QUARTILES)
-    x = _values(df, column).select("v", _one_row(box, "q0", "q1", "q2").alias("q"))
+    counts = _value_counts(df, column)
+    box = _quantiles(counts, _QUARTILES)
+    x = counts.select("v", "c", _one_row(box, "q0", "q1", "q2").alias("q"))
     height = reach * (F.col("q.q2") - F.col("q.q0"))
     inside = F.col("v").between(F.col("q.q0") - height, F.col("q.q2") + height)
     return x.agg(F.max("q.q0").alias("q1"), F.max("q.q1").alias("median"),
                  F.max("q.q2").alias("q3"),
                  F.min(F.when(inside, F.col("v"))).alias("lower_whisker"),
                  F.max(F.when(inside, F.col("v"))).alias("upper_whisker"),
-                 F.sum((~inside).cast("long")).alias("outliers"))
+                 F.sum(F.when(inside, 0).otherwise(F.col("c"))).alias("outliers"))
 
 
 def pair_projection(df: DataFrame, x: str, y: str, label: Column | None = None) -> DataFrame:

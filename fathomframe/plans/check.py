@@ -14,6 +14,7 @@ from fathomframe.operators.filters import (
     MAX_RANGE_MM, drop_sync_points, exclude_values, in_region, within_range)
 from fathomframe.operators.joins import anti_join, join_on, lookup_join
 
+# The life-history columns a study uses.
 LIFE_HISTORY_COLUMNS = (
     "family", "genus", "species", "marine_region", "length_measure",
     "a", "b", "all", "bll", "fb_length_max", "fb_ltypemaxm",
@@ -43,14 +44,27 @@ def load_synonyms(table: DataFrame) -> DataFrame:
     return table.distinct().drop("comment")
 
 
-def apply_synonyms(df: DataFrame, synonyms: DataFrame) -> tuple[DataFrame, DataFrame]:
+def one_name_each(synonyms: DataFrame) -> DataFrame:
+    """One row per old name.  Two different new names for one old name would
+    multiply observations; the job that meets them ends with an error."""
+    new = [f"new_{t}" for t in TAXON]
+    ways = F.collect_set(F.struct(*[F.coalesce(n, F.lit("\u0000")).alias(n) for n in new]))
+    clash = F.concat(F.lit("contradictory synonyms for "), F.concat_ws(" ", *TAXON))
+    grouped = synonyms.groupBy(*TAXON).agg(ways.alias("ways")).withColumn(
+        "way", F.when(F.size("ways") > 1, F.raise_error(clash)).otherwise(F.get("ways", F.lit(0))))
+    return grouped.select(*TAXON, *[F.nullif(F.col(f"way.{n}"), F.lit("\u0000")).alias(n) for n in new])
+
+
+def apply_synonyms(df: DataFrame, synonyms: DataFrame,
+                   fits: bool | None = None) -> tuple[DataFrame, DataFrame]:
     """Replace outdated taxon names; also return the distinct changes made.
 
     ``synonyms`` maps family, genus, species to new_family, new_genus,
-    new_species; an empty new part keeps the old one.
+    new_species; an empty new part keeps the old one.  Rows in are rows out:
+    contradictory synonyms are an error (see :func:`one_name_each`).
     """
     new = [f"new_{t}" for t in TAXON]
-    mapped = lookup_join(df, synonyms.select(*TAXON, *new).distinct(), TAXON, "left")
+    mapped = lookup_join(df, one_name_each(synonyms), TAXON, "left", fits=fits)
     renamed = [F.coalesce(n, t) for n, t in zip(new, TAXON, strict=True)]
     changed = F.lit(False)
     for t, n in zip(TAXON, renamed, strict=True):
@@ -62,10 +76,10 @@ def apply_synonyms(df: DataFrame, synonyms: DataFrame) -> tuple[DataFrame, DataF
 
 
 def taxa_not_observed(obs: DataFrame, life_history: DataFrame,
-                      ignore: Sequence[str] = ("spp",)) -> DataFrame:
+                      ignore: Sequence[str] = ("spp",), fits: bool | None = None) -> DataFrame:
     """Taxa per sample that the life-history table does not know."""
     wanted = exclude_values(obs.select(*SAMPLE, *TAXON), "species", list(ignore))
-    return anti_join(wanted, life_history, TAXON).distinct()
+    return anti_join(wanted.distinct(), life_history, TAXON, fits=fits)
 
 
 def max_length_bounds(life_history: DataFrame, low: float = 0.15,
@@ -83,14 +97,15 @@ def max_length_bounds(life_history: DataFrame, low: float = 0.15,
             .select(*life_history.columns, "min_length", "max_length"))
 
 
-def wrong_length_taxa(length: DataFrame, bounds: DataFrame) -> DataFrame:
+def wrong_length_taxa(length: DataFrame, bounds: DataFrame,
+                      fits: bool | None = None) -> DataFrame:
     """Lengths outside the accepted range.  A taxon listed twice in the bounds
     is tested against both."""
     limits = bounds.select(*TAXON, "min_length", "max_length", "fb_length_max")
     measured = length.select(*SAMPLE, *TAXON, "length").filter(F.col("length").isNotNull())
     small = F.col("length") < F.col("min_length")
     big = F.col("length") > F.col("max_length")
-    return (lookup_join(measured, limits, TAXON, "inner").filter(small | big)
+    return (lookup_join(measured, limits, TAXON, "inner", fits=fits).filter(small | big)
             .select(*SAMPLE, *TAXON, "length", "min_length", "max_length", "fb_length_max",
                     F.when(small, "too small").otherwise("too big").alias("reason"),
                     F.when(small, F.col("min_length") - F.col("length"))
@@ -162,7 +177,7 @@ def drop_wrong_lengths(length: DataFrame, wrong: DataFrame,
 
 
 def drop_unknown_taxa(obs: DataFrame, life_history: DataFrame,
-                      ignore: Sequence[str] = ("spp",)) -> DataFrame:
+                      ignore: Sequence[str] = ("spp",), fits: bool | None = None) -> DataFrame:
     """What :func:`drop_listed_taxa` leaves when the unchanged report of
     :func:`taxa_not_observed` is applied.
 
@@ -170,12 +185,13 @@ def drop_unknown_taxa(obs: DataFrame, life_history: DataFrame,
     table decides and the observations need no shuffle.
     """
     known = life_history.select(*TAXON).distinct().withColumn("__known", F.lit(True))
-    tagged = lookup_join(obs, known, TAXON, "left")
+    tagged = lookup_join(obs, known, TAXON, "left", fits=fits)
     keep = F.col("__known") | F.coalesce(F.col("species").isin(*ignore), F.lit(False))
     return tagged.filter(F.coalesce(keep, F.lit(False))).select(*obs.columns)
 
 
-def drop_implausible_lengths(length: DataFrame, bounds: DataFrame) -> DataFrame:
+def drop_implausible_lengths(length: DataFrame, bounds: DataFrame,
+                             fits: bool | None = None) -> DataFrame:
     """What :func:`drop_wrong_lengths` leaves when the unchanged report of
     :func:`wrong_length_taxa` is applied.
 
@@ -185,7 +201,7 @@ def drop_implausible_lengths(length: DataFrame, bounds: DataFrame) -> DataFrame:
     """
     limits = bounds.groupBy(*TAXON).agg(F.max("min_length").alias("__low"),
                                         F.min("max_length").alias("__high"))
-    tested = lookup_join(length, limits, TAXON, "left")
+    tested = lookup_join(length, limits, TAXON, "left", fits=fits)
     wrong = (F.col("length") < F.col("__low")) | (F.col("length") > F.col("__high"))
     return tested.filter(~F.coalesce(wrong, F.lit(False))).select(*length.columns)
 

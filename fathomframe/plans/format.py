@@ -19,7 +19,7 @@ from fathomframe.operators.reshape import (
 
 
 def complete_maxn(maxn: DataFrame, metadata: DataFrame,
-                  key: Sequence[str] = SAMPLE) -> DataFrame:
+                  key: Sequence[str] = SAMPLE, fits: bool | None = None) -> DataFrame:
     """MaxN of every taxon in every sample with fish, zeros included.
 
     ``key=("sample",)`` adds up equal sample names of different campaigns and
@@ -29,7 +29,7 @@ def complete_maxn(maxn: DataFrame, metadata: DataFrame,
     key = [key] if isinstance(key, str) else list(key)
     summed = maxn.groupBy(*key, *TAXON).agg(
         F.sum(F.coalesce(to_numeric("maxn"), F.lit(0.0))).alias("maxn"))
-    filled = complete_cells(summed, key, TAXON, fill={"maxn": 0.0}, carry=metadata.drop("id"),
+    filled = complete_cells(summed, key, TAXON, fill={"maxn": 0.0}, carry=hinted(metadata.drop("id"), fits),
                             wanted=F.col("family") != "Unknown")
     return filled.withColumns({"scientific": scientific_name(), "id": sample_id()})
 
@@ -61,14 +61,15 @@ def _completion(known: DataFrame, metadata: DataFrame) -> tuple[DataFrame, DataF
     return observed, samples, taxa
 
 
-def complete_length(length: DataFrame, metadata: DataFrame) -> DataFrame:
+def complete_length(length: DataFrame, metadata: DataFrame,
+                    fits: bool | None = None) -> DataFrame:
     """Lengths and 3D points plus a zero row for each taxon a sample lacks.
 
     Every sample of the metadata appears; where one has no fish at all a row
     without taxon stands for it, and that missing taxon takes part in the
     completion like any other.
     """
-    observed, samples, taxa = _completion(_known(length), hinted(metadata.drop("id")))
+    observed, samples, taxa = _completion(_known(length), hinted(metadata.drop("id"), fits))
     missing = expand_cells(samples, SAMPLE, taxa, TAXON)
     filled = observed.unionByName(missing, allowMissingColumns=True)
     return fill_missing(filled, {"number": 0}).withColumn("id", sample_id())
@@ -88,7 +89,7 @@ def expanded_length(completed: DataFrame) -> DataFrame:
 
 
 def missing_length_weight(taxa: DataFrame, life_history: DataFrame,
-                          level: str = "species") -> DataFrame:
+                          level: str = "species", fits: bool | None = None) -> DataFrame:
     """Taxa, genera or families without any length-weight relation.
 
     ``taxa`` is any table with taxa; :func:`completed_taxa` gives those of a
@@ -96,7 +97,7 @@ def missing_length_weight(taxa: DataFrame, life_history: DataFrame,
     """
     keys = {"species": list(TAXON), "genus": ["genus"], "family": ["family"]}[level]
     known = life_history.filter(F.col("a").isNotNull())
-    return anti_join(taxa.select(*keys).distinct(), known, keys)
+    return anti_join(taxa.select(*keys).distinct(), known, keys, fits=fits)
 
 
 def family_length_weight(life_history: DataFrame) -> DataFrame:
@@ -121,6 +122,10 @@ _LW = ("length_measure", "a", "b", "all", "bll")
 MASS_COLUMNS = ("family", "genus", "species", "length", "range", "number", "mass_g", "length_cm")
 
 
+#: Rows of taxon parameters (some 100 bytes each) that are broadcast.
+MOST_PARAMETERS = 50_000
+
+
 def mass_parameters(taxa: DataFrame, life_history: DataFrame) -> DataFrame:
     """Length-weight parameters (``__a``, ``__b``, ``__all``, ``__bll``) of distinct taxa.
 
@@ -171,7 +176,7 @@ def length_to_mass(completed: DataFrame, life_history: DataFrame,
 
 
 def complete_mass(length: DataFrame, metadata: DataFrame, life_history: DataFrame,
-                  key: Sequence[str] = SAMPLE) -> DataFrame:
+                  key: Sequence[str] = SAMPLE, fits: bool | None = None) -> DataFrame:
     """:func:`complete_length` and :func:`length_to_mass` in one.
 
     Parameters are found per taxon, taxa without any are left out before the
@@ -181,17 +186,20 @@ def complete_mass(length: DataFrame, metadata: DataFrame, life_history: DataFram
     the factors of every campaign that has a sample of that name.
     """
     key = [key] if isinstance(key, str) else list(key)
-    factors = hinted(metadata.drop("id"))
+    factors = hinted(metadata.drop("id"), fits)
     known = _known(length)
     observed, samples, taxa = _completion(known, factors)
-    parameters = hinted(mass_parameters(taxa, life_history))
+    # Taxa are found from the observed rows alone for the two joins and the one size taken here.
+    parameters = mass_parameters(completed_taxa(length, metadata), life_history)
+    times = parameters.groupBy(*TAXON).agg(F.count(F.lit(1)).alias("times"))
+    size = times.agg(F.max("times").alias("most"), F.count(F.lit(1)).alias("taxa")).first()
+    most = size["most"] or 0
+    parameters = hinted(parameters, most * size["taxa"] <= MOST_PARAMETERS)
     found = join_on(observed, parameters, TAXON)
     if key != list(SAMPLE):
         found = attach_metadata(found.select(*key, *TAXON, "length", "number", "range", "__a", "__b",
                                              "__all", "__bll"), factors, "inner", key)
         samples = join_on(samples.select(*key, cells_column()), factors, key, "inner", null_safe=())
-    times = parameters.groupBy(*TAXON).agg(F.count(F.lit(1)).alias("times"))
-    most = times.agg(F.max("times")).first()[0] or 0
     rows = fill_missing(found, {"number": 0})
     rows = _weighed(rows).drop("__a", "__b", "__all", "__bll")
     for n in range(1, most + 1):

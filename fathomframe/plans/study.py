@@ -1,8 +1,11 @@
 """The whole workflow of a study: gather, check, format, habitat.
 
-Each step takes tables and returns named tables; nothing runs until one is
-written.  Between the steps the tables are written (``sources.sinks``), so a
-later step starts from files and not from a long lineage.
+Each step takes tables and returns named tables, which run when they are
+written.  Before that a step only measures its small tables, each once
+(``check_study`` life history and synonyms, ``format_study`` metadata, life
+history and the taxa with parameters).  Between the steps the tables are
+written (``sources.sinks``), so a later step starts from files and not from a
+long lineage.
 """
 
 from __future__ import annotations
@@ -13,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomframe.functions.columns import SAMPLE, TAXON
-from fathomframe.operators import filters
-from fathomframe.operators.reshape import bind_rows
+from fathomframe.operators import filters, summary
+from fathomframe.operators.joins import fits_broadcast
 from fathomframe.plans import check, format as fmt, gather, habitat as hab
 from fathomframe.sources import files
 
@@ -29,11 +32,12 @@ EXPORT_NAMES = {"opcode": "sample", "length_mm_": "length", "range_mm_": "range"
                 "period_time_mins_": "periodtime"}
 
 
-def _scan(spark: SparkSession, root: str, kind: str, layout: str) -> DataFrame | None:
+def _scan(spark: SparkSession, root: str, kind: str, layout: str,
+          multi_line: bool) -> DataFrame | None:
     """One kind of file, or None where a study has none."""
     suffix = SUFFIXES[kind]
     try:
-        df = files.scan_files(spark, root, suffix, layout=layout,
+        df = files.scan_files(spark, root, suffix, layout=layout, multi_line=multi_line,
                               sep="\t" if suffix.endswith(".txt") else ",")
     except FileNotFoundError:
         return None
@@ -41,33 +45,36 @@ def _scan(spark: SparkSession, root: str, kind: str, layout: str) -> DataFrame |
                                   if new not in df.columns})
 
 
-def gather_study(spark: SparkSession, root: str,
-                 layout: str = "project/campaign") -> dict[str, DataFrame]:
+def gather_study(spark: SparkSession, root: str, layout: str = "project/campaign",
+                 metadata: DataFrame | None = None, multi_line: bool = False) -> dict[str, DataFrame]:
     """Metadata, MaxN, lengths with 3D points, and habitat of all campaigns
-    below ``root``."""
-    metadata = files.scan_metadata(spark, root, layout=layout)
+    below ``root``.
+
+    ``metadata`` may be given as a table instead of files.  ``multi_line``
+    reads annotation cells with line breaks; metadata is always read so.
+    Length tables keep all their columns but time, project and comment.
+    """
+    if metadata is None:
+        metadata = files.scan_metadata(spark, root, layout=layout)
     points, count, lengths, length, points3d, habitat = (
-        _scan(spark, root, kind, layout)
+        _scan(spark, root, kind, layout, multi_line)
         for kind in ("points", "count", "lengths", "length", "points3d", "habitat"))
     out = {"metadata": metadata}
     if points is not None or count is not None:
         out["maxn"] = gather.build_maxn(points, count, metadata)
-    kept = (*SAMPLE, *TAXON, "length", "number", "range")
-    parts = [p.select(*[c for c in kept if c in p.columns])
-             for p in (length, lengths, points3d) if p is not None]
-    if parts:
-        out["length3dpoints"] = gather.build_length3d(bind_rows(*parts), None, None, metadata)
+    if any(p is not None for p in (length, lengths, points3d)):
+        out["length3dpoints"] = gather.build_length3d(length, lengths, points3d, metadata)
     if habitat is not None:
         out["habitat"] = habitat
     return out
 
 
-def gather_counts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def gather_counts(spark: SparkSession, root: str, multi_line: bool = False) -> dict[str, DataFrame]:
     """Studies with legal and sublegal counts: metadata, count and length as
     they are, and counts completed with zeros."""
-    metadata = files.scan_files(spark, root, "Metadata.csv")
-    count = files.scan_files(spark, root, "Count.csv")
-    length = files.scan_files(spark, root, "Length.csv")
+    metadata = files.scan_files(spark, root, "Metadata.csv", multi_line=True)
+    count = files.scan_files(spark, root, "Count.csv", multi_line=multi_line)
+    length = files.scan_files(spark, root, "Length.csv", multi_line=multi_line)
     return {"metadata": metadata, "count": count, "length": length,
             "complete.count": gather.complete_count(count, metadata)}
 
@@ -87,10 +94,14 @@ class Decisions:
 
 def check_study(maxn: DataFrame, length: DataFrame, life_history: DataFrame,
                 synonyms: DataFrame | None = None,
-                decisions: Decisions | None = None
+                decisions: Decisions | None = None,
+                metadata: DataFrame | None = None
                 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Reports and checked tables.  ``life_history`` is one marine region."""
+    """Reports and checked tables.  ``life_history`` is one marine region;
+    ``metadata``, if given, comes back as ``checked.metadata``, where the
+    later steps start from."""
     decisions = decisions or Decisions()
+    known = fits_broadcast(life_history)
     maxn, length = check.standardise_maxn(maxn), check.standardise_length(length)
     reports: dict[str, DataFrame] = {
         "3d.points": filters.three_d_points(length),
@@ -98,39 +109,51 @@ def check_study(maxn: DataFrame, length: DataFrame, life_history: DataFrame,
         "out.of.range": filters.out_of_range(length),
     }
     if synonyms is not None:
-        maxn, reports["maxn.taxa.names.updated"] = check.apply_synonyms(maxn, synonyms)
-        length, reports["length.taxa.names.updated"] = check.apply_synonyms(length, synonyms)
+        renames = fits_broadcast(synonyms)
+        maxn, reports["maxn.taxa.names.updated"] = check.apply_synonyms(maxn, synonyms, renames)
+        length, reports["length.taxa.names.updated"] = check.apply_synonyms(length, synonyms, renames)
     bounds = check.max_length_bounds(life_history)
     reports |= {
-        "maxn.species.not.previously.observed": check.taxa_not_observed(maxn, life_history),
-        "length.species.not.previously.observed": check.taxa_not_observed(length, life_history),
-        "check.wrong.length.taxa.vs.life.history": check.wrong_length_taxa(length, bounds),
+        "maxn.species.not.previously.observed": check.taxa_not_observed(maxn, life_history, fits=known),
+        "length.species.not.previously.observed": check.taxa_not_observed(length, life_history, fits=known),
+        "check.wrong.length.taxa.vs.life.history": check.wrong_length_taxa(length, bounds, known),
         "taxa.maxn.vs.stereo.summary": check.maxn_vs_stereo(length, maxn),
         "length.greater.than.1.meter": filters.big_fish(length).select(*SAMPLE, *TAXON, "length"),
+        "length.range.summary": summary.summary_stats(length, "range"),
+        "length.range.box": summary.box_stats(length, "range"),
+        "length.histogram": summary.histogram_density(length, "length"),
+        "length.vs.range": summary.pair_projection(length, "range", "length"),
     }
     if decisions.max_range_mm is not None:
         length = filters.within_range(length, decisions.max_range_mm)
     if decisions.drop_taxa:
-        maxn = check.drop_unknown_taxa(maxn, life_history)
-        length = check.drop_unknown_taxa(length, life_history)
+        maxn = check.drop_unknown_taxa(maxn, life_history, fits=known)
+        length = check.drop_unknown_taxa(length, life_history, fits=known)
     if decisions.drop_lengths:
-        length = check.drop_implausible_lengths(length, bounds)
-    return reports, {"checked.maxn": maxn, "checked.length": length}
+        length = check.drop_implausible_lengths(length, bounds, known)
+    tables = {"checked.maxn": maxn, "checked.length": length}
+    if metadata is not None:
+        tables["checked.metadata"] = metadata
+    return reports, tables
 
 
 def format_study(maxn: DataFrame, length: DataFrame, metadata: DataFrame,
                  life_history: DataFrame) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Reports and completed tables from checked ones.  ``length`` comes back
-    from files, so its numbers are made numeric again."""
-    length = length.withColumns({c: F.col(c).try_cast("double")
-                                 for c in ("length", "number", "range")})
-    completed = fmt.complete_length(length, metadata)
-    mass = fmt.length_to_mass(completed, life_history)
+    """Reports and completed tables from checked ones.  ``length`` may come
+    back from files: its numbers are made numeric again."""
+    samples, known = fits_broadcast(metadata), fits_broadcast(life_history)
+    completed = fmt.complete_length(length, metadata, samples)
+    taxa = fmt.completed_taxa(length, metadata)
+    mass = fmt.complete_mass(length, metadata, life_history, fits=samples)
     reports = {
-        f"{level}.missing.lw": fmt.missing_length_weight(completed, life_history, level)
+        f"{level}.missing.lw": fmt.missing_length_weight(taxa, life_history, level, known)
         for level in ("species", "genus", "family")}
     reports["check.mass"] = fmt.check_mass(mass)
-    tables = {"complete.maxn": fmt.complete_maxn(maxn, metadata),
+    weighed = mass.filter(F.col("mass_g").isNotNull())
+    reports |= {"mass.summary": summary.summary_stats(weighed, "mass_g"),
+                "mass.box": summary.box_stats(weighed, "mass_g"),
+                "mass.vs.length": summary.pair_projection(weighed, "length_cm", "mass_g")}
+    tables = {"complete.maxn": fmt.complete_maxn(maxn, metadata, fits=samples),
               "complete.length": completed,
               "expanded.length": fmt.expanded_length(completed),
               "complete.mass": mass}
@@ -138,7 +161,12 @@ def format_study(maxn: DataFrame, length: DataFrame, metadata: DataFrame,
 
 
 def habitat_study(habitat: DataFrame, metadata: DataFrame, names=None) -> DataFrame:
-    """Percent cover, field of view and relief per sample with its factors."""
+    """Percent cover, field of view and relief per sample with its factors.
+
+    ``names`` are pairs, or a table that ``files.load_name_map`` reads.
+    """
+    if isinstance(names, DataFrame):
+        names = files.load_name_map(names)
     h = hab.habitat_broad(habitat, names)
     return hab.complete_habitat(hab.relief_stats(h), hab.fov_percent(h),
                                 hab.broad_percent(h), metadata)

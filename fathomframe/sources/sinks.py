@@ -34,5 +34,14 @@ def write_length_columnar(df: DataFrame, root: str, study: str) -> str:
 
 def write_tables(tables: Mapping[str, DataFrame], root: str, study: str,
                  columnar: bool = False) -> dict[str, str]:
-    write = write_columnar if columnar else write_csv_table
-    return {name: write(df, root, study, name) for name, df in tables.items()}
+    """One file set per table.  The columnar copy of the completed lengths
+    leaves out the zero rows."""
+    out = {}
+    for name, df in tables.items():
+        if not columnar:
+            out[name] = write_csv_table(df, root, study, name)
+        elif name == "complete.length":
+            out[name] = write_length_columnar(df, root, study)
+        else:
+            out[name] = write_columnar(df, root, study, name)
+    return out
