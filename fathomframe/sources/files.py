@@ -140,16 +140,18 @@ def _scan_group(spark: SparkSession, header: str, paths: list[str], sep: str, mu
         [_escape_glob(p) for p in _readable(spark, paths)], header=True, sep=sep, quote='"', escape='"',
         multiLine=multi_line, ignoreTrailingWhiteSpace=False, ignoreLeadingWhiteSpace=False,
         mode="PERMISSIVE", columnNameOfCorruptRecord=_ODD))
+    # Spark refuses to read nothing but the odd records, so the tests below look at a cell as well
     if odd == "fail":
         problem = F.concat(
             F.lit(f"a row is not as wide as its header ({len(names)} columns) in "), F.col("_metadata.file_path"),
             F.lit(": "), F.substring(_ODD, 1, 200))
         raw = raw.select("*", "_metadata").filter(
-            F.when(F.col(_ODD).isNotNull(), F.raise_error(problem).cast("boolean")).otherwise(True))
+            F.when(F.col(_ODD).isNotNull(), F.raise_error(problem).cast("boolean")).otherwise(F.expr(_CELL)))
     return raw, names
 
 
 _ODD = "__odd"
+_CELL = "length(coalesce(c0, '')) >= 0"
 
 
 def scan_files(spark: SparkSession, root: str, suffix: str, sep: str = ",",
@@ -168,7 +170,7 @@ def scan_files(spark: SparkSession, root: str, suffix: str, sep: str = ",",
     for header, paths in _groups(spark, root, suffix).items():
         raw, names = _scan_group(spark, header, paths, sep, multi_line, odd_rows)
         if odd_rows == "skip":
-            raw = raw.select("*", "_metadata").filter(F.col(_ODD).isNull())
+            raw = raw.select("*", "_metadata").filter(F.col(_ODD).isNull() & F.expr(_CELL))
         source = provenance(_seen_path(), suffix, layout)
         keep = [(i, n) for i, n in enumerate(names) if n not in source]
         tables.append(raw.select(*[c.alias(n) for n, c in source.items()],
@@ -195,9 +197,7 @@ def odd_width_rows(spark: SparkSession, root: str, suffix: str, sep: str = ",",
     tables = []
     for header, paths in _groups(spark, root, suffix).items():
         raw, _ = _scan_group(spark, header, paths, sep, multi_line, "keep")
-        # Spark refuses to read nothing but the odd records, so the filter looks at a cell as well
-        cell = F.length(F.coalesce("c0", F.lit(""))) >= 0
-        rows = raw.select("*", "_metadata").filter(F.col(_ODD).isNotNull() & cell)
+        rows = raw.select("*", "_metadata").filter(F.col(_ODD).isNotNull() & F.expr(_CELL))
         tables.append(rows.select(*[c.alias(n) for n, c in provenance(_seen_path(), suffix, layout).items()],
                                   _seen_path().alias("file"), F.col(_ODD).alias("record")))
     return bind_rows(*tables)
@@ -209,7 +209,7 @@ def scan_tsv(spark: SparkSession, root: str, suffix: str = "_Habitat.point.score
     return scan_files(spark, root, suffix, sep="\t", na=na, layout=layout, multi_line=multi_line)
 
 
-def scan_campaign_info(spark: SparkSession, root: str, suffix: str = ".info.csv",
+def scan_campaign_info(spark: SparkSession, root: str, suffix: str = "info.csv",
                        layout: str = "project/campaign", multi_line: bool = True) -> DataFrame:
     """Name/value pairs of all campaigns in one scan; the files are usually named ``.info.csv``."""
     info = scan_files(spark, root, suffix, layout=layout, multi_line=multi_line)
