@@ -114,13 +114,15 @@ def fill_missing(df: DataFrame, fill: Mapping[str, object]) -> DataFrame:
 def complete_cells(cells: DataFrame, left: Sequence[str], right: Sequence[str],
                    fill: Mapping[str, object] | None = None,
                    carry: DataFrame | None = None, carry_how: str = "inner",
-                   blocks: int = RIGHT_BLOCKS, wanted: Column | None = None) -> DataFrame:
+                   blocks: int = RIGHT_BLOCKS, wanted: Column | None = None,
+                   fits: bool | None = None) -> DataFrame:
     """Complete a table that holds each (left, right) pair once.
 
     The table is read once and its rows travel inside the array of their left
     tuple.  ``carry`` (keyed by ``left``) is joined there too, that is once
     per left tuple and not once per dense row.  Only ``right`` tuples that
     are ``wanted`` are filled in or returned; left tuples stay whatever they hold.
+    ``fits`` tells that ``carry`` was measured (see ``joins.hinted``).
     """
     left, right = list(left), list(right)
     values = [c for c in cells.columns if c not in left and c not in right]
@@ -129,7 +131,7 @@ def complete_cells(cells: DataFrame, left: Sequence[str], right: Sequence[str],
     if wanted is not None:
         tuples = tuples.filter(wanted)
     if carry is not None:
-        by_left = join_on(by_left, hinted(carry), left, carry_how, null_safe=left)
+        by_left = join_on(by_left, hinted(carry, fits), left, carry_how, null_safe=left)
     out = expand_cells(by_left, left, tuples, right, values, blocks)
     if wanted is not None:
         out = out.filter(wanted)

@@ -56,12 +56,17 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> DataF
     return _quantiles(_value_counts(df, column), probs)
 
 
+def _even(v: Column) -> Column:
+    """A logarithmic scale that keeps the order of all numbers."""
+    return F.signum(v) * F.log1p(F.abs(v))
+
+
 def located_bins(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
     """Values of the small bins that hold a rank: v, c, e, bin, part, before, n."""
     ends = counts.agg(F.min("v").alias("low"), F.max("v").alias("high"))
     spread = counts.select("v", "c", _one_row(ends, "low", "high").alias("e"))
     binned = spread.withColumn("bin", _bin(
-        F.asinh("v"), F.asinh(F.col("e.low")), F.asinh(F.col("e.high")), _BINS))
+        _even(F.col("v")), _even(F.col("e.low")), _even(F.col("e.high")), _BINS))
 
     # At most _BINS rows here, so one window task is enough.
     before = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)

@@ -29,8 +29,8 @@ def complete_maxn(maxn: DataFrame, metadata: DataFrame,
     key = [key] if isinstance(key, str) else list(key)
     summed = maxn.groupBy(*key, *TAXON).agg(
         F.sum(F.coalesce(to_numeric("maxn"), F.lit(0.0))).alias("maxn"))
-    filled = complete_cells(summed, key, TAXON, fill={"maxn": 0.0}, carry=hinted(metadata.drop("id"), fits),
-                            wanted=F.col("family") != "Unknown")
+    filled = complete_cells(summed, key, TAXON, fill={"maxn": 0.0}, carry=metadata.drop("id"),
+                            wanted=F.col("family") != "Unknown", fits=fits)
     return filled.withColumns({"scientific": scientific_name(), "id": sample_id()})
 
 

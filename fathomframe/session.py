@@ -40,7 +40,7 @@ def build_session(app: str = "fathomframe", master: str | None = None,
 
 def scratch_root(spark: SparkSession) -> str:
     """Folder for intermediate tables, shared by the driver and all executors."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
     return shared.rstrip("/")

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# The field names and operation words of the search format.
 def _predicate(spec: dict, field: Callable[[str], Column]) -> Column:
     name, op, val = spec["name"], spec["op"], spec.get("val")
     column = field(name)

@@ -136,7 +136,8 @@ def _scan_group(spark: SparkSession, header: str, paths: list[str], sep: str, mu
     names = unique_names(_columns_of(header, sep))
     places = [f"c{i}" for i in range(len(names))]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in (*places, _ODD)])
-    raw = (spark.read.schema(schema).csv(
+    # Every cell is parsed: with pruned columns a row would only be as wide as the columns asked for.
+    raw = (spark.read.schema(schema).option("columnPruning", False).csv(
         [_escape_glob(p) for p in _readable(spark, paths)], header=True, sep=sep, quote='"', escape='"',
         multiLine=multi_line, ignoreTrailingWhiteSpace=False, ignoreLeadingWhiteSpace=False,
         mode="PERMISSIVE", columnNameOfCorruptRecord=_ODD))

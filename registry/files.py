@@ -18,9 +18,10 @@ from registry.book import query
 
 def _fresh(r) -> str:
     """A new folder below the shared one; a session on this machine alone may go without that setting."""
-    alone = r.spark.sparkContext.master.split("[")[0] == "local"
-    if alone and not r.spark.conf.get("spark.checkpoint.dir", None):
-        r.spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="survey-"))
+    context = r.spark.sparkContext
+    named = r.spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named and context.master.split("[")[0] == "local":
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="survey-"))
     return f"{scratch_root(r.spark)}/survey-files-{uuid.uuid4().hex}"
 
 

@@ -80,3 +80,14 @@ def test_log_of_zero_never_reaches_a_mean(spark):
     df = spark.createDataFrame([(10.0,), (1000.0,), (0.0,), (None,)], "a double")
     assert math.isclose(df.agg(geometric_mean("a")).first()[0], 100.0)
     assert df.filter(F.col("a") == 0).agg(geometric_mean("a")).first()[0] is None
+
+
+def test_only_finite_numbers(spark):
+    from fathomframe.functions.columns import to_numeric
+
+    text = ["1", " 2.5 ", "-3e2", "5.", ".5", "NaN", "inf", "Infinity", "1d", "1e999", "10mm", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(text)], "i int, t string")
+    got = [r["n"] for r in df.select("i", to_numeric("t").alias("n")).orderBy("i").collect()]
+    assert got == [1.0, 2.5, -300.0, 5.0, 0.5] + [None] * 8
+    numbers = spark.createDataFrame([(1.5,), (float("nan"),), (float("inf"),), (None,)], "x double")
+    assert [r["n"] for r in numbers.select(to_numeric("x").alias("n")).collect()] == [1.5, None, None, None]

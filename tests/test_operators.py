@@ -265,3 +265,21 @@ def test_histogram_sums_to_one(spark):
     assert abs(sum(r["density"] * 2 for r in got) - 1) < 1e-12
     one = S.histogram_density(df.filter("v = 10"), "v", 5).first()
     assert (one["bin"], one["n"], one["density"]) == (0, 1, None)
+
+
+def test_a_far_outlier_makes_no_hot_bin(spark):
+    df = spark.range(20_000).selectExpr("double(id) + 0.5 AS v").union(spark.createDataFrame([(1e15,), (-1e12,)], "v double"))
+    bins = S.located_bins(S._value_counts(df, "v"), (0.25, 0.5, 0.75)).groupBy("bin", "part").count()
+    assert max(r["count"] for r in bins.collect()) < 200
+    got = S.exact_quantiles(df, "v", (0.25, 0.5, 0.75)).first()
+    values = [i + 0.5 for i in range(20_000)] + [1e15, -1e12]
+    assert np.allclose([got["q0"], got["q1"], got["q2"]], np.quantile(values, [0.25, 0.5, 0.75]))
+
+
+def test_classes_complete_like_tuples(spark):
+    rows_in = [("a", 1, "T", 5.0, "x"), ("a", 1, "U", 2.0, "y"), ("a", 1, "T", 7.0, "z"), ("b", None, None, 1.0, "x")]
+    df = spark.createDataFrame(rows_in, "k string, n int, class string, count double, note string")
+    one = R.complete_classes(df, ["k", "n"], "class", {"count": 0.0})
+    other = R.complete(df, ["k", "n"], ["class"], {"count": 0.0})
+    assert one.columns == df.columns
+    assert sorted(map(str, one.collect())) == sorted(map(str, other.select(*df.columns).collect()))

@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from fathomframe.functions.columns import SAMPLE, TAXON
 from fathomframe.plans import check, format as fmt, gather, habitat as hab
@@ -350,3 +351,58 @@ def test_study_end_to_end(spark, metadata, life_history):
     assert tables["expanded.length"].count() == 3
     assert tables["complete.mass"].filter("mass_g > 0").count() == 2
     assert out_reports["check.mass"].count() == 1
+
+
+def test_contradictory_synonyms_end_the_job(spark):
+    df = spark.createDataFrame([("F", "Old", "a", 1)], TAXA + ", n int")
+    syn = spark.createDataFrame([("F", "Old", "a", "F", "New", "a"), ("F", "Old", "a", "F", "Newer", "a")],
+                                TAXA + ", new_family string, new_genus string, new_species string")
+    with pytest.raises(Exception, match="contradictory synonyms"):
+        check.apply_synonyms(df, syn)[0].collect()
+
+
+def test_numbers_that_are_none_are_missing(spark):
+    length = spark.createDataFrame([("c", "s", "F", "G", "a", "NaN", "NaN", "5"), ("c", "s", "F", "G", "a", "10mm", "2", "Infinity")],
+                                   KEY + ", " + TAXA + ", length string, number string, range string")
+    got = check.standardise_length(length).collect()
+    assert [(r["length"], r["number"], r["range"]) for r in got] == [(None, 2.0, None)]
+
+
+def test_completed_mass_equals_completing_first(spark, life_history, metadata):
+    length = spark.createDataFrame(
+        [("c", "s1", "F", "G", "a", 100.0, 2.0, 1.0), ("c", "s1", "Unknown", "u", "u", 5.0, 1.0, 1.0),
+         ("c", "s2", "Q", "Q", "q", 50.0, 1.0, 1.0), ("d", "s1", "K", "L", "x", 50.0, 1.0, 1.0)],
+        KEY + ", " + TAXA + ", length double, number double, range double")
+    life_history = life_history.unionByName(life_history.filter("species = 'a'").withColumn("b", F.lit(2.9)))
+    for key in (("campaignid", "sample"), ("sample",)):
+        whole = fmt.complete_mass(length, metadata, life_history, key)
+        first = fmt.complete_length(length, metadata)
+        meta = None if len(key) == 2 else metadata
+        then = fmt.length_to_mass(first, life_history, meta, key)
+        columns = sorted(then.columns)
+        assert sorted(map(str, whole.select(*columns).collect())) == sorted(map(str, then.select(*columns).collect()))
+    taxa = sorted(map(tuple, fmt.completed_taxa(length, metadata).collect()), key=repr)
+    assert taxa == sorted(map(tuple, first.select("family", "genus", "species").distinct().collect()), key=repr)
+
+
+def test_a_step_measures_each_small_table_once(spark, metadata, life_history, monkeypatch):
+    from fathomframe.operators import joins
+    from fathomframe.plans import study
+
+    seen = []
+    real = joins.fits_broadcast
+
+    def counted(df, *a):
+        seen.append(df)
+        return real(df, *a)
+
+    monkeypatch.setattr(joins, "fits_broadcast", counted)
+    monkeypatch.setattr(study, "fits_broadcast", counted)
+    maxn = spark.createDataFrame([("c", "s1", "F", "G", "a", 1.0)], KEY + ", " + TAXA + ", maxn double")
+    length = spark.createDataFrame([("c", "s1", "F", "G", "a", 100.0, 2.0, 1.0)], KEY + ", " + TAXA + ", length double, number double, range double")
+    syn = spark.createDataFrame([], TAXA + ", new_family string, new_genus string, new_species string")
+    study.check_study(maxn, length, life_history, syn)
+    assert len(seen) == 2
+    seen.clear()
+    study.format_study(maxn, length, metadata, life_history)
+    assert len(seen) == 2
