@@ -26,13 +26,14 @@ def ascii_lower(col: Column) -> Column:
 
 def scratch_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the session names it; a local master may go without."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None and spark.sparkContext.master.split("[")[0] == "local":
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named and context.master.split("[")[0] == "local":
         import tempfile
 
-        named = "file://" + tempfile.mkdtemp(prefix="corpus-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    if named is None:
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="corpus-"))
+        named = context.getCheckpointDir()
+    if not named:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return named
 
