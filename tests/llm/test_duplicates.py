@@ -182,3 +182,35 @@ def test_shared_passages_are_found_and_clean_documents_left(frame, limit):
             assert (x.start_word, x.n_words, x.source_start, x.source_words, x.similarity) == (0, 70, 40, 70, 1.0)
         assert x.n_words >= 50 and x.similarity >= 0.8
     assert passages.near_passages(frame([], DOC)).collect() == []
+
+
+def test_passages_that_no_smallest_document_has(frame):
+    """Smaller documents with variants lead the keys; the later copies have to meet each other."""
+    r = random.Random(4)
+    words = [f"w{i}" for i in range(5000)]
+
+    def prose(n):
+        return [r.choice(words) for _ in range(n)]
+
+    rows, copies = [], []
+    for k in range(12):
+        passage = prose(60)
+        for j in range(6):  # two changed words in whatever 50 one takes: too far from the passage and from one another
+            variant = list(passage)
+            for i in (15 + 2 * j, 44 - 2 * j):
+                variant[i] = f"changed{k}_{j}_{i}"
+            rows.append((100 * k + j, " ".join(prose(20) + variant + prose(20))))
+        for j in (50, 51, 52):
+            rows.append((100 * k + j, " ".join(prose(30) + passage + prose(10))))
+        copies += [(100 * k + j, range(30, 90)) for j in (51, 52)]
+    got = passages.near_passages(frame([(*x, "v", "c") for x in rows], DOC)).collect()
+    text = dict(rows)
+    for doc, span in copies:
+        own = [x for x in got if x.doc_id == doc and x.start_word <= span.start + 5 and x.start_word + x.n_words >= span.stop - 5]
+        assert own, doc
+    for x in got:
+        assert x.source_id < x.doc_id and x.n_words >= 50 and x.similarity >= 0.8
+        a = shingle_set(" ".join(text[x.doc_id].split()[x.start_word : x.start_word + x.n_words]))
+        b = shingle_set(" ".join(text[x.source_id].split()[x.source_start : x.source_start + x.source_words]))
+        assert len(a & b) / len(a | b) == pytest.approx(x.similarity)
+    assert len({(x.doc_id, x.start_word, x.n_words, x.source_id) for x in got}) == len(got)
