@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -14,8 +15,8 @@ from pyspark.sql import functions as F
 from .common import few, written
 from .urls import host_and_path
 
-#: Pages per host, in expectation, that its wrapper is inferred from.
-SAMPLE = 24
+#: Pages, in expectation, that one partial wrapper of a host is inferred from, and partial wrappers aligned at a time.
+SHARE = 24
 DEEPEST = 48
 PERIOD = 3
 
@@ -270,6 +271,28 @@ def infer(pages: list[str | None]) -> list[Node]:
     return wrapper
 
 
+def combine(wrappers: list[list[Node]]) -> list[Node]:
+    """One wrapper of several: the first one generalised by each other one in turn."""
+    whole = wrappers[0]
+    for other in wrappers[1:]:
+        whole = align(whole, other)
+    return whole
+
+
+def packed(wrapper: list[Node]) -> str:
+    def lists(nodes: list[Node]) -> list:
+        return [[n.key, lists(n.children), n.often, n.out, n.constant, n.mass] for n in nodes]
+
+    return json.dumps(lists(wrapper))
+
+
+def unpacked(text: str) -> list[Node]:
+    def nodes(lists: list) -> list[Node]:
+        return [Node(key, nodes(children), *rest) for key, children, *rest in lists]
+
+    return nodes(json.loads(text))
+
+
 def slots(wrapper: list[Node]) -> list[tuple[tuple[str, ...], bool, int]]:
     """path, left out and text seen of all text parts of a wrapper."""
     found, todo = [], [(n, (), False) for n in reversed(wrapper)]
@@ -283,9 +306,9 @@ def slots(wrapper: list[Node]) -> list[tuple[tuple[str, ...], bool, int]]:
     return found
 
 
-def main_region(parts: list[tuple[tuple[str, ...], bool, int]]) -> tuple[str, ...]:
-    """The path of the element that holds the article: an article or main element, or else the element with the
-    most text in its own blocks."""
+def regions(parts: list[tuple[tuple[str, ...], bool, int]]) -> list[tuple[str, ...]]:
+    """The paths of the elements that hold articles, the one with the most text first: all article or main
+    elements, one per template, or else the one element with the most text in its own blocks."""
     named: dict[tuple[str, ...], int] = {}
     plain: dict[tuple[str, ...], int] = {}
     for path, out, mass in parts:
@@ -298,53 +321,75 @@ def main_region(parts: list[tuple[tuple[str, ...], bool, int]]) -> tuple[str, ..
             named[path[: at + 1]] = named.get(path[: at + 1], 0) + mass
         parent = path[:-1] if path else path
         plain[parent] = plain.get(parent, 0) + mass
-    for found in (named, plain):
-        if found:
-            return max(found, key=lambda p: (found[p], tuple(p)))
-    return ()
+    if named:
+        return sorted(named, key=lambda p: (named[p], p), reverse=True)
+    return [max(plain, key=lambda p: (plain[p], p))] if plain else []
+
+
+def main_region(parts: list[tuple[tuple[str, ...], bool, int]]) -> tuple[str, ...]:
+    """The path of the element that holds the article: the first of regions()."""
+    return next(iter(regions(parts)), ())
 
 
-def article(page: str | None, region: tuple[str, ...] | None) -> str:
-    """The blocks below the wrapper's region; a page that does not have it is judged by its own stream."""
+def article(page: str | None, candidates: list[tuple[str, ...]] | None) -> str:
+    """The blocks below the first of the wrapper's regions that the page has; a page that has none is judged by
+    its own stream."""
     own = blocks(page)
-    if not region or not any(p[: len(region)] == region and not out for p, out, _ in own):
+    region = next((r for r in candidates or [] if r and any(p[: len(r)] == r and not out for p, out, _ in own)), None)
+    if region is None:
         region = main_region([(p, out, len(t)) for p, out, t in own])
     return "\n\n".join(t for p, out, t in own if not out and p[: len(region)] == region)
 
 
-def host_wrappers(pages: DataFrame, url: str = "url", page: str = "html", sample: int = SAMPLE) -> DataFrame:
-    """host, region, wrapper: inferred from about ``sample`` pages of each host, chosen by a hash of url and page.
+def host_wrappers(pages: DataFrame, url: str = "url", page: str = "html", share: int = SHARE) -> DataFrame:
+    """host, regions, wrapper: inferred from all pages of each host.
 
-    Only the sample is grouped, so a host with a third of all pages is no larger than any other.
+    Shares of about ``share`` pages, dealt by a hash of url and page, give partial wrappers; as many of these at a
+    time are aligned, level by level, so a host with a third of all pages never meets in one task.
     """
-    rows = pages.select(host_and_path(F.col(url))[0].alias("host"), F.xxhash64(url, page).alias("_h"), F.col(page).alias("html"))
-    share = rows.groupBy("host").agg((F.lit(float(sample)) / F.count("*")).alias("_share"))
-    share = written(share, "hosts")
-    drawn = rows.join(F.broadcast(share) if few(share) else share, "host").where(
-        F.shiftrightunsigned("_h", 11) / float(1 << 53) < F.col("_share"))
+    rows = pages.select(host_and_path(F.col(url))[0].alias("host"), F.xxhash64(url, page).alias("_h"), F.col(page).alias("html")).where("host IS NOT NULL")
+    counts = written(rows.groupBy("host").agg(F.ceil(F.count("*") / share).alias("_shares")), "hosts")
+    dealt = rows.join(F.broadcast(counts) if few(counts) else counts, "host").select(
+        "host", "_h", "html", F.pmod("_h", "_shares").alias("_share"))
+    schema = "host string, _share long, partial string"
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
+    def start(group: pd.DataFrame) -> pd.DataFrame:
         wrapper = infer(list(group.sort_values("_h")["html"]))
-        return pd.DataFrame({
-            "host": group["host"].iloc[:1], "region": [list(main_region(slots(wrapper)))],
-            "wrapper": ["".join(n.expression() for n in wrapper)]})
+        return pd.DataFrame({"host": group["host"].iloc[:1], "_share": group["_share"].iloc[:1] // share, "partial": [packed(wrapper)]})
+
+    def level(group: pd.DataFrame) -> pd.DataFrame:
+        wrapper = combine([unpacked(x) for x in sorted(group["partial"])])
+        return pd.DataFrame({"host": group["host"].iloc[:1], "_share": group["_share"].iloc[:1] // share, "partial": [packed(wrapper)]})
+
+    most = counts.agg(F.max("_shares")).first()[0] or 0
+    partial = written(dealt.groupBy("host", "_share").applyInPandas(start, schema), "partial-wrappers")
+    while most > 1:
+        partial = written(partial.groupBy("host", "_share").applyInPandas(level, schema), "partial-wrappers")
+        most = -(-most // share)
+
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            whole = [unpacked(x) for x in batch["partial"]]
+            yield pd.DataFrame({
+                "host": batch["host"], "regions": [[list(r) for r in regions(slots(w))] for w in whole],
+                "wrapper": ["".join(n.expression() for n in w) for w in whole]})
 
-    return drawn.select("host", "_h", "html").groupBy("host").applyInPandas(run, "host string, region array<string>, wrapper string")
+    return partial.mapInPandas(finish, "host string, regions array<array<string>>, wrapper string")
 
 
-def extract(pages: DataFrame, url: str = "url", page: str = "html", sample: int = SAMPLE) -> DataFrame:
+def extract(pages: DataFrame, url: str = "url", page: str = "html", share: int = SHARE) -> DataFrame:
     """pages with text and n_chars: the article's blocks, joined by an empty line.
 
-    A null or empty page has an empty text. Hosts without sampled pages and pages that their host's wrapper
-    does not fit are judged by their own token stream. Other columns pass; text and n_chars are replaced.
+    A null or empty page has an empty text. Pages that their host's wrapper does not fit are judged by their own
+    token stream. Other columns pass; text and n_chars are replaced.
     """
-    wrappers = written(host_wrappers(pages, url, page, sample).select(F.col("host").alias("_host"), F.col("region").alias("_region")), "wrappers")
+    wrappers = written(host_wrappers(pages, url, page, share).select(F.col("host").alias("_host"), F.col("regions").alias("_regions")), "wrappers")
     met = pages.withColumn("_of", host_and_path(F.col(url))[0]).join(
         F.broadcast(wrappers) if few(wrappers) else wrappers, F.col("_of") == F.col("_host"), "left")
 
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for bodies, regions in batches:
-            yield pd.Series([article(b, tuple(r) if r is not None else None) for b, r in zip(bodies, regions)], dtype=object)
+        for bodies, found in batches:
+            yield pd.Series([article(b, [tuple(x) for x in r] if r is not None else None) for b, r in zip(bodies, found)], dtype=object)
 
-    out = met.withColumn("text", F.pandas_udf(run, "string")(F.col(page), F.col("_region")))
-    return out.withColumn("n_chars", F.length("text").cast("long")).drop("_of", "_host", "_region")
+    out = met.withColumn("text", F.pandas_udf(run, "string")(F.col(page), F.col("_regions")))
+    return out.withColumn("n_chars", F.length("text").cast("long")).drop("_of", "_host", "_regions")

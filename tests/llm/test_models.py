@@ -180,3 +180,16 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert out.columns == ["doc_id", "n_tokens", "ids", "round_trip"]
     assert all(r.round_trip and r.n_tokens == len(r.ids) for r in out.collect())
+
+
+def test_every_template_of_a_host_has_its_region(frame):
+    """The minority's pages name two articles; over all of them the first is the main one, on one page the second."""
+    def minor(i):
+        return (f"<html><body><div class=b><article><p>{'Main text of page ' * 6}{i}</p></article></div>"
+                f"<div class=c><article><p>{'Side text ' * (40 if i == 3 else 1)}{i}</p></article></div></body></html>")
+
+    rows = [(i, f"http://a.example/m{i}", minor(i)) for i in range(12)]
+    rows += [(100 + i, f"http://a.example/{i}", f"<html><body><div class=a><article><p>{'Usual text ' * 30}{i}</p></article></div></body></html>") for i in range(60)]
+    got = wrappers.extract(frame(rows, "page_id long, url string, html string"), share=5).collect()
+    for r in got:
+        assert r.text == (f"{'Usual text ' * 30}{r.page_id - 100}" if r.page_id >= 100 else f"{'Main text of page ' * 6}{r.page_id}")
