@@ -54,10 +54,22 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates, the one with the smallest id."""
-    decided = near.near_duplicates(docs)
-    gone = written(decided.where(~F.col("kept")).select("doc_id").distinct(), "near-gone")
-    return _without(docs, gone, ["doc_id"])
+    """One row of each component of near duplicates, the one with the smallest id, a null id being the largest.
+
+    Where ids are null or repeated each row is a vertex of its own; of rows with one id the smaller digest stays.
+    """
+    odd = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL")
+    if odd.isEmpty():
+        decided = near.near_duplicates(docs)
+        gone = written(decided.where(~F.col("kept")).select("doc_id").distinct(), "near-gone")
+        return _without(docs, gone, ["doc_id"])
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "near-rows")
+    decided = near.near_duplicates(rows, "_row").select(F.col("doc_id").alias("_row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256), "_row")
+    placed = written(rows.select("_row", order.alias("_order")).join(decided, "_row"), "near-placed")
+    stay = placed.groupBy("component_id").agg(F.min("_order")["_row"].alias("_row"))
+    gone = written(placed.select("_row").join(stay, "_row", "left_anti"), "near-gone")
+    return _without(rows, gone, ["_row"]).drop("_row")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

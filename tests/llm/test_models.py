@@ -193,3 +193,13 @@ def test_every_template_of_a_host_has_its_region(frame):
     got = wrappers.extract(frame(rows, "page_id long, url string, html string"), share=5).collect()
     for r in got:
         assert r.text == (f"{'Usual text ' * 30}{r.page_id - 100}" if r.page_id >= 100 else f"{'Main text of page ' * 6}{r.page_id}")
+
+
+def test_near_dedup_tells_rows_with_one_id_apart(spark, frame):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, base, "en", "s", "x"), (None, base + " more", "en", "s", "x"), (None, "a clean text of its own without any copy", "en", "s", "x"),
+            (None, "one text that stands here twice under no id " * 8, "en", "s", "x"), (None, "one text that stands here twice under no id " * 8 + "more", "en", "s", "x"),
+            (7, "another clean text under a repeated id", "en", "s", "x"), (7, base + " end", "en", "s", "x")]
+    got = corpus_pipeline.near_dedup(spark, frame(rows, DOC), "").collect()
+    texts = sorted(r.text[:20] for r in got)
+    assert texts == sorted(t[:20] for t in (rows[0][1], rows[2][1], rows[3][1], rows[5][1]))
