@@ -28,7 +28,7 @@ _LETTERS = np.empty(0, bool)
 def _letters() -> np.ndarray:
     global _LETTERS
     if not len(_LETTERS):
-        _LETTERS = np.fromiter((chr(i).isalpha() for i in range(0x20000)), bool, 0x20000)
+        _LETTERS = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
     return _LETTERS
 
 
@@ -40,7 +40,7 @@ def gram_counts(text: str | None) -> np.ndarray | None:
     letters = _letters()
     for start in range(0, len(text), _PIECE):
         points = np.frombuffer(text[start : start + _PIECE].lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-        known = letters[np.minimum(points, np.uint32(0x1FFFF))]
+        known = letters[points]
         any_letter |= bool(known.any())
         own = np.where(known, points, 32).astype(np.uint64)
         own = np.concatenate([tail if start else np.array([32], np.uint64), own])

@@ -182,6 +182,11 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
     assert all(r.round_trip and r.n_tokens == len(r.ids) for r in out.collect())
 
 
+def test_letters_of_all_planes():
+    assert langid.gram_counts(chr(0x20000) + chr(0x2A700)) is not None
+    assert langid.gram_counts("\U0001F600 12 \U000F0000") is None
+
+
 def test_every_template_of_a_host_has_its_region(frame):
     """The minority's pages name two articles; over all of them the first is the main one, on one page the second."""
     def minor(i):
