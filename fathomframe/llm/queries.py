@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, langid, mixing, near, passages, quality, substrings, tokens, urls, wrappers
+from . import centroids, exact, langid, mixing, near, passages, quality, substrings, tokens, urls, wrappers
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,45 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.near_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed, middle = centroids.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return centroids.with_inertia(placed, middle)
+
+
+def _cluster_sql() -> str:
+    """Rounds written out one after the other; vectors are lists of 64 integers."""
+    gap = "CAST(list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT)"
+    nearest = f"""SELECT row, vec_id, v, unnest(p) FROM (
+        SELECT row, any_value(vec_id) AS vec_id, any_value(v) AS v, min({{{{'distance': {gap}, 'cluster': k}}}}) AS p
+        FROM kept CROSS JOIN middle{{i}} GROUP BY row)"""
+    moved = """SELECT k, coalesce(fresh, c) AS c FROM middle{i} LEFT JOIN (
+        SELECT cluster, list(mean ORDER BY place) AS fresh FROM (
+            SELECT cluster, place, (sum(x)::BIGINT - ((sum(x)::BIGINT % count(*)) + count(*)) % count(*)) // count(*) AS mean
+            FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS place FROM near{i}) GROUP BY cluster, place)
+        GROUP BY cluster) ON k = cluster"""
+    steps = []
+    for i in range(centroids.ROUNDS + 1):
+        steps.append(f"near{i} AS MATERIALIZED ({nearest.format(i=i)})")
+        if i < centroids.ROUNDS:
+            steps.append(f"middle{i + 1} AS MATERIALIZED ({moved.format(i=i)})")
+    last = centroids.ROUNDS
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor({centroids.SCALE} * x::DOUBLE) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE len(embedding) = {centroids.DIMENSIONS} AND len(list_filter(embedding, lambda x: isfinite(x))) = {centroids.DIMENSIONS}),
+middle0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY h) - 1 AS k, v AS c
+    FROM (SELECT sha256('{centroids.SEED}:' || vec_id) AS h, v FROM kept ORDER BY h LIMIT {centroids.CLUSTERS})),
+{", ".join(steps)}
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance,
+       CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM near{last} JOIN middle{last} ON k = cluster
+"""
+
+
+ORACLES["op12_centroid_clustering"] = _cluster_sql()
