@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import centroids, exact, langid, mixing, near, passages, quality, substrings, tokens, urls, wrappers
+from . import centroids, collocations, exact, langid, mixing, near, passages, quality, substrings, tokens, urls, wrappers
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +146,36 @@ FROM near{last} JOIN middle{last} ON k = cluster
 
 
 ORACLES["op12_centroid_clustering"] = _cluster_sql()
+
+
+@query
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+ORACLES["op11_phrase_collocations"] = f"""
+WITH pieces AS (
+    SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM (
+        SELECT coalesce(lang, '{collocations.UNDETERMINED}') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+spans AS (
+    SELECT lang, size, w[i : i + size - 1] AS g
+    FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM pieces, range(1, {collocations.LONGEST} + 1) t(size))),
+grams AS MATERIALIZED (SELECT lang, size, g, count(*) AS f FROM spans GROUP BY ALL HAVING count(*) >= {collocations.LEAST}),
+cuts AS (
+    SELECT c.lang, c.g, c.f AS a, l.f AS l, r.f AS r, k, {collocations.SCORE_SCALE}::HUGEINT * c.f // (l.f::HUGEINT + r.f) AS score
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM grams WHERE size > 1) c
+    JOIN grams l ON l.lang = c.lang AND l.g = c.g[1 : k] JOIN grams r ON r.lang = c.lang AND r.g = c.g[k + 1 :]),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+within AS (
+    SELECT lang, g[i : i + s - 1] AS g, max(f) AS longer
+    FROM (SELECT *, unnest(range(1, size - s + 2)) AS i FROM grams, range(2, {collocations.LONGEST}) t(s) WHERE s < size) GROUP BY ALL),
+kept AS (
+    SELECT w.lang, array_to_string(w.g, ' ') AS phrase, a, l, r, CAST(score AS BIGINT) AS score
+    FROM weakest w LEFT JOIN within x ON x.lang = w.lang AND x.g = w.g
+    WHERE longer IS NULL OR {collocations.COVERED}::HUGEINT * longer < {collocations.COVERING}::HUGEINT * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= {collocations.TOP}
+"""
