@@ -53,7 +53,7 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[str, _Words]]:
         share = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64)) // SLICE_CHARS
         begin = np.append(np.flatnonzero(np.diff(share, prepend=-1)), len(texts))
         for a, b in zip(begin, begin[1:]):
-            yield lang.as_py(), _Words(texts.slice(a, b - a))
+            yield lang.as_py(), _Words(texts.take(pa.array(np.arange(a, b))))  # a copy: ascii_lower misreads slices
 
 
 def frequent_pairs(docs: DataFrame, least: int, bits: int = FILTER_BITS) -> np.ndarray:

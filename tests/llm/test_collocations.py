@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from fathomframe.llm import collocations
@@ -62,6 +63,19 @@ def test_phrases(frame, monkeypatch, seed, top, bits):
     assert run(frame, rows, least=8, top=top, bits=bits) == sorted(brute(rows, 8, 4, top))
 
 
+def test_words_of_slices(monkeypatch):
+    monkeypatch.setattr(collocations, "SLICE_CHARS", 40_000)
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abCDé .,\n\t") for _ in range(rng.randrange(3000))) for _ in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["x", "y"] * 150), pa.array(texts)], ["lang", "text"])
+    seen = {"x": [], "y": []}
+    for lang, words in collocations._slices(batch):
+        seen[lang] += [words.words[c].as_py() if c >= 0 else "." for c in words.codes.tolist()]
+    for lang, own in (("x", texts[::2]), ("y", texts[1::2])):
+        plain = [re.findall(r"[.,;:!?\x0A-\x0D]|[^\x20\x09.,;:!?\x0A-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t)) + ["."] for t in own]
+        assert seen[lang] == [w if w not in ",\n" else "." for t in plain for w in t]
+
+
 def test_shorter_longest_order(frame):
     rows = sample(4, 200, 8)
     for longest in (2, 3):
