@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import centroids, collocations, exact, langid, mixing, near, passages, quality, substrings, tokens, urls, wrappers
+from . import centroids, collocations, exact, langid, merkle, mixing, near, passages, quality, substrings, tokens, urls, wrappers
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,3 +179,46 @@ kept AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= {collocations.TOP}
 """
+
+
+@query
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = merkle.with_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = out.select("doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+                     "fingerprint", "edited_fingerprint", "next_fingerprint")
+    out = merkle.likeness(out, "fingerprint", "edited_fingerprint", "near_edited")
+    out = merkle.likeness(out, "fingerprint", "next_fingerprint", "near_next")
+    return merkle.edited(out, "fingerprint", "edited_fingerprint").drop("next_fingerprint", "edit_end")
+
+
+_CLOSING = ", ".join(f"'{c}'" for c in merkle.CLOSING)
+_TREE_SQL = f"""array_to_string(list_transform(regexp_extract_all(array_to_string(list_transform(
+    regexp_extract_all({{text}}, '{merkle.LEAF}'), lambda x: left(sha256(x), {merkle.DIGITS}) || '.' || length(x) || CASE
+        WHEN ends_with(x, chr(10) || chr(10)) THEN ',/#'
+        WHEN ends_with(x, chr(10)) OR left(sha256(x), 1) IN ({_CLOSING}) THEN ',/' ELSE ',' END), ''), '[^/]+(/#?)?'),
+    lambda p: CASE WHEN NOT ends_with(p, '#') AND left(sha256(p), 1) IN ({_CLOSING}) THEN p || '#' ELSE p END), '')"""
+_ROOT_SQL = """sha256(array_to_string(list_transform(list_filter(string_split({tree}, '#'), lambda s: s <> ''), lambda s: sha256(
+    array_to_string(list_transform(list_filter(string_split(s, '/'), lambda p: p <> ''), lambda p: sha256(p)), ''))), ''))"""
+_LEAVES_SQL = "regexp_extract_all({tree}, '[0-9a-f]+[.][0-9]+')"
+_WEIGHT_SQL = "coalesce(list_sum(list_transform({leaves}, lambda x: CAST(split_part(x, '.', 2) AS BIGINT))), 0)"
+
+
+def _likeness_sql(a: str, b: str) -> str:
+    x, y = (f"list_distinct({_LEAVES_SQL.format(tree=t)})" for t in (a, b))
+    shared, left, right = (_WEIGHT_SQL.format(leaves=v) for v in (f"list_intersect({x}, {y})", x, y))
+    return f"CASE WHEN {a}_root = {b}_root THEN 1.0::DOUBLE ELSE CAST(2 * {shared} AS DOUBLE) / ({left} + {right}) END"
+
+
+_SAME_SQL = f"list_transform(list_zip({_LEAVES_SQL.format(tree='own')}, {_LEAVES_SQL.format(tree='edit')}), lambda z: z[1] IS NOT DISTINCT FROM z[2])"
+_PREFIX_SQL = f"{_LEAVES_SQL.format(tree='own')}[1 : list_position({_SAME_SQL}, false) - 1]"
+ORACLES["op13_document_fingerprints"] = f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+paired AS (SELECT *, coalesce(lead(text) OVER w, first_value(text) OVER w) AS following FROM docs WINDOW w AS (ORDER BY doc_id DESC)),
+texts AS (SELECT *, left(text, length(text) - length(text) // 3) || left(following, length(text) // 3) AS edited FROM paired),
+trees AS MATERIALIZED (SELECT *, {_TREE_SQL.format(text="text")} AS own, {_TREE_SQL.format(text="edited")} AS edit, {_TREE_SQL.format(text="following")} AS other FROM texts),
+roots AS (SELECT *, {", ".join(f"{_ROOT_SQL.format(tree=t)} AS {t}_root" for t in ("own", "edit", "other"))} FROM trees)
+SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, own_root || ' ' || own AS fingerprint,
+       edit_root || ' ' || edit AS edited_fingerprint, {_likeness_sql("own", "edit")} AS near_edited, {_likeness_sql("own", "other")} AS near_next,
+       CASE WHEN own_root <> edit_root THEN CAST({_WEIGHT_SQL.format(leaves=_PREFIX_SQL)} AS BIGINT) END AS edit_start
+FROM roots
+"""
