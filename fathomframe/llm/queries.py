@@ -193,7 +193,7 @@ def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _CLOSING = ", ".join(f"'{c}'" for c in merkle.CLOSING)
 _TREE_SQL = f"""array_to_string(list_transform(regexp_extract_all(array_to_string(list_transform(
-    regexp_extract_all({{text}}, '{merkle.LEAF}'), lambda x: left(sha256(x), {merkle.DIGITS}) || '.' || length(x) || CASE
+    regexp_extract_all($text, '{merkle.LEAF}'), lambda x: left(sha256(x), {merkle.DIGITS}) || '.' || length(x) || CASE
         WHEN ends_with(x, chr(10) || chr(10)) THEN ',/#'
         WHEN ends_with(x, chr(10)) OR left(sha256(x), 1) IN ({_CLOSING}) THEN ',/' ELSE ',' END), ''), '[^/]+(/#?)?'),
     lambda p: CASE WHEN NOT ends_with(p, '#') AND left(sha256(p), 1) IN ({_CLOSING}) THEN p || '#' ELSE p END), '')"""
@@ -215,7 +215,7 @@ ORACLES["op13_document_fingerprints"] = f"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 paired AS (SELECT *, coalesce(lead(text) OVER w, first_value(text) OVER w) AS following FROM docs WINDOW w AS (ORDER BY doc_id DESC)),
 texts AS (SELECT *, left(text, length(text) - length(text) // 3) || left(following, length(text) // 3) AS edited FROM paired),
-trees AS MATERIALIZED (SELECT *, {_TREE_SQL.format(text="text")} AS own, {_TREE_SQL.format(text="edited")} AS edit, {_TREE_SQL.format(text="following")} AS other FROM texts),
+trees AS MATERIALIZED (SELECT *, {", ".join(f"{_TREE_SQL.replace('$text', t)} AS {name}" for t, name in (("text", "own"), ("edited", "edit"), ("following", "other")))} FROM texts),
 roots AS (SELECT *, {", ".join(f"{_ROOT_SQL.format(tree=t)} AS {t}_root" for t in ("own", "edit", "other"))} FROM trees)
 SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, own_root || ' ' || own AS fingerprint,
        edit_root || ' ' || edit AS edited_fingerprint, {_likeness_sql("own", "edit")} AS near_edited, {_likeness_sql("own", "other")} AS near_next,
