@@ -121,11 +121,12 @@ def edited(df: DataFrame, a: str, b: str, start: str = "edit_start", end: str =
 def neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """_id, _digest, _before, _chars: each id with the one before it in descending order, and that one's most characters.
 
-    One row per id, a null id coming last; the first follows the last. _digest is the smallest digest of the
+    One row per id, a null id coming last; the first follows the last. _digest begins the smallest digest of the
     id's texts. Ids are dealt out by range and put in order within a range; ranges meet in a table with one row
     for each.
     """
-    ids = docs.groupBy(F.col(doc_id).alias("_id")).agg(F.min(_sha(F.col(text))).alias("_digest"), F.max(F.char_length(text)).alias("_chars"))
+    digest = F.substring(_sha(F.col(text)), 1, 2 * DIGITS)
+    ids = docs.groupBy(F.col(doc_id).alias("_id")).agg(F.min(digest).alias("_digest"), F.max(F.char_length(text)).alias("_chars"))
     ranged = ids.repartitionByRange(F.col("_id").desc_nulls_last()).withColumn("_range", F.spark_partition_id())
     ranged = written(ranged, "merkle-ids")
     here = F.struct("_id", "_chars")
@@ -140,6 +141,11 @@ def neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     return met.select("_id", "_digest", before["_id"].alias("_before"), before["_chars"].alias("_chars"))
 
 
+def _key(doc_id: str) -> dict[str, Column]:
+    """An id as two columns that are never null."""
+    return {"_named": F.coalesce(F.col(doc_id).cast("string"), F.lit("")), "_unnamed": F.isnull(doc_id)}
+
+
 def with_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, text, edited, fingerprint, edited_fingerprint, next_fingerprint of every row of docs.
 
@@ -149,12 +155,14 @@ def with_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     them as a next document. Only the part of a text that its neighbour needs is shuffled a second time.
     """
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    links = written(neighbours(plain, "doc_id", "text"), "merkle-links")
-    given = plain.join(links, F.col("doc_id").eqNullSafe(F.col("_id"))).where(_sha(F.col("text")) == F.col("_digest"))
+    links = written(neighbours(plain, "doc_id", "text").withColumns(_key("_id")), "merkle-links")
+    own = [v == F.col(k) for k, v in _key("doc_id").items()]
+    # no equality of digests here: it would become part of the join's key, and both joins share one exchange of texts
+    given = plain.join(links, own).where(F.startswith(_sha(F.col("text")), F.col("_digest")))
     heads = fingerprint(given, "text", "_next").select(
-        "_before", F.expr("left(text, _chars div 3)").alias("_head"), "_next")
-    heads = heads.groupBy("_before").agg(F.first("_head").alias("_head"), F.first("_next").alias("next_fingerprint"))
-    both = plain.join(heads, F.col("doc_id").eqNullSafe(F.col("_before")))
+        *[v.alias(k) for k, v in _key("_before").items()], F.expr("left(text, _chars div 3)").alias("_head"), "_next")
+    heads = heads.groupBy("_named", "_unnamed").agg(F.first("_head").alias("_head"), F.first("_next").alias("next_fingerprint"))
+    both = plain.join(heads, own)
     third = "char_length(text) div 3"
     both = both.withColumn("edited", F.expr(f"concat(left(text, char_length(text) - {third}), left(_head, {third}))"))
     both = fingerprint(fingerprint(both, "text", "fingerprint"), "edited", "edited_fingerprint")
