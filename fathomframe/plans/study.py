@@ -33,12 +33,12 @@ EXPORT_NAMES = {"opcode": "sample", "length_mm_": "length", "range_mm_": "range"
 
 
 def _scan(spark: SparkSession, root: str, kind: str, layout: str,
-          multi_line: bool) -> DataFrame | None:
+          multi_line: bool, campaigns: DataFrame | None) -> DataFrame | None:
     """One kind of file, or None where a study has none."""
     suffix = SUFFIXES[kind]
     try:
         df = files.scan_files(spark, root, suffix, layout=layout, multi_line=multi_line,
-                              sep="\t" if suffix.endswith(".txt") else ",")
+                              sep="\t" if suffix.endswith(".txt") else ",", campaigns=campaigns)
     except FileNotFoundError:
         return None
     return df.withColumnsRenamed({old: new for old, new in EXPORT_NAMES.items()
@@ -46,18 +46,20 @@ def _scan(spark: SparkSession, root: str, kind: str, layout: str,
 
 
 def gather_study(spark: SparkSession, root: str, layout: str = "project/campaign",
-                 metadata: DataFrame | None = None, multi_line: bool = False) -> dict[str, DataFrame]:
+                 metadata: DataFrame | None = None, multi_line: bool = False,
+                 campaigns: DataFrame | None = None) -> dict[str, DataFrame]:
     """Metadata, MaxN, lengths with 3D points, and habitat of all campaigns
-    below ``root``.
+    below ``root``, or of those that a search has found (``campaigns``, with
+    ``name``): files of others are not opened.
 
     ``metadata`` may be given as a table instead of files.  ``multi_line``
     reads annotation cells with line breaks; metadata is always read so.
     Length tables keep all their columns but time, project and comment.
     """
     if metadata is None:
-        metadata = files.scan_metadata(spark, root, layout=layout)
+        metadata = files.scan_metadata(spark, root, layout=layout, campaigns=campaigns)
     points, count, lengths, length, points3d, habitat = (
-        _scan(spark, root, kind, layout, multi_line)
+        _scan(spark, root, kind, layout, multi_line, campaigns)
         for kind in ("points", "count", "lengths", "length", "points3d", "habitat"))
     out = {"metadata": metadata}
     if points is not None or count is not None:

@@ -16,6 +16,7 @@ from fathomframe.functions.columns import null_tokens
 from fathomframe.functions.names import clean_name, clean_names, unique_names
 from fathomframe.operators.reshape import bind_rows
 from fathomframe.session import scratch_root
+from fathomframe.sources import manifest
 
 DEFAULT_NA = ("", "NA")
 BLANK_NA = ("", " ")
@@ -52,16 +53,18 @@ def _file_system(spark: SparkSession, root: str):
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
-def list_files(spark: SparkSession, root: str, suffix: str) -> list[str]:
-    """All files below ``root`` whose name ends in ``suffix``, those with a leading ``_`` or ``.`` included."""
+def list_files(spark: SparkSession, root: str, suffix: str) -> list[tuple[str, int, int]]:
+    """Path, bytes and time (ms) of all files below ``root`` whose name ends in ``suffix``, those with a leading
+    ``_`` or ``.`` included."""
     fs, path = _file_system(spark, root)
     if not fs.exists(path):
         raise FileNotFoundError(f"no such folder: {root!r}")
     found, files = [], fs.listFiles(path, True)
     while files.hasNext():
-        name = files.next().getPath()
+        status = files.next()
+        name = status.getPath()
         if name.getName().endswith(suffix) and not name.getName().endswith(".crc"):
-            found.append(name.toString())
+            found.append((name.toString(), status.getLen(), status.getModificationTime()))
     return sorted(found)
 
 
@@ -87,13 +90,23 @@ def _first_line(spark: SparkSession, file: str) -> str:
     return (header or "").rstrip("\r").removeprefix("\ufeff")
 
 
-def files_by_header(spark: SparkSession, root: str, suffix: str) -> dict[str, list[str]]:
+def campaign_files(spark: SparkSession, root: str, suffix: str, layout: str = "project/campaign",
+                   campaigns: DataFrame | None = None) -> DataFrame:
+    """The manifest of the files below ``root`` (see :mod:`fathomframe.sources.manifest`), of some campaigns or of all."""
+    return manifest.file_manifest(spark, list_files(spark, root, suffix), suffix, layout, campaigns)
+
+
+def files_by_header(spark: SparkSession, root: str, suffix: str, layout: str = "project/campaign",
+                    campaigns: DataFrame | None = None) -> dict[str, list[str]]:
     """Header -> files that carry it; an empty file is in no group.
 
     One reader must never see two headers: Spark would put values under the wrong names without a word. Only
     the first line of a file is read here, on the driver, which holds the list of files anyway.
     """
-    paths = list_files(spark, root, suffix)
+    paths = [f for f, _, _ in list_files(spark, root, suffix)]
+    if campaigns is not None:
+        kept = campaign_files(spark, root, suffix, layout, campaigns).select("file")
+        paths = sorted(r["file"] for r in kept.collect())
     with ThreadPoolExecutor(16) as pool:
         headers = list(pool.map(lambda f: _first_line(spark, f), paths))
     groups: dict[str, list[str]] = {}
@@ -157,7 +170,8 @@ _CELL = "length(coalesce(c0, '')) >= 0"
 
 def scan_files(spark: SparkSession, root: str, suffix: str, sep: str = ",",
                na: Sequence[str] = DEFAULT_NA, layout: str = "project/campaign",
-               multi_line: bool = False, odd_rows: str = "fail") -> DataFrame:
+               multi_line: bool = False, odd_rows: str = "fail", campaigns: DataFrame | None = None,
+               columns: Sequence[str] | None = None) -> DataFrame:
     """All files below ``root`` whose name ends in ``suffix``, as text columns.
 
     Headers are normalised, missing-value tokens become NULL, and the
@@ -165,10 +179,29 @@ def scan_files(spark: SparkSession, root: str, suffix: str, sep: str = ",",
     ``.`` are read like any other.  ``multi_line`` reads cells with line
     breaks (such files are not split).  A row that is not as wide as its
     header ends the job that reads it; with ``odd_rows="skip"`` it is left
-    to :func:`odd_width_rows`, which lists all of them.
+    to :func:`odd_width_rows`, which lists all of them.  ``campaigns``, a
+    search result, keeps files of other campaigns from being opened at all;
+    ``columns`` names the columns to read.
+
+    Tasks open files themselves (:mod:`fathomframe.sources.manifest`); where
+    they cannot, in a store that only Spark opens, Spark's reader is used,
+    one for each header.
     """
+    if not manifest.opens(root):
+        table = _scan_with_spark(spark, root, suffix, sep, layout, multi_line, odd_rows, campaigns)
+        own = [c for c in table.columns if c in ("project", "campaignid")]
+        return null_tokens(table if columns is None else table.select(*own, *columns), na)
+    found = campaign_files(spark, root, suffix, layout, campaigns)
+    names = manifest.column_names(found, sep)
+    if not names:
+        raise FileNotFoundError(f"no file ending in {suffix!r} below {root!r}")
+    return null_tokens(manifest.scan_manifest(found, names if columns is None else columns, sep, multi_line, odd_rows), na)
+
+
+def _scan_with_spark(spark: SparkSession, root: str, suffix: str, sep: str, layout: str, multi_line: bool,
+                     odd_rows: str, campaigns: DataFrame | None) -> DataFrame:
     tables = []
-    for header, paths in _groups(spark, root, suffix).items():
+    for header, paths in _groups(spark, root, suffix, layout, campaigns).items():
         raw, names = _scan_group(spark, header, paths, sep, multi_line, odd_rows)
         if odd_rows == "skip":
             raw = raw.select("*", "_metadata").filter(F.col(_ODD).isNull() & F.expr(_CELL))
@@ -176,11 +209,12 @@ def scan_files(spark: SparkSession, root: str, suffix: str, sep: str = ",",
         keep = [(i, n) for i, n in enumerate(names) if n not in source]
         tables.append(raw.select(*[c.alias(n) for n, c in source.items()],
                                  *[F.col(f"c{i}").alias(n) for i, n in keep]))
-    return null_tokens(bind_rows(*tables), na)
+    return bind_rows(*tables)
 
 
-def _groups(spark: SparkSession, root: str, suffix: str) -> dict[str, list[str]]:
-    groups = files_by_header(spark, root, suffix)
+def _groups(spark: SparkSession, root: str, suffix: str, layout: str = "project/campaign",
+            campaigns: DataFrame | None = None) -> dict[str, list[str]]:
+    groups = files_by_header(spark, root, suffix, layout, campaigns)
     if not groups:
         raise FileNotFoundError(f"no file ending in {suffix!r} below {root!r}")
     return groups
@@ -195,6 +229,8 @@ def _seen_path() -> Column:
 def odd_width_rows(spark: SparkSession, root: str, suffix: str, sep: str = ",",
                    layout: str = "project/campaign", multi_line: bool = False) -> DataFrame:
     """Provenance, file and record of every row that is not as wide as its file's header."""
+    if manifest.opens(root):
+        return manifest.odd_rows(campaign_files(spark, root, suffix, layout), sep, multi_line)
     tables = []
     for header, paths in _groups(spark, root, suffix).items():
         raw, _ = _scan_group(spark, header, paths, sep, multi_line, "keep")
@@ -206,15 +242,16 @@ def odd_width_rows(spark: SparkSession, root: str, suffix: str, sep: str = ",",
 
 def scan_tsv(spark: SparkSession, root: str, suffix: str = "_Habitat.point.score.txt",
              na: Sequence[str] = DEFAULT_NA, layout: str = "project/campaign",
-             multi_line: bool = False) -> DataFrame:
-    return scan_files(spark, root, suffix, sep="\t", na=na, layout=layout, multi_line=multi_line)
+             multi_line: bool = False, campaigns: DataFrame | None = None) -> DataFrame:
+    return scan_files(spark, root, suffix, sep="\t", na=na, layout=layout, multi_line=multi_line, campaigns=campaigns)
 
 
 def scan_campaign_info(spark: SparkSession, root: str, suffix: str = "info.csv",
-                       layout: str = "project/campaign", multi_line: bool = True) -> DataFrame:
+                       layout: str = "project/campaign", multi_line: bool = True,
+                       campaigns: DataFrame | None = None) -> DataFrame:
     """Name/value pairs of all campaigns in one scan; the files are usually named ``.info.csv``."""
-    info = scan_files(spark, root, suffix, layout=layout, multi_line=multi_line)
-    return info.select("project", "campaignid", "name", "value")
+    return scan_files(spark, root, suffix, layout=layout, multi_line=multi_line, campaigns=campaigns,
+                      columns=["name", "value"]).select("project", "campaignid", "name", "value")
 
 
 def scan_reference_table(spark: SparkSession, path: str, sep: str = ",",
@@ -251,12 +288,12 @@ METADATA_COLUMNS = (
 def scan_metadata(spark: SparkSession, root: str, suffix: str = "_Metadata.csv",
                   layout: str = "project/campaign",
                   columns: Sequence[str] | None = METADATA_COLUMNS,
-                  multi_line: bool = True) -> DataFrame:
+                  multi_line: bool = True, campaigns: DataFrame | None = None) -> DataFrame:
     """Sample metadata narrowed to the usual columns (``None`` keeps all).
 
     Its comments are free text, so cells with line breaks are expected.
     """
-    meta = scan_files(spark, root, suffix, layout=layout, multi_line=multi_line)
+    meta = scan_files(spark, root, suffix, layout=layout, multi_line=multi_line, campaigns=campaigns)
     if columns is None:
         return meta
     if layout == "flat":

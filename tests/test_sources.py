@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from fathomframe.plans.study import gather_counts, gather_study
 from fathomframe.sources import catalog as cat
-from fathomframe.sources import files, sinks
+from fathomframe.sources import files, manifest, sinks
 
 
 def put(root, relative, text):
@@ -198,3 +198,75 @@ def test_scratch_folder_must_be_named():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_root(session(None))
     assert scratch_root(session("hdfs:///shared/")) == "hdfs:///shared"
+
+
+def test_files_of_other_campaigns_are_never_opened(spark, tmp_path, catalog):
+    root = str(tmp_path)
+    for name in ("2011-09_Bay_video", "2012-01_Bay_Video", "2013-01_Reef_video"):
+        put(root, f"P/{name}/{name}_Metadata.csv", META + "s1,1,2,20150910,9:23:00,L,F,NA,10,O,Yes,Yes,NA\n")
+        put(root, f"P/{name}/{name}_Count.csv", "Sample,Family,Genus,Species,Count\ns1,F,G,b,6\n")
+    for kind in ("Metadata", "Count"):  # a file that no one could read
+        os.remove(os.path.join(root, f"P/2013-01_Reef_video/2013-01_Reef_video_{kind}.csv"))
+        os.symlink("/proc/self/mem", os.path.join(root, f"P/2013-01_Reef_video/2013-01_Reef_video_{kind}.csv"))
+    got = gather_study(spark, root, campaigns=cat.by_pattern(catalog, "%Bay%"))
+    assert rows(got["maxn"], "campaignid", "maxn") == [("2011-09_Bay_video", 6.0), ("2012-01_Bay_Video", 6.0)]
+    assert rows(got["metadata"], "campaignid") == [("2011-09_Bay_video",), ("2012-01_Bay_Video",)]
+    with pytest.raises(Exception):
+        gather_study(spark, root)["metadata"].count()
+    assert set(gather_study(spark, root, campaigns=cat.by_name(catalog, "2012-01_Bay_Video"))) == {"metadata", "maxn"}
+    with pytest.raises(FileNotFoundError):
+        files.scan_metadata(spark, root, campaigns=cat.by_name(catalog, "nowhere"))
+
+
+def test_one_scan_for_many_headers(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    for i in range(40):
+        names = ["Sample", f"Only {i}", "Depth"]
+        put(root, f"P/c{i}/.c{i}_Metadata.csv" if i % 2 else f"P/c{i}/c{i}_Metadata.csv",
+            ",".join(names[i % 3:] + names[: i % 3]) + "\n" + ",".join([f"s{i}", "x", str(i)][i % 3:] + [f"s{i}", "x", str(i)][: i % 3]) + "\n")
+    monkeypatch.setattr(files, "_first_line", None)
+    monkeypatch.setattr(files, "_readable", None)
+    out = files.scan_files(spark, root, "_Metadata.csv")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Union" not in plan
+    assert len(out.columns) == 44 and rows(out, "campaignid", "sample", "depth") == rows(spark.createDataFrame(
+        [(f"c{i}", f"s{i}", str(i)) for i in range(40)], "campaignid string, sample string, depth string"))
+    assert out.filter("only_7 = 'x'").count() == 1
+    found = files.campaign_files(spark, root, "_Metadata.csv", campaigns=spark.createDataFrame([("c3",), ("c4",)], "name string"))
+    got = {r["campaignid"]: (r["header"], r["size"]) for r in manifest.headers(found).collect()}
+    assert got == {"c3": (["sample", "only_3", "depth"], len("Sample,Only 3,Depth\ns3,x,3\n")),
+                   "c4": (["only_4", "depth", "sample"], len("Only 4,Depth,Sample\nx,4,s4\n"))}
+
+
+@pytest.mark.parametrize("stretch", [1, 7, 64, 1 << 20])
+def test_stretches_of_files_cover_each_line_once(spark, tmp_path, monkeypatch, stretch):
+    root = str(tmp_path)
+    lines = [f"s{i},{'é' * (i % 9)},{i}" for i in range(60)]
+    put(root, "P/a/a_Count.csv", "Sample,Name,Count\n" + "\n".join(lines) + "\n")
+    put(root, "P/b/b_Count.csv", "Sample,Count\r\nx,1\r\n\r\ny,2")
+    put(root, "P/c/c_Count.csv", "Sample,Count\n")
+    put(root, "P/d/d_Count.csv", "")
+    monkeypatch.setattr(manifest, "STRETCH", stretch)
+    monkeypatch.setattr(manifest, "BLOCK", 64)
+    got = files.scan_files(spark, root, "_Count.csv", na=())
+    want = [("a", *line.split(",")) for line in lines] + [("b", "x", None, "1"), ("b", "y", None, "2")]
+    assert rows(got.fillna("", ["name"]), "campaignid", "sample", "name", "count") == sorted([(a, b, c or "", d) for a, b, c, d in want], key=repr)
+
+
+def test_line_breaks_quotes_and_bad_bytes(spark, tmp_path):
+    root = str(tmp_path)
+    put(root, "P/a/a_Count.csv", '﻿"Sample\nname",Count\n"a ""q"", b","1\n2"\n" s ",\n')
+    with open(os.path.join(root, "P/a/b_Count.csv"), "wb") as f:
+        f.write(b"Count\n\xff1\n")
+    got = files.scan_files(spark, root, "_Count.csv", multi_line=True)
+    assert rows(got, "sample_name", "count") == sorted([('a "q", b', "1\n2"), (" s ", None), (None, "�1")], key=repr)
+
+
+def test_spark_reads_what_tasks_cannot_open(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    put(root, "P/a/a_Count.csv", "Sample,Count\ns1,1\n")
+    put(root, "P/b/_b_Count.csv", "Count,Sample\n2,s2\n")
+    names = spark.createDataFrame([("b",)], "name string")
+    both = [rows(files.scan_files(spark, root, "_Count.csv")), rows(files.scan_files(spark, root, "_Count.csv", campaigns=names, columns=["count"]))]
+    monkeypatch.setattr(manifest, "opens", lambda root: False)
+    assert both == [rows(files.scan_files(spark, root, "_Count.csv")), rows(files.scan_files(spark, root, "_Count.csv", campaigns=names, columns=["count"]))]
