@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from fathomframe.functions.columns import SAMPLE, TAXON
 from fathomframe.operators import filters, summary
 from fathomframe.operators.joins import fits_broadcast
-from fathomframe.plans import check, format as fmt, gather, habitat as hab
+from fathomframe.plans import check, format as fmt, gather, habitat as hab, names
 from fathomframe.sources import files
 
 # The endings of the annotation files of one campaign.
@@ -111,6 +111,8 @@ def check_study(maxn: DataFrame, length: DataFrame, life_history: DataFrame,
         "out.of.range": filters.out_of_range(length),
     }
     if synonyms is not None:
+        if names.has_chains(synonyms):
+            synonyms = names.resolve_synonyms(synonyms)
         renames = fits_broadcast(synonyms)
         maxn, reports["maxn.taxa.names.updated"] = check.apply_synonyms(maxn, synonyms, renames)
         length, reports["length.taxa.names.updated"] = check.apply_synonyms(length, synonyms, renames)
@@ -118,6 +120,8 @@ def check_study(maxn: DataFrame, length: DataFrame, life_history: DataFrame,
     reports |= {
         "maxn.species.not.previously.observed": check.taxa_not_observed(maxn, life_history, fits=known),
         "length.species.not.previously.observed": check.taxa_not_observed(length, life_history, fits=known),
+        "maxn.taxa.names.suggested": names.suggest_synonyms(maxn, life_history, fits=known),
+        "length.taxa.names.suggested": names.suggest_synonyms(length, life_history, fits=known),
         "check.wrong.length.taxa.vs.life.history": check.wrong_length_taxa(length, bounds, known),
         "taxa.maxn.vs.stereo.summary": check.maxn_vs_stereo(length, maxn),
         "length.greater.than.1.meter": filters.big_fish(length).select(*SAMPLE, *TAXON, "length"),

@@ -6,7 +6,9 @@ the library depends on them for correct results, only for good plans.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -44,3 +46,10 @@ def scratch_root(spark: SparkSession) -> str:
     if not shared:
         raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
     return shared.rstrip("/")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table below the scratch folder: its lineage ends there and it is computed once."""
+    path = f"{scratch_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
