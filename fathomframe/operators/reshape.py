@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fathomframe.functions.columns import columns_with_prefix, row_total
 from fathomframe.operators.joins import hinted, join_on
 
-_BLOCK, _SHARE, _CELLS, _ALL, _ONE = "__block", "__share", "__cells", "__all", "__one"
+_KEY, _BLOCK, _SHARE, _CELLS, _ALL, _ONE = "__key", "__block", "__share", "__cells", "__all", "__one"
 RIGHT_BLOCKS = 32
 
 
@@ -25,32 +25,39 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _left_names(left: Sequence[str]) -> list[str]:
+    return [f"__left{i}" for i in range(len(left))]
+
+
+def keyed(lefts: DataFrame, left: Sequence[str]) -> DataFrame:
+    """``lefts`` with what finds their cells again, even after ``left`` columns were replaced."""
+    return lefts.withColumns({
+        **{k: F.col(c) for k, c in zip(_left_names(left), left, strict=True)},
+        _KEY: F.coalesce(F.xxhash64(*left), F.lit(0))})
+
+
 def cells_by_left(cells: DataFrame, left: Sequence[str], right: Sequence[str],
                   blocks: int = RIGHT_BLOCKS) -> DataFrame:
-    """One row per ``left`` tuple with the array of its cells.
-
-    ``cells`` holds each (left, right) pair once, so an array has at most as
-    many entries as there are ``right`` tuples, however many raw rows one
-    ``left`` tuple has.  Each entry names the block its tuple is hashed to.
-    The partition count is explicit: these partitions are small now but grow
-    to the dense result, so they must not be merged by size.  All later steps
-    read this one exchange.
+    """One row per ``left`` tuple and block of ``right`` tuples with the array of its cells there.
+
+    ``cells`` holds each (left, right) pair once and a ``right`` tuple belongs
+    to one hashed block, so a row holds no more cells than a block has tuples,
+    however many raw rows or cells one ``left`` tuple has.  The partition
+    count is explicit: these partitions are small now but grow to the dense
+    result, so they must not be merged by size.  All later steps read this
+    one exchange.
     """
+    left = list(left)
     values = [c for c in cells.columns if c not in left and c not in right]
-    block = _bucket(right, blocks)
-    packed = (cells.select(*left, F.struct(block.alias(_BLOCK), *right, *values).alias(_ONE))
-              .repartition(shuffle_partitions(cells), *left))
-    return packed.groupBy(*left).agg(F.collect_list(_ONE).alias(_CELLS))
+    names = _left_names(left)
+    packed = keyed(cells, left).select(_KEY, _bucket(right, blocks).alias(_BLOCK), *names, F.struct(*right, *values).alias(_ONE))
+    packed = packed.repartition(shuffle_partitions(cells), _KEY, _BLOCK)
+    return packed.groupBy(_KEY, _BLOCK, *names).agg(F.collect_list(_ONE).alias(_CELLS))
 
 
-def cells_column() -> Column:
-    """The gathered cells of a left row, to carry them through a select."""
-    return F.col(_CELLS)
-
-
-def no_cells() -> Column:
-    """True for a left row that came from elsewhere and has no cells at all."""
-    return F.col(_CELLS).isNull()
+def left_tuples(by_left: DataFrame, left: Sequence[str]) -> DataFrame:
+    """The distinct ``left`` tuples that have cells."""
+    return by_left.select(*[F.col(k).alias(c) for k, c in zip(_left_names(left), left, strict=True)]).distinct()
 
 
 def right_tuples(by_left: DataFrame, right: Sequence[str]) -> DataFrame:
@@ -64,18 +71,18 @@ def right_tuples(by_left: DataFrame, right: Sequence[str]) -> DataFrame:
     return one.select(*[F.col(f"{_ONE}.{c}").alias(c) for c in right]).distinct()
 
 
-def expand_cells(by_left: DataFrame, left: Sequence[str], tuples: DataFrame,
+def expand_cells(by_left: DataFrame, lefts: DataFrame, left: Sequence[str], tuples: DataFrame,
                  right: Sequence[str], values: Sequence[str] | None = None,
                  blocks: int = RIGHT_BLOCKS) -> DataFrame:
-    """Rows for the ``right`` tuples each left row lacks.
+    """Rows for the ``right`` tuples each of ``lefts`` (see :func:`keyed`) lacks.
 
     With ``values`` the cells it has are returned as well, and new cells carry
-    NULL values.  A left row meets the tuples block by block through an equi
-    join, after its cells are reduced to that block.  The difference and the
-    expansion come after the last shuffle; dense rows never move.
+    NULL values.  A left row meets its cells and then the tuples block by
+    block through equi joins.  The difference and the expansion come after
+    the last shuffle; dense rows never move.
     """
-    right = list(right)
-    others = [c for c in by_left.columns if c != _CELLS]
+    right, names = list(right), _left_names(left)
+    others = [c for c in lefts.columns if c not in (_KEY, *names)]
     kinds = by_left.schema[_CELLS].dataType.elementType
     empty = [F.lit(None).cast(kinds[v].dataType).alias(v) for v in values or ()]
     # Few blocks would mean few join keys: spread each over several shares of
@@ -86,11 +93,13 @@ def expand_cells(by_left: DataFrame, left: Sequence[str], tuples: DataFrame,
     listed = (tuples.groupBy(block.alias(_BLOCK))
               .agg(F.collect_list(F.struct(*right, *empty)).alias(_ALL))
               .withColumn(_SHARE, F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))))
-    own = F.filter(F.col(_CELLS), lambda c: c[_BLOCK] == F.col(_BLOCK))
-    per_block = (by_left
-                 .withColumn(_SHARE, _bucket(left, shares))
-                 .withColumn(_BLOCK, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-                 .select(*others, _BLOCK, _SHARE, own.alias(_CELLS)))
+    spread = lefts.withColumn(_BLOCK, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    # The hash of the left tuple is the key, so its columns are compared apart from the key: as equalities they
+    # would become part of it, and the gathered cells would be shuffled anew.
+    alike = ~F.array_contains(F.array(*[spread[k].eqNullSafe(by_left[k]) for k in names]), F.lit(False))
+    own = spread.join(by_left, (spread[_KEY] == by_left[_KEY]) & (spread[_BLOCK] == by_left[_BLOCK]) & alike, "left")
+    per_block = own.select(*[spread[c] for c in others], spread[_BLOCK],
+                           F.pmod(spread[_KEY], F.lit(shares)).cast("int").alias(_SHARE), _CELLS)
 
     def blank(c):
         return F.struct(*[c[k].alias(k) for k in right], *empty)
@@ -99,8 +108,8 @@ def expand_cells(by_left: DataFrame, left: Sequence[str], tuples: DataFrame,
         F.array_except(_ALL, F.transform(_CELLS, blank)))
     fields = [*right, *(values or ())]
     if values is not None:
-        out = F.concat(out, F.transform(
-            _CELLS, lambda c: F.struct(*[c[k].alias(k) for k in fields])))
+        out = F.when(F.col(_CELLS).isNull(), F.col(_ALL)).otherwise(F.concat(out, F.transform(
+            _CELLS, lambda c: F.struct(*[c[k].alias(k) for k in fields]))))
     dense = per_block.join(listed, [_BLOCK, _SHARE]).select(*others, F.explode(out).alias(_ONE))
     return dense.select(*others, *[F.col(f"{_ONE}.{c}").alias(c) for c in fields])
 
@@ -118,21 +127,21 @@ def complete_cells(cells: DataFrame, left: Sequence[str], right: Sequence[str],
                    fits: bool | None = None) -> DataFrame:
     """Complete a table that holds each (left, right) pair once.
 
-    The table is read once and its rows travel inside the array of their left
-    tuple.  ``carry`` (keyed by ``left``) is joined there too, that is once
-    per left tuple and not once per dense row.  Only ``right`` tuples that
+    The table is read once and its rows travel inside the arrays of their left
+    tuple.  ``carry`` (keyed by ``left``) is joined once per left tuple and not
+    once per dense row.  Only ``right`` tuples that
     are ``wanted`` are filled in or returned; left tuples stay whatever they hold.
     ``fits`` tells that ``carry`` was measured (see ``joins.hinted``).
     """
     left, right = list(left), list(right)
     values = [c for c in cells.columns if c not in left and c not in right]
     by_left = cells_by_left(cells, left, right, blocks)
-    tuples = right_tuples(by_left, right)
+    tuples, lefts = right_tuples(by_left, right), left_tuples(by_left, left)
     if wanted is not None:
         tuples = tuples.filter(wanted)
     if carry is not None:
-        by_left = join_on(by_left, hinted(carry, fits), left, carry_how, null_safe=left)
-    out = expand_cells(by_left, left, tuples, right, values, blocks)
+        lefts = join_on(lefts, hinted(carry, fits), left, carry_how, null_safe=left)
+    out = expand_cells(by_left, keyed(lefts, left), left, tuples, right, values, blocks)
     if wanted is not None:
         out = out.filter(wanted)
     return fill_missing(out, fill) if fill else out
@@ -149,40 +158,33 @@ def complete(df: DataFrame, left: Sequence[str], right: Sequence[str],
     """
     left, right = list(left), list(right)
     by_left = cells_by_left(df.select(*left, *right).distinct(), left, right, blocks)
-    missing = expand_cells(by_left, left, right_tuples(by_left, right), right, None, blocks)
+    lefts = keyed(left_tuples(by_left, left), left)
+    missing = expand_cells(by_left, lefts, left, right_tuples(by_left, right), right, None, blocks)
     out = df.unionByName(missing, allowMissingColumns=True)
     return fill_missing(out, fill) if fill else out
 
 
 def complete_classes(df: DataFrame, left: Sequence[str], column: str,
                      fill: Mapping[str, object] | None = None) -> DataFrame:
-    """:func:`complete` for one column of few distinct values, in one exchange.
+    """:func:`complete` for one column of few distinct values.
 
-    The values are measured and brought to the driver: they are the classes
-    of a count (legal and sublegal), not data.  Rows are gathered to their
-    left tuple, where the classes it lacks are added.
+    The values are brought to the driver if there are few: they are the
+    classes of a count (legal and sublegal), not data.  Rows of ``df`` are not
+    shuffled; the classes a left tuple has are gathered without its rows.
     """
-    classes = sorted((r[0] for r in df.select(column).distinct().collect()), key=lambda v: (v is None, v))
+    found = df.select(column).distinct().limit(MOST_CLASSES + 1).collect()
+    classes = sorted((r[0] for r in found), key=lambda v: (v is None, v))
     kind, left = df.schema[column].dataType, list(left)
-    others = [c for c in df.columns if c not in left]
     if len(classes) > MOST_CLASSES:
         return complete(df, left, [column], fill)
-    every = F.array(*[F.lit(v).cast(kind) for v in classes])
-    gathered = df.groupBy(*left).agg(F.collect_list(F.struct(*others)).alias(_CELLS))
-    blank = [F.lit(None).cast(df.schema[c].dataType).alias(c) for c in others if c != column]
-    lacking = F.filter(every, lambda v: ~F.exists(_CELLS, lambda c: c[column].eqNullSafe(v)))
-    added = F.transform(lacking, lambda v: F.struct(
-        *[v.alias(c) if c == column else b for c, b in zip(others, _in_order(others, column, blank), strict=True)]))
-    out = gathered.select(*left, F.explode(F.concat(_CELLS, added)).alias(_ONE)).select(
-        *left, *[F.col(f"{_ONE}.{c}").alias(c) for c in others]).select(*df.columns)
+    every = F.array(*[F.struct(F.lit(v).cast(kind).alias(column)) for v in classes])
+    seen = df.groupBy(*left).agg(F.collect_set(F.struct(column)).alias(_CELLS))
+    lacking = seen.select(*left, F.explode(F.array_except(every, _CELLS)).alias(_ONE)).select(
+        *left, F.col(f"{_ONE}.{column}").alias(column))
+    out = df.unionByName(lacking, allowMissingColumns=True)
     return fill_missing(out, fill) if fill else out
 
 
-def _in_order(names: Sequence[str], column: str, blanks: Sequence[Column]) -> list[Column | None]:
-    rest = iter(blanks)
-    return [None if n == column else next(rest) for n in names]
-
-
 MOST_CLASSES = 100
 _CHUNK = 10_000
 

@@ -14,8 +14,9 @@ from fathomframe.operators.filters import exclude_values, positive
 from fathomframe.operators.joins import (
     anti_join, attach_metadata, hinted, join_on, lookup_join)
 from fathomframe.operators.reshape import (
-    cells_by_left, cells_column, complete_cells, expand_cells, fill_missing, no_cells,
-    right_tuples, uncount)
+    cells_by_left, complete_cells, expand_cells, fill_missing, keyed, left_tuples, right_tuples,
+    uncount)
+from fathomframe.session import stored
 
 
 def complete_maxn(maxn: DataFrame, metadata: DataFrame,
@@ -51,16 +52,6 @@ def _no_taxon(samples: DataFrame) -> DataFrame:
     return samples.select(*[F.lit(None).cast("string").alias(t) for t in TAXON]).distinct()
 
 
-def _completion(known: DataFrame, metadata: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows with factors; samples with their cells and factors; the taxa to complete."""
-    observed = join_on(known, metadata, SAMPLE, "inner", null_safe=())
-    # ``seen`` has one row per sample, so the right join meets no hot key.
-    seen = cells_by_left(_pairs(known, metadata), SAMPLE, TAXON)
-    samples = join_on(seen, metadata, SAMPLE, "right", null_safe=())
-    taxa = right_tuples(seen, TAXON).unionByName(_no_taxon(samples.filter(no_cells())))
-    return observed, samples, taxa
-
-
 def complete_length(length: DataFrame, metadata: DataFrame,
                     fits: bool | None = None) -> DataFrame:
     """Lengths and 3D points plus a zero row for each taxon a sample lacks.
@@ -69,8 +60,13 @@ def complete_length(length: DataFrame, metadata: DataFrame,
     without taxon stands for it, and that missing taxon takes part in the
     completion like any other.
     """
-    observed, samples, taxa = _completion(_known(length), hinted(metadata.drop("id"), fits))
-    missing = expand_cells(samples, SAMPLE, taxa, TAXON)
+    factors = hinted(metadata.drop("id"), fits)
+    known = _known(length)
+    observed = join_on(known, factors, SAMPLE, "inner", null_safe=())
+    seen = cells_by_left(_pairs(known, factors), SAMPLE, TAXON)
+    empty = join_on(factors.select(*SAMPLE), left_tuples(seen, SAMPLE), SAMPLE, "left_anti", null_safe=())
+    taxa = right_tuples(seen, TAXON).unionByName(_no_taxon(empty))
+    missing = expand_cells(seen, keyed(factors, SAMPLE), SAMPLE, taxa, TAXON)
     filled = observed.unionByName(missing, allowMissingColumns=True)
     return fill_missing(filled, {"number": 0}).withColumn("id", sample_id())
 
@@ -188,29 +184,43 @@ def complete_mass(length: DataFrame, metadata: DataFrame, life_history: DataFram
     key = [key] if isinstance(key, str) else list(key)
     factors = hinted(metadata.drop("id"), fits)
     known = _known(length)
-    observed, samples, taxa = _completion(known, factors)
-    # Taxa are found from the observed rows alone for the two joins and the one size taken here.
-    parameters = mass_parameters(completed_taxa(length, metadata), life_history)
-    times = parameters.groupBy(*TAXON).agg(F.count(F.lit(1)).alias("times"))
-    size = times.agg(F.max("times").alias("most"), F.count(F.lit(1)).alias("taxa")).first()
-    most = size["most"] or 0
-    parameters = hinted(parameters, most * size["taxa"] <= MOST_PARAMETERS)
+    observed = join_on(known, factors, SAMPLE, "inner", null_safe=())
+    # Samples with their taxa are read once; all that is asked about taxa comes from there.
+    pairs = stored(_pairs(known, metadata), "sample-taxa")
+    empty = join_on(metadata.select(*SAMPLE), pairs.select(*SAMPLE).distinct(), SAMPLE, "left_anti", null_safe=())
+    taxa = pairs.select(*TAXON).distinct().unionByName(_no_taxon(empty))
+    parameters = stored(mass_parameters(taxa, life_history), "mass-parameters")
+    few = parameters.count() <= MOST_PARAMETERS
+    times = parameters.groupBy(*TAXON).agg(F.count(F.lit(1)).cast("int").alias("__times"))
+    parameters, times = hinted(parameters, few), hinted(times, few)
     found = join_on(observed, parameters, TAXON)
+    # a cell names how often its taxon is listed, so a missing one can be repeated after the expansion
+    cells = cells_by_left(join_on(pairs, times, TAXON), SAMPLE, [*TAXON, "__times"])
+    samples = keyed(factors, SAMPLE)
     if key != list(SAMPLE):
         found = attach_metadata(found.select(*key, *TAXON, "length", "number", "range", "__a", "__b",
                                              "__all", "__bll"), factors, "inner", key)
-        samples = join_on(samples.select(*key, cells_column()), factors, key, "inner", null_safe=())
-    rows = fill_missing(found, {"number": 0})
-    rows = _weighed(rows).drop("__a", "__b", "__all", "__bll")
-    for n in range(1, most + 1):
-        listed = times.filter(F.col("times") >= n).select(*TAXON)
-        rows = rows.unionByName(expand_cells(samples, key, listed, TAXON).withColumn(
-            "number", F.lit(0.0)), allowMissingColumns=True)
+        own = [c for c in samples.columns if c not in factors.columns]
+        samples = join_on(samples.select(*key, *own), factors, key, "inner", null_safe=())
+    rows = _weighed(fill_missing(found, {"number": 0})).drop("__a", "__b", "__all", "__bll")
+    missing = expand_cells(cells, samples, SAMPLE, times, [*TAXON, "__times"])
+    missing = uncount(missing.withColumn("number", F.lit(0.0)), "__times")
+    rows = rows.unionByName(missing, allowMissingColumns=True)
     kept = [c for c in rows.columns if c not in MASS_COLUMNS]
     out = rows.select(*kept, *MASS_COLUMNS)
     return out.withColumn("id", sample_id()) if key == list(SAMPLE) else out
 
 
+def observed_mass(length: DataFrame, metadata: DataFrame, life_history: DataFrame,
+                  fits: bool | None = None) -> DataFrame:
+    """The rows of :func:`complete_mass` that were observed, without completing anything."""
+    observed = join_on(_known(length), hinted(metadata.drop("id"), fits), SAMPLE, "inner", null_safe=())
+    parameters = mass_parameters(observed.select(*TAXON).distinct(), life_history)
+    rows = _weighed(fill_missing(lookup_join(observed, parameters, TAXON), {"number": 0}))
+    kept = [c for c in observed.columns if c not in MASS_COLUMNS]
+    return rows.select(*kept, *MASS_COLUMNS).withColumn("id", sample_id())
+
+
 def check_mass(mass: DataFrame) -> DataFrame:
     """Mass per individual (kg) and length (cm) per taxon, heaviest first.
 

@@ -8,6 +8,7 @@ from fathomframe.functions import columns as C
 from fathomframe.plans import check, format as fmt, gather, habitat as hab
 from fathomframe.plans.info import campaign_info_wide
 from registry.book import query, rounded
+from registry.files import fresh
 from registry.rows import BROAD_NAMES
 
 _KEYS = "campaignid, sample, family, genus, species"
@@ -294,6 +295,7 @@ def _taxa(r):
 
 
 def _mass(r, key=C.SAMPLE):
+    fresh(r)
     return fmt.complete_mass(_named(r.observed()), r.metadata(), r.life_history(), key)
 
 
@@ -396,7 +398,7 @@ def _(r):
     FROM (SELECT family, genus, species, mass_g / number / 1000 AS kg,
             round(length / 10, 2) AS cm FROM mass WHERE mass_g > 0) GROUP BY ALL""", _FORMAT)
 def _(r):
-    return fmt.check_mass(_mass(r))
+    return fmt.check_mass(fmt.observed_mass(_named(r.observed()), r.metadata(), r.life_history()))
 
 
 # ---------------------------------------------------------------- habitat

@@ -182,6 +182,41 @@ def test_complete_with_one_hot_left_tuple(spark):
     assert out.count() == 3000 + 20 + 1 + 20 * 7
 
 
+def test_no_row_grows_with_the_raw_rows_of_a_tuple(spark):
+    """A million rows of one sample and taxon: they pass as they are, only the classes are gathered."""
+    hot = spark.range(1_000_000).selectExpr("'s' AS s", "'legal' AS class", "double(id) AS n")
+    cold = spark.createDataFrame([("t", "sublegal", 1.0), ("t", None, 2.0)], "s string, class string, n double")
+    out = R.complete_classes(hot.union(cold), ["s"], "class", {"n": 0})
+    assert rows(out.groupBy("s", "class").agg(F.count("*").alias("c"), F.sum("n").alias("t"))) == [
+        ("s", "legal", 1_000_000, 499999500000.0), ("s", "sublegal", 1, 0.0), ("s", None, 1, 0.0), ("t", "legal", 1, 0.0),
+        ("t", "sublegal", 1, 1.0), ("t", None, 1, 2.0)]
+    many = spark.range(300).selectExpr("'s' AS s", "string(id) AS class", "1.0D AS n").union(cold)
+    assert R.complete_classes(many, ["s"], "class").count() == 2 * 302
+
+
+def test_many_right_tuples_do_not_meet_in_one_row(spark):
+    """A hundred thousand taxa, all in one sample."""
+    wide = spark.range(100_000).selectExpr("'s' AS s", "concat('taxon ', id) AS t", "1.0D AS n")
+    cells = wide.union(spark.createDataFrame([("u", "taxon 7", 2.0), (None, "taxon 8", 3.0)], "s string, t string, n double"))
+    gathered = R.cells_by_left(cells, ["s"], ["t"])
+    assert gathered.agg(F.max(F.size("__cells"))).first()[0] < 2 * 100_000 / R.RIGHT_BLOCKS
+    out = R.complete_cells(cells, ["s"], ["t"], {"n": 0})
+    assert rows(out.groupBy("s").agg(F.count("*").alias("c"), F.sum("n").alias("t"))) == [
+        ("s", 100_000, 100_000.0), ("u", 100_000, 2.0), (None, 100_000, 3.0)]
+
+
+def test_gathered_cells_are_shuffled_once(spark):
+    df = spark.createDataFrame([("s1", "a", 1.0), ("s2", "b", 2.0)], "s string, t string, n double")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = R.complete_cells(df, ["s"], ["t"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert not [line for line in plan.split("\n") if "Exchange hashpartitioning(__left0" in line and "ENSURE" in line and "coalesce" in line]
+    assert "REPARTITION_BY_NUM" in plan
+
+
 def test_completion_reads_its_input_once(spark):
     base = spark.createDataFrame([("s1", "a", 1.0), ("s2", "b", 2.0)], "s string, t string, n double")
     cells = base.groupBy("s", "t").agg(F.sum("n").alias("n"))
