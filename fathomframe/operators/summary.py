@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fathomframe.session import stored
+
 _BINS = 4096
 
 
@@ -41,7 +43,13 @@ def histogram_density(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
 
 
 def _value_counts(df: DataFrame, column: str) -> DataFrame:
-    return _values(df, column).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    """v, c: each value with its count, missing ones included; written, so that ``df`` is read once for all steps."""
+    values = df.select(F.col(column).cast("double").alias("v"))
+    return stored(values.groupBy("v").agg(F.count(F.lit(1)).alias("c")), "value-counts")
+
+
+def _known(counts: DataFrame) -> DataFrame:
+    return counts.filter(F.col("v").isNotNull())
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> DataFrame:
@@ -53,7 +61,7 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> DataF
     the others into one bin; the second divide, between its own ends, each
     bin that holds a rank.  Only the small bins left are ordered.
     """
-    return _quantiles(_value_counts(df, column), probs)
+    return _quantiles(_known(_value_counts(df, column)), probs)
 
 
 def _even(v: Column) -> Column:
@@ -123,9 +131,10 @@ _QUARTILES = (0.25, 0.5, 0.75)
 
 def summary_stats(df: DataFrame, column: str) -> DataFrame:
     """Minimum, quartiles, mean, maximum and number of missing values."""
-    plain = df.agg(F.avg(column).alias("mean"),
-                   F.sum(F.col(column).isNull().cast("long")).alias("missing"))
-    q = exact_quantiles(df, column, _QUARTILES).select(
+    counts = _value_counts(df, column)
+    plain = counts.agg((F.sum(F.col("v") * F.col("c")) / F.sum(F.when(F.col("v").isNotNull(), F.col("c")))).alias("mean"),
+                       F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("c"))), F.lit(0)).alias("missing"))
+    q = _quantiles(_known(counts), _QUARTILES).select(
         "*", _one_row(plain, "mean", "missing").alias("p"))
     return q.select("min", F.col("q0").alias("q1"), F.col("q1").alias("median"),
                     F.col("p.mean").alias("mean"), F.col("q2").alias("q3"), "max",
@@ -135,7 +144,7 @@ def summary_stats(df: DataFrame, column: str) -> DataFrame:
 def box_stats(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
     """Quartiles, whisker ends (last value within ``reach`` box heights) and
     the number of values beyond them."""
-    counts = _value_counts(df, column)
+    counts = _known(_value_counts(df, column))
     box = _quantiles(counts, _QUARTILES)
     x = counts.select("v", "c", _one_row(box, "q0", "q1", "q2").alias("q"))
     height = reach * (F.col("q.q2") - F.col("q.q0"))

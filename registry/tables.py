@@ -11,6 +11,7 @@ from fathomframe.operators import reshape as R
 from fathomframe.operators import summary as S
 from fathomframe.plans import check, habitat as hab
 from registry.book import query, rounded
+from registry.files import fresh
 from registry.roles import FAMILIES
 
 _STEREO = """SELECT campaignid, sample, family, genus, species, sum(number) AS stereo_maxn
@@ -257,6 +258,7 @@ def _(r):
       FROM (SELECT quantile_cont(length, 0.25) AS q1, quantile_cont(length, 0.5) AS median,
               quantile_cont(length, 0.75) AS q3 FROM length_role)) GROUP BY ALL""")
 def _(r):
+    fresh(r)
     return S.box_stats(r.length(), "length", reach=0.3)
 
 
@@ -266,6 +268,7 @@ def _(r):
       count(CASE WHEN x IS NULL THEN 1 END)::BIGINT AS missing
     FROM (SELECT CASE WHEN number IS NOT NULL THEN l.range END AS x FROM length_role l)""")
 def _(r):
+    fresh(r)
     known = r.length().withColumn("range", F.when(F.col("number").isNotNull(), F.col("range")))
     return rounded(S.summary_stats(known, "range"))
 
