@@ -11,14 +11,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import small_batches, written
 
 LONGEST, LEAST, TOP, UNDETERMINED = 4, 30, 2000, "und"
 SCORE_SCALE, COVERED, COVERING = 2_000_000, 100, 80
-#: Bits of the filter of word pairs: 16 MB, whatever the corpus. A full filter only keeps windows long.
+#: Bits of a filter of frequent phrases: 16 MB, whatever the corpus. A full filter only keeps windows long.
 FILTER_BITS = 27
 #: Characters of text that a task handles at once.
-SLICE_CHARS = 8_000_000
+SLICE_CHARS = 2_000_000
 _BREAK = "."  # stands between pieces; it splits them, so no word contains it
 _SPLITS = r"[.,;:!?\x0A-\x0D]"
 _SHARES = 64
@@ -37,13 +37,51 @@ class _Words:
         at = pc.index(self.words, pa.scalar(_BREAK, pa.large_string())).as_py()
         self.codes = np.where(codes == at, -1, codes)
 
-    def pairs(self, lang: str) -> tuple[np.ndarray, np.ndarray]:
-        """Where a word has a follower in its piece, and the hashes of language, word and follower at those places."""
+    def hashes(self, lang: str, longest: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each order up to longest: at which words so many stand in one piece, and the hash of language and words."""
+        salt = np.uint64(xxhash.xxh64_intdigest(lang))
         own = np.fromiter((xxhash.xxh64_intdigest(w) for w in self.words.to_pylist()), np.uint64, len(self.words))
-        at = np.flatnonzero((self.codes[:-1] >= 0) & (self.codes[1:] >= 0))
-        h = own[self.codes[at]] * np.uint64(0x9E3779B97F4A7C15) + own[self.codes[at + 1]] + np.uint64(xxhash.xxh64_intdigest(lang))
-        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-        return at, (h ^ (h >> np.uint64(32))).astype(np.int64)
+        follow, out = self.codes, []
+        within, h = follow >= 0, own[follow]
+        for k in range(1, longest + 1):
+            out.append((within, _mixed(h + salt)))
+            follow = _shifted(follow, -1)
+            within, h = within & (follow >= 0), h * np.uint64(0x9E3779B97F4A7C15) + own[follow]
+        return out
+
+
+class _Filter:
+    """Bitmaps of hashes that are met often: of words and pairs, and of longer phrases."""
+
+    def __init__(self, low: np.ndarray, high: np.ndarray | None, bits: int) -> None:
+        self.low, self.high, self.bits = low, high, bits
+
+    def has(self, hashes: np.ndarray, order: int) -> np.ndarray:
+        held, spot = self.low if order <= 2 else self.high, hashes.view(np.uint64) >> np.uint64(64 - self.bits)
+        return (held[spot >> np.uint64(3)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+    def runs(self, hashes: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+        """For each order from 2: at which words a phrase of it may be frequent, as it and all phrases in it are held.
+
+        The longest order, and without a bitmap of longer phrases all but pairs, need frequent phrases within only.
+        """
+        out = [hashes[0][0]]
+        for order, (within, h) in enumerate(hashes[1:], 2):
+            likely = within & out[-1] & _shifted(out[-1], False)
+            if order <= 2 or self.high is not None and order < len(hashes):
+                at = np.flatnonzero(likely)
+                likely[at] = self.has(h[at], order)
+            out.append(likely)
+        return out[1:]
+
+
+def _shifted(x: np.ndarray, last) -> np.ndarray:
+    return np.append(x[1:], np.array([last], x.dtype))
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return (h ^ (h >> np.uint64(32))).astype(np.int64)
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[str, _Words]]:
@@ -56,18 +94,9 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[str, _Words]]:
             yield lang.as_py(), _Words(texts.take(pa.array(np.arange(a, b))))  # a copy: ascii_lower misreads slices
 
 
-def frequent_pairs(docs: DataFrame, least: int, bits: int = FILTER_BITS) -> np.ndarray:
-    """A bitmap of hashed word pairs that holds each pair met least times or more, and few others.
-
-    docs: lang, text. Pairs are counted by hash, in tasks first; of the frequent ones 2**bits bits reach the driver.
-    """
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lang, words in _slices(batch):
-                h, n = np.unique(words.pairs(lang)[1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], ["h", "n"])
-
-    counted = docs.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+def _bitmap(hashes: DataFrame, least: int, bits: int) -> np.ndarray:
+    """A bit for each hash met least times or more; 2**bits bits reach the driver.  hashes: h, n."""
+    counted = hashes.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     at = F.shiftrightunsigned("h", 64 - bits) + 1  # bits of a bitmap are counted from 1
     maps = counted.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
     out = np.zeros(max(1, (1 << bits) // 8), np.uint8)
@@ -78,41 +107,70 @@ def frequent_pairs(docs: DataFrame, least: int, bits: int = FILTER_BITS) -> np.n
     return out
 
 
-def windows(docs: DataFrame, frequent: np.ndarray, bits: int = FILTER_BITS, longest: int = LONGEST) -> DataFrame:
-    """lang, w1 .. w4, n: at each word the window of it and its followers, counted within slices.
+def frequent_phrases(docs: DataFrame, least: int, longest: int = LONGEST, bits: int = FILTER_BITS) -> _Filter:
+    """A filter that holds each phrase met least times or more, and few others.
+
+    docs: lang, text. Words and pairs are counted by hash, in tasks first, then the phrases of frequent pairs that
+    are longer but for the longest: these are few once all shorter ones in them are frequent.
+    """
+    def counted(of) -> DataFrame:
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for lang, words in _slices(batch):
+                    h, n = np.unique(of(words.hashes(lang, longest)), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], ["h", "n"])
+                pa.default_memory_pool().release_unused()
+
+        return docs.mapInArrow(count, "h long, n long")
+
+    low = _bitmap(counted(lambda hashes: np.concatenate([h[within] for within, h in hashes[:2]])), least, bits)
+    if longest < 4:
+        return _Filter(low, None, bits)
+    shared = docs.sparkSession.sparkContext.broadcast(low)
+
+    def longer(hashes):
+        likely = _Filter(shared.value, None, bits).runs(hashes)
+        return np.concatenate([h[found] for (_, h), found in zip(hashes[2:-1], likely[1:-1])])
+
+    return _Filter(low, _bitmap(counted(longer), least, bits), bits)
 
-    A window is padded with empty words where its piece ends or the next pair is not in the filter; what it loses
-    is in no frequent phrase.
+
+def windows(docs: DataFrame, frequent: _Filter, longest: int = LONGEST) -> DataFrame:
+    """lang, w1 .. w4, n: at each word the window of it and its followers, counted.
+
+    A window is padded with empty words where its piece ends or a longer phrase is not in the filter, and at its
+    first word if that is not: what it loses is in no frequent phrase. Windows are counted in slices, then in tasks,
+    and shuffled once as one string, of this longest order only.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
-    names = [f"w{i + 1}" for i in range(longest)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = shared.value
         for batch in batches:
             for lang, words in _slices(batch):
                 codes, none = words.codes, len(words.words)
-                at, h = words.pairs(lang)
-                spot = h.view(np.uint64) >> np.uint64(64 - bits)
-                goes_on = np.zeros(len(codes) + longest, bool)
-                goes_on[at] = (held[spot >> np.uint64(3)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                after = np.append(codes, np.full(longest, -1))
-                here, columns = goes_on[: len(codes)].copy(), [codes]
-                for k in range(1, longest):  # lead columns: the k-th follower while the pairs before it go on
-                    columns.append(np.where(here, after[k : k + len(codes)], none))
-                    here &= goes_on[k : k + len(codes)]
-                wide = np.flatnonzero(columns[1] != none) if longest > 1 else np.zeros(0, np.int64)
-                alone = codes[(codes >= 0) & ~goes_on[: len(codes)]]
-                single = np.bincount(alone, minlength=none)
-                met = np.flatnonzero(single)
-                first, n = _distinct([c[wide] for c in columns])
+                hashes = words.hashes(lang, longest)
+                runs = shared.value.runs(hashes)
+                follow, wide = codes, np.flatnonzero(runs[0])
+                columns = [codes[wide]]
+                for found in runs:  # lead columns: the k-th word while the phrase up to it may be frequent
+                    follow = _shifted(follow, -1)
+                    columns.append(np.where(found, follow, none)[wide])
+                first, n = _distinct(columns)
+                single = np.flatnonzero(hashes[0][0] & ~runs[0])
+                often = shared.value.has(hashes[0][1][single], 1)
+                alone = np.bincount(np.where(often, codes[single], none), minlength=none + 1)
+                met = np.flatnonzero(alone)
+                n = np.concatenate([n, alone[met]])
+                columns = [np.concatenate([c[first], met if i == 0 else np.full(len(met), none)]) for i, c in enumerate(columns)]
                 text = pa.concat_arrays([words.words, pa.array([""], pa.large_string())])
-                picked = [np.concatenate([c[wide][first], met if i == 0 else np.full(len(met), none)]) for i, c in enumerate(columns)]
-                arrays = [text.take(pa.array(p)).cast(pa.string()) for p in picked]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(picked[0]), pa.string()), *arrays, pa.array(np.concatenate([n, single[met]]))], ["lang", *names, "n"])
+                cells = [text.take(pa.array(c, mask=None if i == 0 else c == none)) for i, c in enumerate(columns)]
+                window = pc.binary_join_element_wise(*cells, pa.scalar(" ", pa.large_string()), null_handling="skip").cast(pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), window, pa.array(n)], ["lang", "window", "n"])
+            pa.default_memory_pool().release_unused()
 
-    return docs.mapInArrow(run, f"lang string, {', '.join(f'{w} string' for w in names)}, n long")
+    counted = docs.mapInArrow(run, "lang string, window string, n long").groupBy("lang", "window").agg(F.sum("n").alias("n"))
+    words = F.split("window", " ")
+    return counted.select("lang", *[F.coalesce(F.get(words, F.lit(i)), F.lit("")).alias(f"w{i + 1}") for i in range(longest)], "n")
 
 
 def _distinct(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -128,7 +186,7 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
                   bits: int = FILTER_BITS) -> DataFrame:
     """lang, words, f: phrases of one to longest words met least times or more, and per language all words (empty phrase)."""
     plain = docs.select(F.coalesce(F.col(lang), F.lit(UNDETERMINED)).cast("string").alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    wide = windows(plain, frequent_pairs(plain, least, bits), bits, longest)
+    wide = windows(plain, frequent_phrases(plain, least, longest, bits), longest)
     names = [f"w{i + 1}" for i in range(longest)]
     summed = wide.rollup("lang", *names).agg(F.sum("n").alias("f"))
     last = F.array_compact(F.array(*names))
@@ -148,10 +206,11 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     Texts are lower-cased (A-Z), split into pieces at punctuation and line ends, and into words at spaces and tabs.
     Windows of the longest order are counted once per slice of text and folded by ROLLUP, on the map side before
     the shuffle, so that frequent words and phrases are no load for one task. A phrase can be frequent only if
-    its pairs of neighbours are; a filter of frequent pairs, of fixed size, cuts windows before the count. Joins
+    all phrases in it are; a filter of frequent hashes, of fixed size, cuts windows before the count. Joins
     run over frequent phrases only. A null text has no words, a null language is ``und``; repeated rows count as
     often as they come; ties of score and count go by phrase in byte order; without words the result is empty.
     """
+    small_batches(docs.sparkSession)
     counts = written(phrase_counts(docs, text, lang, least, longest, bits), "phrases")
     grams = counts.where(F.size("words") > 0).select("lang", _joined(F.col("words")).alias("phrase"), "f")
     totals = counts.where(F.size("words") == 0).select("lang", F.col("f").alias("n"))

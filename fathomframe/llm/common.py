@@ -46,6 +46,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Whole texts go to Python some megabytes at a time: what waits for a worker is bounded by bytes, not rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def few(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     """Whether df, which should be written already, has at most limit rows."""
     return df.count() <= limit
