@@ -19,7 +19,9 @@ from fathomframe.functions.columns import SAMPLE, TAXON
 from fathomframe.operators import filters, summary
 from fathomframe.operators.joins import fits_broadcast
 from fathomframe.plans import check, format as fmt, gather, habitat as hab, names
+from fathomframe.session import stored
 from fathomframe.sources import files
+from fathomframe.sources.store import StudyStore, campaign_states, changes
 
 # The endings of the annotation files of one campaign.
 SUFFIXES = {
@@ -143,6 +145,38 @@ def check_study(maxn: DataFrame, length: DataFrame, life_history: DataFrame,
     return reports, tables
 
 
+def _empty(spark: SparkSession, *columns: str) -> DataFrame:
+    return spark.createDataFrame([], ", ".join(f"{c} string" for c in (*SAMPLE, *TAXON, *columns)))
+
+
+def refresh_study(spark: SparkSession, root: str, store: StudyStore, life_history: DataFrame,
+                  synonyms: DataFrame | None = None, decisions: Decisions | None = None,
+                  layout: str = "project/campaign", multi_line: bool = False) -> dict[str, str]:
+    """Bring a store's checked tables up to date with the files below ``root``: campaign -> what happened to it.
+
+    Only campaigns whose files differ from what they were last time are gathered and checked again, and only they
+    are replaced in the store; those without files any more are emptied.  Rows are checked within their campaign, so
+    the tables are those of a full run, as long as life history, synonyms and decisions stay the same; with other
+    ones start a new store.  The state is written last: what a run leaves undone is done by the next one.
+    """
+    now = stored(campaign_states(spark, root, [*SUFFIXES.values(), "_Metadata.csv"], layout), "states")
+    changed = {r["campaignid"]: r["change"] for r in changes(now, store.states()).collect()}
+    if not changed:
+        return {}
+    names_ = [(c,) for c, change in changed.items() if change != "removed"]
+    if names_:
+        raw = gather_study(spark, root, layout, multi_line=multi_line, campaigns=spark.createDataFrame(names_, "name string"))
+        maxn = raw.get("maxn", _empty(spark, "maxn"))
+        length = raw.get("length3dpoints", _empty(spark, "length", "number", "range"))
+        _, tables = check_study(maxn, length, life_history, synonyms, decisions, raw["metadata"])
+    else:
+        tables = {t: store.table(t).limit(0) for t in ("checked.maxn", "checked.length", "checked.metadata")}
+    for name, table in tables.items():
+        store.replace(name, table, list(changed))
+    store.save_states(now)
+    return changed
+
+
 def format_study(maxn: DataFrame, length: DataFrame, metadata: DataFrame,
                  life_history: DataFrame) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Reports and completed tables from checked ones.  ``length`` may come

@@ -7,6 +7,7 @@ import io
 import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,11 @@ def decoded(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
+def unquoted(path: str) -> str:
+    """:func:`decoded` for one path on the driver."""
+    return unquote(path)
+
+
 def provenance(path: Column, suffix: str, layout: str = "project/campaign") -> dict[str, Column]:
     """``project`` and ``campaignid`` from a path.
 
