@@ -26,8 +26,8 @@ def fresh(r) -> str:
     return f"{scratch_root(r.spark)}/survey-files-{uuid.uuid4().hex}"
 
 
-def _write(df, path: str, sep: str = ",") -> None:
-    df.write.option("header", True).option("sep", sep).option("nullValue", "NA").csv(path)
+def write(df, path: str, sep: str = ",", mode: str = "error") -> None:
+    df.write.mode(mode).option("header", True).option("sep", sep).option("nullValue", "NA").csv(path)
 
 
 @query("scan_campaign_files", """SELECT 'study' AS project, campaignid, sample,
@@ -41,7 +41,7 @@ def _(r):
                "R": ("sample", "status"), "Z": ("location", "sample")}
     for code, columns in layouts.items():
         part = meta.filter(F.col("campaignid") == code).select(*columns)
-        _write(part.toDF(*[c.title() for c in columns]), f"{root}/study/{code}")
+        write(part.toDF(*[c.title() for c in columns]), f"{root}/study/{code}")
     return files.scan_files(r.spark, root, ".csv").select(
         "project", "campaignid", "sample", "location", "status")
 
@@ -55,7 +55,7 @@ def _(r):
                            F.col("sand").cast("int").alias("Biota: Sand "))
     for code in "ANRZ":
         part = h.filter(F.col("campaignid") == code).drop("campaignid")
-        _write(part.drop("Biota: Sand ") if code == "Z" else part,
+        write(part.drop("Biota: Sand ") if code == "Z" else part,
                f"{root}/habitat/{code}", "\t")
     return files.scan_tsv(r.spark, root, ".csv")
 
@@ -103,14 +103,14 @@ def _(r):
     return r.spark.read.parquet(sinks.write_length_columnar(rows, fresh(r), "study"))
 
 
-def _campaigns(r, suffix: str) -> str:
+def campaigns(r, suffix: str) -> str:
     """Metadata of four campaigns below one root, each with a header of its own."""
     root, meta = fresh(r), r.metadata()
     names = ["Sample", "Location", "Status", "Depth"]
     for i, code in enumerate("ANRZ"):
         shown = names[i:] + names[:i]
         part = meta.filter(F.col("campaignid") == code).select(*[F.col(n.lower()).alias(n) for n in shown if (n, code) != ("Status", "Z")])
-        _write(part, f"{root}/study/{code}/{code}_Metadata{suffix}")
+        write(part, f"{root}/study/{code}/{code}_Metadata{suffix}")
     return root
 
 
@@ -121,7 +121,7 @@ def _catalog(r):
     return codes.select("name", F.lit("study").alias("project"), F.array(F.struct(group.alias("name"))).alias("workgroups"))
 
 
-def _by_folder(df):
+def by_folder(df):
     """Spark writes a folder where an export is one file, so the campaign is one folder further up."""
     return df.withColumn("campaignid", F.regexp_replace("campaignid", "_Metadata.*", ""))
 
@@ -130,10 +130,10 @@ def _by_folder(df):
       depth::VARCHAR AS depth FROM metadata WHERE campaignid IN ('R', 'Z')""")
 def _(r):
     """A search decides which files are read."""
-    root = _campaigns(r, ".csv")
+    root = campaigns(r, ".csv")
     found = cat.by_workgroup(_catalog(r), "second+group")
     folders = found.select(F.concat("name", F.lit("_Metadata.csv")).alias("name"))
-    return _by_folder(files.scan_files(r.spark, root, ".csv", campaigns=folders)).select("campaignid", "sample", "location", "status", "depth")
+    return by_folder(files.scan_files(r.spark, root, ".csv", campaigns=folders)).select("campaignid", "sample", "location", "status", "depth")
 
 
 @query("scan_mixed_headers", """SELECT 'study' AS project, concat('c', o_custkey % 7) AS campaignid, o_orderkey::VARCHAR AS orderkey,
@@ -147,7 +147,7 @@ def _(r):
         names = {"orderkey": "OrderKey", "orderstatus": "Status", "orderpriority": "Priority" if i < 4 else "Level"}
         shown = list(names)[i % 3:] + list(names)[: i % 3]
         part = orders.filter(F.col("o_custkey") % 7 == i).select(*[F.col(f"o_{n}").alias(names[n]) for n in shown])
-        _write(part, f"{root}/study/c{i}")
+        write(part, f"{root}/study/c{i}")
     return files.scan_files(r.spark, root, ".csv").select("project", "campaignid", "orderkey", "status", "priority", "level")
 
 
@@ -156,6 +156,6 @@ def _(r):
     WHERE campaignid IN (SELECT campaignid FROM metadata)""")
 def _(r):
     """What the manifest of a folder tells of its files."""
-    found = files.campaign_files(r.spark, _campaigns(r, ".csv"), ".csv")
+    found = files.campaign_files(r.spark, campaigns(r, ".csv"), ".csv")
     heads = manifest.headers(found).where("size > 0").select("campaignid", F.array_join("header", ",").alias("header"))
-    return _by_folder(heads).distinct()
+    return by_folder(heads).distinct()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fathomframe.functions import columns as C
-from fathomframe.plans import check, names
+from fathomframe.plans import check, decisions, names
 from registry.book import query
 from registry.files import fresh
 
@@ -68,3 +68,44 @@ def _(r):
 def _(r):
     fresh(r)
     return check.apply_synonyms(r.maxn(), names.resolve_synonyms(_moves(r)))[0]
+
+
+_LOG = {"log": """SELECT DISTINCT CASE WHEN length > 900 THEN 2 ELSE 1 END::BIGINT AS seq,
+      CASE WHEN length > 900 THEN 'set' WHEN species = 'sp1' THEN 'keep' ELSE 'drop' END AS action,
+      campaignid, sample, family, genus, species, length, CASE WHEN length > 900 THEN 'sp9' END AS new_species
+    FROM observed WHERE sample LIKE '%1' AND length > 500
+    UNION ALL SELECT DISTINCT 3::BIGINT, 'drop', campaignid, sample, family, genus, species, NULL, NULL
+    FROM observed WHERE sample LIKE '%1' AND species = 'sp0'
+    UNION ALL SELECT DISTINCT 3::BIGINT, 'drop', campaignid, concat(sample, '?'), family, genus, species, length, NULL
+    FROM observed WHERE sample LIKE '%2' AND length > 900"""}
+_SAME = " AND ".join(f"l.{c} IS NOT DISTINCT FROM d.{c}" for c in (*C.SAMPLE, *C.TAXON))
+
+
+def _log(r):
+    """Long fish renamed, others dropped or kept one by one, one species dropped as a whole, and entries that fit nothing."""
+    seen = r.observed().where("length > 500 AND sample LIKE '%1'")
+    long = seen.where("length > 900").withColumn("new_species", F.lit("sp9"))
+    parts = [decisions.as_decisions(long, "set", 2), decisions.as_decisions(seen.where("length <= 900 AND species = 'sp1'"), "keep", 1),
+             decisions.as_decisions(seen.where("length <= 900 AND species <> 'sp1'"), "drop", 1),
+             decisions.as_decisions(r.observed().where("sample LIKE '%1' AND species = 'sp0'").drop("length"), "drop", 3),
+             decisions.as_decisions(r.observed().where("sample LIKE '%2' AND length > 900").withColumn("sample", F.concat("sample", F.lit("?"))), "drop", 3)]
+    log = parts[0]
+    for more in parts[1:]:
+        log = log.unionByName(more)
+    return log
+
+
+@query("apply_decisions", f"""SELECT l.campaignid, l.sample, l.family, l.genus,
+      CASE WHEN coalesce(d.action, g.action) = 'set' THEN coalesce(d.new_species, g.new_species, l.species) ELSE l.species END AS species,
+      l.length, number, l.range
+    FROM observed l LEFT JOIN log d ON {_SAME} AND l.length = d.length
+    LEFT JOIN log g ON {_SAME.replace("d.", "g.")} AND g.length IS NULL
+    WHERE coalesce(d.action, g.action, 'keep') <> 'drop'""", _LOG)
+def _(r):
+    return decisions.apply_decisions(r.observed(), _log(r)).select("campaignid", "sample", *C.TAXON, "length", "number", "range")
+
+
+@query("stale_decisions", f"""SELECT seq, action, campaignid, sample, family, genus, species, length, new_species FROM log d
+    WHERE NOT EXISTS (SELECT 1 FROM observed l WHERE {_SAME} AND (d.length IS NULL OR l.length = d.length))""", _LOG)
+def _(r):
+    return decisions.stale_decisions(r.observed(), _log(r)).select("seq", "action", *decisions.KEYS, "length", "new_species")
