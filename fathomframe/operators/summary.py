@@ -160,3 +160,41 @@ def pair_projection(df: DataFrame, x: str, y: str, label: Column | None = None)
     """Point set of two columns where both are known, optionally labelled."""
     cols = [F.col(x), F.col(y)] + ([] if label is None else [label.alias("label")])
     return df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*cols)
+
+
+def local_curve(df: DataFrame, x: str, y: str, bins: int = 40, reach: float = 0.3) -> DataFrame:
+    """The smoothed curve behind a scatter plot: bin, x, n, fitted.
+
+    Local linear regression at the middle of each bin of equal width that holds points.  The points come down to the
+    moments of their bins in one aggregation, whatever their number; a bin counts by the distance of its mean from the
+    place of the fit, with tricube weights that end at ``reach`` of the whole range.  Where all weight lies at one
+    place the fit is its mean.  Points with a missing or infinite value are left out; without points the result is empty.
+    """
+    points = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    points = points.filter((F.abs("x") < float("inf")) & (F.abs("y") < float("inf")))
+    ends = points.agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    spread = points.select("x", "y", _one_row(ends, "low", "high").alias("e"))
+    gap = F.col("x") - F.col("e.low")  # moments about the lower end keep their digits
+    moments = spread.groupBy("e", _bin(F.col("x"), F.col("e.low"), F.col("e.high"), bins).alias("bin")).agg(
+        F.count(F.lit(1)).cast("double").alias("n"), F.sum(gap).alias("sx"), F.sum("y").alias("sy"),
+        F.sum(gap * gap).alias("sxx"), F.sum(gap * F.col("y")).alias("sxy"))
+    names = ("n", "sx", "sy", "sxx", "sxy")
+    # one row with at most as many entries as bins
+    whole = moments.groupBy("e").agg(F.array_sort(F.collect_list(F.struct("bin", *names))).alias("all"))
+    each = whole.select("e", "all", F.explode("all").alias("own"))
+    width = (F.col("e.high") - F.col("e.low")) / F.lit(float(bins))
+    each = each.withColumn("at", (F.col("own.bin") + 0.5) * width).withColumn("h", F.lit(float(reach)) * (F.col("e.high") - F.col("e.low")))
+
+    def weight(b: Column) -> Column:
+        near = F.least(F.lit(1.0), F.coalesce(F.try_divide(F.abs(b["sx"] / b["n"] - F.col("at")), F.col("h")), F.lit(0.0)))
+        return F.pow(1 - F.pow(near, 3), 3)
+
+    total = F.aggregate("all", F.struct(*[F.lit(0.0).alias(n) for n in names]),
+                        lambda s, b: F.struct(*[(s[n] + weight(b) * b[n]).alias(n) for n in names]))
+    fit = each.withColumn("s", total)
+    s = {n: F.col(f"s.{n}") for n in names}
+    across = s["n"] * s["sxx"] - s["sx"] * s["sx"]
+    slope = F.when(across > 1e-12 * s["n"] * s["sxx"], (s["n"] * s["sxy"] - s["sx"] * s["sy"]) / across).otherwise(0.0)
+    mean = F.try_divide(s["sy"], s["n"])
+    return fit.select(F.col("own.bin").alias("bin"), (F.col("e.low") + F.col("at")).alias("x"), F.col("own.n").cast("long").alias("n"),
+                      (mean + slope * (F.col("at") - F.try_divide(s["sx"], s["n"]))).alias("fitted"))

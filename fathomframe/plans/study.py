@@ -131,6 +131,7 @@ def check_study(maxn: DataFrame, length: DataFrame, life_history: DataFrame,
         "length.range.box": summary.box_stats(length, "range"),
         "length.histogram": summary.histogram_density(length, "length"),
         "length.vs.range": summary.pair_projection(length, "range", "length"),
+        "length.vs.range.curve": summary.local_curve(length, "range", "length"),
     }
     if decisions.max_range_mm is not None:
         length = filters.within_range(length, decisions.max_range_mm)
@@ -192,7 +193,8 @@ def format_study(maxn: DataFrame, length: DataFrame, metadata: DataFrame,
     weighed = mass.filter(F.col("mass_g").isNotNull())
     reports |= {"mass.summary": summary.summary_stats(weighed, "mass_g"),
                 "mass.box": summary.box_stats(weighed, "mass_g"),
-                "mass.vs.length": summary.pair_projection(weighed, "length_cm", "mass_g")}
+                "mass.vs.length": summary.pair_projection(weighed, "length_cm", "mass_g"),
+                "mass.vs.length.curve": summary.local_curve(weighed, "length_cm", "mass_g")}
     tables = {"complete.maxn": fmt.complete_maxn(maxn, metadata, fits=samples),
               "complete.length": completed,
               "expanded.length": fmt.expanded_length(completed),

@@ -278,3 +278,20 @@ def _(r):
     FROM length_role l WHERE length IS NOT NULL AND l.range IS NOT NULL""")
 def _(r):
     return S.pair_projection(r.length(), "range", "length", C.paste("genus", "species"))
+
+
+@query("local_curve", """SELECT bin::BIGINT AS bin, round(low + place, 6) AS x, n::BIGINT AS n,
+      round(sy / sn + (sn * sxy - sx * sy) / (sn * sxx - sx * sx) * (place - sx / sn), 4) AS fitted FROM weighted""", {
+    "moments": """SELECT bin, low, width, (bin + 0.5::DOUBLE) * (width / 40) AS place, count(*)::DOUBLE AS n,
+        sum(gap) AS sx, sum(y) AS sy, sum(gap * gap) AS sxx, sum(gap * y) AS sxy
+      FROM (SELECT y, low, high - low AS width, x - low AS gap, least(floor((x - low) / ((high - low) / 40)), 39) AS bin
+            FROM (SELECT l.range AS x, length AS y, min(l.range) OVER () AS low, max(l.range) OVER () AS high
+                  FROM length_role l WHERE l.range IS NOT NULL AND length IS NOT NULL))
+      GROUP BY bin, low, width""",
+    "weighted": """SELECT bin, low, place, n, sum(w * qn) AS sn, sum(w * qx) AS sx, sum(w * qy) AS sy, sum(w * qxx) AS sxx, sum(w * qxy) AS sxy
+      FROM (SELECT p.bin, p.low, p.place, p.n, q.n AS qn, q.sx AS qx, q.sy AS qy, q.sxx AS qxx, q.sxy AS qxy,
+              pow(1 - pow(least(1.0::DOUBLE, abs(q.sx / q.n - p.place) / (0.3::DOUBLE * p.width)), 3), 3) AS w
+            FROM moments p, moments q) GROUP BY bin, low, place, n"""})
+def _(r):
+    """The curve through lengths over ranges."""
+    return rounded(rounded(S.local_curve(r.length(), "range", "length"), "fitted"), "x", digits=6)

@@ -318,3 +318,33 @@ def test_classes_complete_like_tuples(spark):
     other = R.complete(df, ["k", "n"], ["class"], {"count": 0.0})
     assert one.columns == df.columns
     assert sorted(map(str, one.collect())) == sorted(map(str, other.select(*df.columns).collect()))
+
+
+def numpy_curve(x, y, bins, reach):
+    low, high = x.min(), x.max()
+    at = np.minimum(np.floor((x - low) / ((high - low) / bins)), bins - 1).astype(int) if high > low else np.zeros(len(x), int)
+    out = []
+    means = {b: x[at == b].mean() for b in set(at.tolist())}
+    for b in sorted(means):
+        x0 = low + (b + 0.5) * (high - low) / bins
+        w = np.array([(1 - min(1, abs(means[k] - x0) / (reach * (high - low))) ** 3) ** 3 if high > low else 1.0 for k in at.tolist()])
+        a = np.stack([np.ones(len(x)), x - x0], 1) * np.sqrt(w)[:, None]
+        fit = np.linalg.lstsq(a, y * np.sqrt(w), rcond=None)[0][0] if np.ptp(x[w > 0]) > 0 else np.average(y, weights=w)
+        out.append((b, x0, int((at == b).sum()), fit))
+    return out
+
+
+@pytest.mark.parametrize("kind", ["spread", "far", "two places", "one place"])
+def test_local_curve_equals_weighted_least_squares(spark, kind):
+    rng = np.random.default_rng(3)
+    x = {"spread": rng.uniform(-5, 9, 500), "far": 1e6 + rng.normal(0, 3, 400), "two places": np.repeat([1.0, 4.0], 20), "one place": np.full(9, 2.5)}[kind]
+    y = np.sin(x) * 3 + rng.normal(0, 0.2, len(x))
+    data = [(float(a), float(b)) for a, b in zip(x, y)] + [(None, 1.0), (2.0, None), (float("nan"), 1.0), (1.0, float("inf"))]
+    got = sorted(map(tuple, S.local_curve(spark.createDataFrame(data, "a double, b double"), "a", "b", 20, 0.4).collect()))
+    want = numpy_curve(x, y, 20, 0.4)
+    assert [g[0] for g in got] == [w[0] for w in want] and [g[2] for g in got] == [w[2] for w in want]
+    assert np.allclose([g[1] for g in got], [w[1] for w in want]) and np.allclose([g[3] for g in got], [w[3] for w in want], atol=1e-6)
+
+
+def test_local_curve_without_points(spark):
+    assert S.local_curve(spark.createDataFrame([(None, 1.0)], "a double, b double"), "a", "b").collect() == []
