@@ -142,7 +142,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     """Fit on the labelled rows that are not held out.
 
     Document frequencies are counted over all of them, each task sending one row per feature. Weights and
-    temperature are fitted in one task on a sample of about ``per_language`` documents for each language,
+    temperature are fitted in one task, which reads only the vectors of a sample of about ``per_language`` documents for each language,
     chosen by a hash of the id; one in five of them only sets the temperature.
     """
     rows = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
@@ -197,7 +197,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
 
     vectorised = sample.mapInPandas(vectors, "doc_id string, lang string, calibrate boolean, at array<int>, value array<double>")
     weights, temperature = np.zeros((FEATURES + 1, len(labels))), 1.0
-    for r in vectorised.coalesce(1).mapInPandas(fitted, "feature long, weights array<double>").collect():
+    for r in vectorised.repartition(1).mapInPandas(fitted, "feature long, weights array<double>").collect():
         if r.feature < 0:
             temperature = r.weights[0]
         else:

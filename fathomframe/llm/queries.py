@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import centroids, collocations, exact, langid, merkle, mixing, near, passages, quality, substrings, tokens, urls, wrappers
-from .common import table
+from .common import small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,6 +74,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def encoded(docs: DataFrame, model: str = tokens.MODEL) -> DataFrame:
     """doc_id, n_tokens, ids, round_trip: the ids of every whole text, and whether they decode to it."""
+    small_batches(docs.sparkSession)
     pieces = tokens.Pieces.load(model)
     out = tokens.decode(tokens.encode(docs.select("doc_id", "text"), pieces), pieces)
     plain = F.translate(F.coalesce("text", F.lit("")), tokens.SPACE, " ")

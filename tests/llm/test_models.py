@@ -19,8 +19,19 @@ def odd_texts():
     return fixed + ["".join(r.choice("abcdeé \n.,T漢_0²▁") for _ in range(r.randrange(1, 200))) for _ in range(60)]
 
 
-@pytest.mark.parametrize("limit", [tokens.DICTIONARY_WORDS, 150, 0])
-def test_encode_equals_the_library_and_decodes(frame, limit):
+@pytest.fixture(params=[False, True], ids=["hints", "no hints"])
+def hints(spark, request):
+    """Whether Spark may not broadcast."""
+    held = {"spark.sql.optimizer.disableHints": str(request.param).lower(), "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    yield
+    for k in held:
+        spark.conf.unset(k)
+
+
+@pytest.mark.parametrize("limit", [tokens.DICTIONARY_BYTES, 1500, 0])
+def test_encode_equals_the_library_and_decodes(frame, limit, hints):
     sentencepiece = pytest.importorskip("sentencepiece")
     library = sentencepiece.SentencePieceProcessor(model_file=tokens.MODEL)
     pieces, texts = tokens.Pieces.load(), odd_texts()
@@ -33,7 +44,7 @@ def test_encode_equals_the_library_and_decodes(frame, limit):
         assert row.decoded == text.replace(tokens.SPACE, " ") == library.decode(list(row.ids))
 
 
-def test_unigram_path_is_the_best(frame):
+def test_unigram_path_is_the_best(frame, hints):
     r = random.Random(5)
     rows = [("<unk>", 0.0, 2)] + [(p, -r.uniform(1, 9), 1) for p in ("▁", "a", "b", "c", "ab", "bc", "abc", "▁a", "▁ab", "ca", "cab")]
     pieces = tokens.Pieces.of(tokens.UNIGRAM, rows)
@@ -89,6 +100,34 @@ def test_held_out_rows_teach_nothing(frame):
     assert a.labels == b.labels and np.array_equal(a.weights, b.weights) and a.temperature == b.temperature
 
 
+def test_ftrl_against_the_formula():
+    """Follow the regularised leader row by row over all coordinates, each weight from its sums in closed form."""
+    r = np.random.default_rng(4)
+    rows = []
+    for _ in range(40):
+        at = np.sort(r.choice(30, 6, replace=False))
+        rows.append((at, r.random(6), int(r.integers(3))))
+    z, n, w = np.zeros((31, 3)), np.zeros((31, 3)), np.zeros((31, 3))
+    order = np.random.default_rng(7)
+    for _ in range(langid.EPOCHS):
+        for i in order.permutation(len(rows)):
+            x = np.zeros(31)
+            x[rows[i][0]], x[30] = rows[i][1], 1
+            logits = np.exp(x @ w)
+            for c in range(3):
+                error = logits[c] / logits.sum() - (c == rows[i][2])
+                for j in np.flatnonzero(x):
+                    g = x[j] * error
+                    z[j, c] += g - (np.sqrt(n[j, c] + g * g) - np.sqrt(n[j, c])) / langid.ALPHA * w[j, c]
+                    n[j, c] += g * g
+            for j in range(31):
+                for c in range(3):
+                    l1 = langid.L1 if j < 30 else 0
+                    w[j, c] = 0 if abs(z[j, c]) <= l1 else -(z[j, c] - np.sign(z[j, c]) * l1) / ((langid.BETA + np.sqrt(n[j, c])) / langid.ALPHA + langid.L2)
+    fast = langid.fit_ftrl(rows, 3)
+    assert np.allclose(fast[:30], w[:30]) and np.allclose(fast[-1], w[-1]) and not fast[30:-1].any()
+
+
 def test_nothing_to_learn(frame):
     df = frame([(1, "some text", None, "s", "x")], DOC)
     assert langid.train(df).labels == []
