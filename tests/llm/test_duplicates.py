@@ -141,6 +141,16 @@ def test_repeated_bytes(frame, limits):
     assert sorted(((x.doc_id, x.n_bytes, x.n_removed, x.n_spans, bytes(x.kept)) for x in got), key=str) == brute_bytes(rows)
 
 
+def test_repeated_bytes_across_pieces(frame):
+    """Texts longer than the 64 KiB that are hashed at once, with repeats over the seams."""
+    r = random.Random(8)
+    first = "".join(r.choice("abcdé ") for _ in range(150_000))
+    second = "".join(r.choice("xyz ") for _ in range(65_000)) + first[60_000:66_100] + "".join(r.choice("xyz ") for _ in range(300)) + first[:70_000]
+    rows = [(1, first), (2, second), (3, first[65_400:65_600]), (4, second[65_000:65_060] * 3)]
+    got = substrings.remove_repeats(frame([(*x, "v", "c") for x in rows], DOC)).collect()
+    assert sorted(((x.doc_id, x.n_bytes, x.n_removed, x.n_spans, bytes(x.kept)) for x in got), key=str) == brute_bytes(rows)
+
+
 def test_repeated_bytes_empty_table(frame):
     assert substrings.remove_repeats(frame([], DOC)).collect() == []
 
@@ -214,3 +224,37 @@ def test_passages_that_no_smallest_document_has(frame):
         b = shingle_set(" ".join(text[x.source_id].split()[x.source_start : x.source_start + x.source_words]))
         assert len(a & b) / len(a | b) == pytest.approx(x.similarity)
     assert len({(x.doc_id, x.start_word, x.n_words, x.source_id) for x in got}) == len(got)
+
+
+def test_recall_by_passage_length(frame):
+    """Passages of 50 words and more with changed words anywhere, their ends included, in pairs of documents."""
+    r = random.Random(12)
+    words = [f"w{i}" for i in range(20_000)]
+
+    def prose(n):
+        return [r.choice(words) for _ in range(n)]
+
+    rows, planted = [], []
+    for length, changes in ((50, 1), (60, 1), (80, 1), (120, 2)):
+        done = 0
+        while done < 60:
+            passage = prose(length)
+            changed = list(passage)
+            for i in [done % length, *r.sample(range(length), changes - 1)]:
+                changed[i] = "other"
+            a, b = shingle_set(" ".join(passage)), shingle_set(" ".join(changed))
+            done += 1
+            if len(a & b) / len(a | b) < 0.8:
+                continue
+            n = len(rows)
+            rows += [(n, " ".join(prose(r.randrange(60)) + passage + prose(r.randrange(60)))), (n + 1, " ".join(prose(r.randrange(60)) + changed + prose(r.randrange(60))))]
+            planted.append((length, n + 1, n))
+    got = {}
+    for x in passages.near_passages(frame([(*x, "v", "c") for x in rows], DOC)).collect():
+        assert x.n_words >= 50 and x.similarity >= 0.8 and x.source_id < x.doc_id
+        got[x.doc_id, x.source_id] = x
+    assert set(got) <= {(d, s) for _, d, s in planted}
+    for length in (50, 60, 80, 120):
+        own = [(d, s) in got for n, d, s in planted if n == length]
+        assert len(own) >= 40 and sum(own) / len(own) >= 0.9, (length, sum(own), len(own))
+    assert sum((d, s) in got for _, d, s in planted) / len(planted) >= 0.95
