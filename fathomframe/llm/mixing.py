@@ -46,17 +46,12 @@ def row_hash(doc_id: Column, text: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit("mix"), doc_id, text), 1)
 
 
-def mix_plan(narrow: DataFrame) -> DataFrame:
-    """source, source_size, target, _base, _cut: whole copies and hash threshold of each source.
+def _thresholds(narrow: DataFrame, edge: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """source, _cut from one histogram after the other, and the boundary buckets of one hash that hold several rows.
 
-    narrow: source, size, _u; written, as each histogram reads it once.
+    narrow: source, size, _u; edge: source, _rest.
     """
-    sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
-    budget = source_targets(sizes).withColumn(
-        "_base", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
-    budget = written(budget.withColumn("_rest", F.col("target") - F.col("_base") * F.col("source_size")), "mix-targets")
-
-    edge = budget.select("source", F.col("_rest"), F.lit(0).cast("long").alias("_prefix"))
+    edge = edge.select("source", "_rest", F.lit(0).cast("long").alias("_prefix"))
     shift, cuts = HASH_BITS, []
     while True:
         last, shift = shift, max(0, shift - LEVEL_BITS)
@@ -71,9 +66,10 @@ def mix_plan(narrow: DataFrame) -> DataFrame:
         edge = written(running.where("_cum > _rest").groupBy("source").agg(F.min_by(
             F.struct("_prefix", "_sum", "_rows", (F.col("_rest") - F.col("_cum") + F.col("_sum")).alias("_rest")),
             "_prefix").alias("_b")).select("source", "_b.*"), "mix-edge")
-        done = (F.col("_rows") <= 1) | F.lit(shift == 0)
-        upper = F.col("_prefix") + F.when(F.col("_rest") * 2 >= F.col("_sum"), 1).otherwise(0)
-        cuts.append(edge.where(done).select("source", F.when(
+        done = F.col("_rows") <= 1
+        upper = F.col("_prefix") + F.when(done & (F.col("_rest") * 2 >= F.col("_sum")), 1).otherwise(0)
+        ends = edge if shift == 0 else edge.where(done)
+        cuts.append(ends.select("source", F.when(
             F.shiftright(upper, HASH_BITS - shift) == 0, F.shiftleft(upper, shift)).otherwise(ALL).alias("_cut")))
         edge = edge.where(~done).select("source", "_rest", "_prefix")
         if shift == 0 or edge.isEmpty():
@@ -81,20 +77,51 @@ def mix_plan(narrow: DataFrame) -> DataFrame:
     cut = cuts[0]
     for more in cuts[1:]:
         cut = cut.unionByName(more)
-    return budget.alias("b").join(cut.alias("c"), F.col("b.source").eqNullSafe(F.col("c.source")), "left").select(
+    return cut, edge
+
+
+def mix_plan(narrow: DataFrame) -> DataFrame:
+    """source, source_size, target, _base, _cut, _tie, _tie_cut: whole copies and hash thresholds of each source.
+
+    narrow: source, size, _u, _v; written, as each histogram reads it once. Where the boundary bucket is narrowed
+    down to one hash with several rows, _tie is that hash and _tie_cut their threshold on _v.
+    """
+    sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
+    budget = source_targets(sizes).withColumn(
+        "_base", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
+    budget = written(budget.withColumn("_rest", F.col("target") - F.col("_base") * F.col("source_size")), "mix-targets")
+    cut, ties = _thresholds(narrow.select("source", "size", "_u"), budget)
+    ties = ties.select("source", F.col("_prefix").alias("_tie"), "_rest")
+    if ties.isEmpty():
+        ties = ties.select("source", "_tie", F.col("_tie").alias("_tie_cut"))
+    else:
+        same = F.col("n.source").eqNullSafe(F.col("t.source")) & (F.col("n._u") == F.col("t._tie"))
+        alike = narrow.alias("n").join(ties.alias("t"), same).select("n.source", "size", F.col("_v").alias("_u"))
+        finer, _ = _thresholds(written(alike, "mix-ties"), ties)
+        # without a boundary among them all are taken once more
+        ties = ties.alias("t").join(finer.alias("f"), F.col("t.source").eqNullSafe(F.col("f.source")), "left").select(
+            "t.source", "_tie", F.coalesce("_cut", F.lit(ALL)).alias("_tie_cut"))
+    found = budget.alias("b").join(cut.alias("c"), F.col("b.source").eqNullSafe(F.col("c.source")), "left")
+    return found.join(ties.alias("t"), F.col("b.source").eqNullSafe(F.col("t.source")), "left").select(
         "b.source", "source_size", "target", "_base",
         # without a boundary the budget covers all that is left: nothing if it is nothing
-        F.coalesce("_cut", F.when(F.col("_rest") > 0, ALL).otherwise(0)).alias("_cut"))
+        F.coalesce("_cut", F.when(F.col("_rest") > 0, ALL).otherwise(0)).alias("_cut"), "_tie", "_tie_cut")
 
 
 def copies() -> Column:
-    return F.least(F.lit(MOST_COPIES), F.col("_base") + F.when(F.col("_u") < F.col("_cut"), 1).otherwise(0)).cast("int")
+    more = (F.col("_u") < F.col("_cut")) | F.coalesce((F.col("_u") == F.col("_tie")) & (F.col("_v") < F.col("_tie_cut")), F.lit(False))
+    return F.least(F.lit(MOST_COPIES), F.col("_base") + F.when(more, 1).otherwise(0)).cast("int")
+
+
+def row_number_hash() -> Column:
+    """63 bits that tell rows equal in id and text apart, by where they stand in the table."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit("tie"), F.monotonically_increasing_id()), 1)
 
 
 def narrowed(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
-    return written(docs.select(
+    return docs.select(
         F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
-        row_hash(F.col(doc_id), F.col(text)).alias("_u")), "mix-sizes")
+        row_hash(F.col(doc_id), F.col(text)).alias("_u"), row_number_hash().alias("_v"))
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -104,10 +131,12 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     source's threshold. The threshold comes from histograms of size by source and leading hash bits: whole
     buckets below the budget are in, only the boundary bucket is split by the next bits, until it holds one
     row; that row is in if this brings the sum nearer. Nothing is sorted, the histogram combines before its
-    shuffle, so one source may hold most rows. The hash is of id and text, so reruns agree; rows equal in
-    both share a fate. A null text has size 0, a null source is a source, a source of size 0 takes nothing.
+    shuffle, so one source may hold most rows. The hash is of id and text, so reruns agree. Rows equal in both
+    share it; should they be the boundary, histograms of a second hash take as many of them as come nearest to
+    the target, and these are the same rows whichever they are. A null text has size 0, a null source is a
+    source, a source of size 0 takes nothing.
     """
-    narrow = narrowed(docs, doc_id, text, source)
+    narrow = written(narrowed(docs, doc_id, text, source), "mix-sizes")
     plan = mix_plan(narrow)
     out = narrow.alias("n").join(plan.alias("p"), F.col("n.source").eqNullSafe(F.col("p.source")), "left")
     return out.select(
@@ -115,9 +144,18 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
 
 def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """The rows of docs as the mix takes them, each as often as it is taken; columns as they were."""
-    plan = mix_plan(narrowed(docs, doc_id, text, source)).select(F.col("source").alias("_source"), "_base", "_cut")
-    rows = docs.select(F.struct("*").alias("_doc"), F.col(source).alias("_of"), row_hash(F.col(doc_id), F.col(text)).alias("_u"))
-    met = rows.join(plan, F.col("_of").eqNullSafe(F.col("_source")))
+    """The rows of docs as the mix takes them, each as often as it is taken; columns as they were.
+
+    Where equal rows are a boundary, rows are written with what tells them apart before the mix is planned.
+    """
+    hashes = {"_u": row_hash(F.col(f"_doc.`{doc_id}`"), F.col(f"_doc.`{text}`")), "_of": F.col(f"_doc.`{source}`")}
+    plan = mix_plan(written(narrowed(docs, doc_id, text, source), "mix-sizes"))
+    rows = docs.select(F.struct("*").alias("_doc"), F.lit(0).cast("long").alias("_v"))
+    if not plan.where("_tie IS NOT NULL").isEmpty():
+        rows = written(docs.select(F.struct("*").alias("_doc"), row_number_hash().alias("_v")), "mix-rows")
+        sizes = rows.withColumns(hashes).select(F.col("_of").alias("source"), word_count(F.col(f"_doc.`{text}`")).alias("size"), "_u", "_v")
+        plan = mix_plan(written(sizes, "mix-sizes"))
+    plan = plan.select(F.col("source").alias("_source"), "_base", "_cut", "_tie", "_tie_cut")
+    met = rows.withColumns(hashes).join(plan, F.col("_of").eqNullSafe(F.col("_source")))
     taken = met.withColumn("_n", copies()).where("_n > 0")
     return taken.select("_doc", F.explode(F.sequence(F.lit(1), "_n"))).select("_doc.*")

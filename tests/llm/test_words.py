@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from fathomframe.llm import exact, mixing, quality, urls
 
@@ -101,6 +102,24 @@ def test_mix_targets_and_sums(frame, seed):
     assert all(0 <= x.taken <= 3 * x.size for x in got)
 
 
+def test_equal_rows_meet_the_target(frame):
+    rows = [(None, "one text of five words", "a", "k")] * 2000 + [(i, "one two three", "b", "k") for i in range(1000)]
+    rows += [(5, "again and again", "c", "k")] * 700 + [(i, "a b c", "c", "k") for i in range(100)]
+    df = frame(rows, DOC).repartition(7)
+    want = brute_targets({"a": 10_000, "b": 3000, "c": 2400})
+    got = mixing.mix(df).collect()
+    assert len(got) == len(rows) and all(0 <= r.taken <= 3 * r.size for r in got)
+    taken = {"a": 0, "b": 0, "c": 0}
+    for r in got:
+        taken["a" if r.source_size == 10_000 else "b" if r.source_size == 3000 else "c"] += r.taken
+    assert all(abs(taken[s] - want[s]) <= 5 for s in want)
+    out = mixing.mixed(df)
+    assert out.columns == df.columns
+    words = {r.source: r.n for r in out.groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("n")).collect()}
+    assert words == taken
+    assert sorted(map(tuple, mixing.mix(df.repartition(3)).collect()), key=str) == sorted(map(tuple, got), key=str)
+
+
 def test_mixed_rows_repeat(frame):
     rows = [(i, "one two three", "a" if i < 30 else "b", "k") for i in range(90)]
     df = frame(rows, DOC)
