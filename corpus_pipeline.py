@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomframe.llm import exact, langid, mixing, near
-from fathomframe.llm.common import BROADCAST_ROWS, few, table, written
+from fathomframe.llm.common import BROADCAST_ROWS, few, small_batches, table, written
 from fathomframe.llm.queries import encoded
 
 #: A document is rejected when it has no letter or its best language has less than this calibrated probability.
@@ -28,8 +28,9 @@ def _without(docs: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language the corpus has labels for; where nothing is labelled, all with a letter."""
+    small_batches(spark)
     model = langid.train(docs)
-    judged = langid.identify(docs.select(F.struct("*").alias("_doc"), "text"), model)
+    judged = langid.identify(docs.select(F.struct("*").alias("_doc")), model, "_doc.text")
     if not model.labels:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     return judged.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("_doc.*")
@@ -37,6 +38,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id; of rows equal in id and text one."""
+    small_batches(spark)
     decided = exact.exact_duplicates(docs).groupBy("doc_id", "text_sha256").agg(
         F.max("kept").alias("kept"), F.count("*").alias("n"))
     decided = written(decided, "exact-decided")
@@ -58,6 +60,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Where ids are null or repeated each row is a vertex of its own; of rows with one id the smaller digest stays.
     """
+    small_batches(spark)
     odd = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL")
     if odd.isEmpty():
         decided = near.near_duplicates(docs)
