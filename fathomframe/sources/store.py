@@ -7,8 +7,9 @@ import re
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DatetimeType, NumericType
 from pyspark.sql.utils import AnalysisException
 
 from fathomframe.functions.columns import SAMPLE
@@ -19,14 +20,27 @@ from fathomframe.sources.manifest import _reader, file_manifest
 #: Column that holds the campaign once more, as a folder: a table cannot be cut into folders by what it is clustered by.
 FOLDER = "campaign"
 STATE = "campaign.states"
+#: Bytes of rows, as they lie in memory, that one task sorts to write or to join a bucket.
+TASK_BYTES = 128 << 20
+
+
+def _row_bytes(rows: DataFrame) -> Column:
+    """About what a row takes in memory: 16 bytes a column, and its text."""
+    out = F.lit(16 * len(rows.columns)).cast("long")
+    for field in rows.schema:
+        if not isinstance(field.dataType, (NumericType, BooleanType, DatetimeType)):
+            out = out + F.coalesce(F.octet_length(F.col(f"`{field.name}`").cast("string")), F.lit(0))
+    return out
 
 
 class StudyStore:
     """Parquet tables below ``root``, one folder for each campaign, clustered by campaign and sample within.
 
-    Tables with the same ``buckets`` join by sample without a shuffle.  A campaign is replaced as a whole: Spark
-    writes its new files aside and puts them into place when all are written, the files of others are not touched.
-    ``buckets`` bounds the files of a campaign; with many small campaigns take few.
+    A campaign is replaced as a whole: Spark writes its new files aside and puts them into place when all are
+    written, the files of others are not touched.  A new table has ``buckets`` buckets, or as many more as keep a
+    bucket's rows below TASK_BYTES, and no fewer than the study's other tables have: tables with the same number
+    join by sample without a shuffle, so store the largest first.  A campaign has a file for each bucket; rows that
+    outgrow the buckets of a table that is there are written as several.
     """
 
     def __init__(self, spark: SparkSession, root: str, study: str, buckets: int = 8) -> None:
@@ -61,6 +75,19 @@ class StudyStore:
             pass  # a catalog that lists folders by itself
         return known
 
+    def _buckets(self, name: str | None = None) -> int:
+        """Buckets of a table that is there, or the most that any table of the study has."""
+        if name is None:
+            fs, root = files._file_system(self.spark, self.root)
+            there = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+            about = [f"{self.root}/{n}" for n in there if n.startswith(self.study + ".") and n.endswith(".about")]
+        else:
+            about = [self.path(name) + ".about"]
+        if not about:
+            return 0
+        found = self.spark.read.schema("ddl string, buckets int").json(about).agg(F.max("buckets")).first()[0]
+        return found or 0
+
     def table(self, name: str) -> DataFrame:
         known = self._open(name)
         if known is None:
@@ -74,18 +101,22 @@ class StudyStore:
         """
         # written aside first: they may come from the very table, and are read for their campaigns and then once more
         rows = stored(rows.withColumn(FOLDER, F.col("campaignid")), "to-store")
-        found = {r[0] for r in rows.select("campaignid").distinct().collect()}
+        sizes = rows.groupBy("campaignid").agg(F.sum(_row_bytes(rows)).alias("size")).collect()
+        found, size = {r["campaignid"] for r in sizes}, sum(r["size"] for r in sizes)
         listed = found if campaigns is None else set(campaigns)
         if not found <= listed:
             raise ValueError(f"rows of campaigns that are not to be replaced: {', '.join(sorted(map(str, found - listed))[:20])}")
         known = self._open(name)
-        dealt = rows.repartition(self.buckets, *SAMPLE)
+        needed = -(-size // TASK_BYTES)
+        buckets = max(self.buckets, needed, self._buckets()) if known is None else self._buckets(name)
+        # Spark finds buckets as it deals rows: a task of a multiple of them has rows of one bucket only
+        dealt = rows.repartition(buckets * max(1, -(-needed // buckets)), *SAMPLE)
         if known is None:
             known = self._known_as(name)
-            (dealt.write.format("parquet").partitionBy(FOLDER).bucketBy(self.buckets, *SAMPLE).sortBy(*SAMPLE)
+            (dealt.write.format("parquet").partitionBy(FOLDER).bucketBy(buckets, *SAMPLE).sortBy(*SAMPLE)
              .option("path", self.path(name)).saveAsTable(known))
             ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.spark.table(known).schema)
-            self.spark.createDataFrame([(ddl, self.buckets)], "ddl string, buckets int").coalesce(1).write.mode("overwrite").json(self.path(name) + ".about")
+            self.spark.createDataFrame([(ddl, buckets)], "ddl string, buckets int").coalesce(1).write.mode("overwrite").json(self.path(name) + ".about")
             return
         there = self.spark.table(known)
         mode = "spark.sql.sources.partitionOverwriteMode"

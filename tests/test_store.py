@@ -55,6 +55,28 @@ def test_stored_tables_join_without_a_shuffle_in_any_session(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_buckets_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    from fathomframe.sources import store as module
+
+    monkeypatch.setattr(module, "TASK_BYTES", 4000)
+    store = StudyStore(spark, str(tmp_path), "s", 2)
+    first = [(c, f"s{i}", "a", float(i)) for c in ("x", "y") for i in range(150)]
+    store.replace("maxn", spark.createDataFrame(first, MAXN))
+    store.replace("metadata", spark.createDataFrame([("x", f"s{i}", f"site {i}") for i in range(5)], "campaignid string, sample string, site string"))
+    most = max(len(spark.read.parquet(f).collect()) for f in files_of(tmp_path / "s.maxn"))
+    assert most <= 60  # of 300 rows of some 85 bytes
+    out = store.table("maxn").hint("merge").join(store.table("metadata"), ["campaignid", "sample"])
+    assert out.count() == 5 and "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    # a campaign that outgrows the buckets is written as several files of a bucket, and still joins by bucket
+    more = [("x", f"s{i}", "b", float(i)) for i in range(900)]
+    store.replace("maxn", spark.createDataFrame(more, MAXN))
+    files = files_of(tmp_path / "s.maxn" / "campaign=x")
+    assert max(len(spark.read.parquet(f).collect()) for f in files) <= 90
+    assert rows(store.table("maxn")) == sorted([*more, *[r for r in first if r[0] == "y"]], key=repr)
+    out = store.table("maxn").hint("merge").join(store.table("metadata"), ["campaignid", "sample"])
+    assert out.count() == 5 and "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_states_tell_what_changed(spark, tmp_path):
     root = str(tmp_path / "in")
     for c in "abc":
