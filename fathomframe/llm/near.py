@@ -21,6 +21,9 @@ ELEMENTS, KEYED, CHUNKS = 128, 64, 12
 KEYED_DISTANCE, DISTANCE = 23, 38
 ERRORS = KEYED_DISTANCE // CHUNKS
 BLOCK = 512
+#: Keys of more members than CROWD are first met by members drawn from them, at most TURNS times and while a turn
+#: links one of WORTH members.
+CROWD, TURNS, WORTH = 8, 8, 50
 LAST = (1 << 63) - 1
 _RNG = np.random.default_rng(20)
 _XOR = _RNG.integers(0, 1 << 32, ELEMENTS, dtype=np.uint32)
@@ -132,6 +135,37 @@ def _confirm(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     return ordered.where(F.pandas_udf(similar, "boolean")("_x", "_y")).select("a", "b")
 
 
+def _apart(member: DataFrame) -> DataFrame:
+    """The members of keys that still hold several components, with the number of the key's members."""
+    keys = member.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count("*").alias("members"))
+    return member.drop("members").join(keys.where("_lo < _hi").select("key", "members"), "key")
+
+
+def _drawn_pairs(member: DataFrame, turn: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of one member drawn from each key and the key's members in other components that may be similar."""
+    mixed = member.withColumn("_order", F.xxhash64("vertex", F.lit(turn)))
+    lowest = mixed.groupBy("key").agg(F.min("_order").alias("_order"))
+    drawn = mixed.join(lowest, ["key", "_order"]).select(
+        "key", F.col("vertex").alias("_v"), F.col("component").alias("_c"), F.col("n").alias("_n"), F.col("lone").alias("_lone"))
+    common = F.least(F.col("n") - F.col("lone"), F.col("_n") - F.col("_lone"))
+    near = member.join(drawn, "key").where("component <> _c").where(common * 100 >= percent * (F.col("n") + F.col("_n") - common))
+    return near.select(F.least("vertex", "_v").alias("a"), F.greatest("vertex", "_v").alias("b")).distinct()
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (vertex, component) after ``links`` between vertices joined their components."""
+    ends = links.join(labels.toDF("a", "_a"), "a", "left").join(labels.toDF("b", "_b"), "b", "left")
+    into = written(components(ends.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))), "merged")
+    moved = labels.join(into.toDF("component", "_into"), "component", "left").select(
+        "vertex", F.coalesce("_into", "component").alias("component"))
+    # a component's smallest vertex has no row of its own
+    return written(moved.unionByName(into), "labels")
+
+
+def _relabelled(member: DataFrame, labels: DataFrame) -> DataFrame:
+    return member.drop("component").join(labels, "vertex", "left").withColumn("component", F.coalesce("component", "vertex"))
+
+
 def _blocks(members: DataFrame) -> DataFrame:
     """Each member of a key once for each pair of blocks it takes part in: no task meets more than two blocks."""
     many = members.withColumn("_m", F.ceil(F.col("members") / BLOCK).cast("int"))
@@ -180,8 +214,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     nothing. A null id counts as the largest and comes back null; rows with one id are one document.
 
     Equal sets are one vertex from the start. Signatures meet on keys, each document of a key is first compared
-    with the key's smallest; what is still apart is compared pair by pair, in blocks, in the first key that
-    a pair shares, and only where the counts of shingles found nowhere else leave similarity possible.
+    with the key's smallest. Where the counts of shingles found nowhere else leave similarity possible, large keys
+    still apart are met by members drawn from them, turn after turn, so that a large group is joined by few links;
+    what is apart then is compared pair by pair, in blocks, in the first key that a pair shares.
     """
     marks = written(sets(docs, doc_id, text, full=False), "signatures")
     vertices = written(marks.where("n > 0").groupBy("digest").agg(
@@ -205,22 +240,31 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     links = written(_confirm(stars, full, percent), "links")
     labels = components(links)
 
-    member = shared.where("members > 2").join(labels, "vertex", "left").withColumn("component", F.coalesce("component", "vertex"))
-    apart = member.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo < _hi").select("key")
-    member = written(member.join(apart, "key", "left_semi"), "apart")
+    member = written(_apart(_relabelled(shared.where("members > 2").withColumn("component", F.lit(None)), labels)), "apart")
     if not member.isEmpty():
         rest = full.join(member.select("vertex").distinct(), "vertex", "left_semi")
         each = rest.select("vertex", F.explode("shingles").alias("s"))
         alone = each.groupBy("s").agg(F.min("vertex").alias("vertex"), F.max("vertex").alias("_top")).where("vertex = _top")
         lone = alone.groupBy("vertex").agg(F.count("*").alias("lone"))
-        sized = vertices.join(lone, "vertex", "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
-        possible = sized.where(F.col("lone") * 100 <= (100 - percent) * F.col("n")).select("vertex", "n", "lone", "sig")
-        blocks = _blocks(member.select("key", "left_out", "vertex", "component", "members").join(possible, "vertex"))
+        sized = vertices.select("vertex", "n").join(lone, "vertex", "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
+        possible = sized.where(F.col("lone") * 100 <= (100 - percent) * F.col("n"))
+        member = written(_apart(member.join(possible, "vertex")), "possible")
+        for turn in range(TURNS):
+            crowded = member.where(F.col("members") > CROWD)
+            many = crowded.select("vertex").distinct().count()
+            more = written(_confirm(_drawn_pairs(crowded, turn, percent), full, percent), "drawn-links") if many else None
+            linked = more.count() if many else 0
+            if linked:
+                labels = _merged(labels, more)
+                member = written(_apart(_relabelled(member, labels)), "possible")
+            if linked * WORTH <= many:
+                break
+        blocks = _blocks(member.join(vertices.select("vertex", "sig"), "vertex"))
         dealt = blocks.repartition("key", "_i", "_j").sortWithinPartitions("key", "_i", "_j")
         close = dealt.mapInPandas(lambda x: _close_pairs(x, percent), "a long, b long").distinct()
         more = written(_confirm(close, full, percent), "more-links")
         if not more.isEmpty():
-            labels = components(links.unionByName(more))
+            labels = _merged(labels, more)
     first = marks.where("n > 0").groupBy("digest").agg(F.min("vertex").alias("_first"))
     found = marks.join(first, "digest", "left").join(labels.withColumnRenamed("vertex", "_first"), "_first", "left")
     found = found.withColumn("_c", F.coalesce("component", "_first", "vertex"))

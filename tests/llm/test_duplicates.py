@@ -71,6 +71,25 @@ def test_index_keys_meet_within_the_distance():
         assert len(shared) and near.first_key(a[None], b[None])[0] == shared[0]
 
 
+def test_near_group_apart_after_its_leaders_is_joined_by_few_links(frame, monkeypatch):
+    r = random.Random(5)
+    base = [f"w{i}" for i in range(400)]
+
+    def changed(n):
+        words = list(base)
+        for at in r.sample(range(400), n):
+            words[at] = f"x{r.random()}"
+        return " ".join(words)
+
+    # the smallest document of nearly all keys is like no other one
+    rows = [(i, changed(14)) for i in range(40)] + [(100 + i, changed(2)) for i in range(90)]
+    seen, real = [], near.components
+    monkeypatch.setattr(near, "components", lambda edges: (seen.append(edges.count()), real(edges))[1])
+    got = near.near_duplicates(frame([(*x, "v", "c") for x in rows], DOC)).collect()
+    assert {x.doc_id: x.component_id for x in got} == brute_components(rows)
+    assert max(seen) < 4 * len(rows)
+
+
 def test_near_empty_table(frame):
     assert near.near_duplicates(frame([], DOC)).collect() == []
 
