@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from fathomframe.functions.columns import columns_with_prefix, row_total
 from fathomframe.operators.joins import hinted, join_on
 
-_KEY, _BLOCK, _SHARE, _CELLS, _ALL, _ONE = "__key", "__block", "__share", "__cells", "__all", "__one"
+_KEY, _BLOCK, _SHARE, _CELLS, _ALL, _ONE, _OUT = (
+    "__key", "__block", "__share", "__cells", "__all", "__one", "__out")
 RIGHT_BLOCKS = 32
 
 
@@ -57,7 +58,9 @@ def cells_by_left(cells: DataFrame, left: Sequence[str], right: Sequence[str],
 
 def left_tuples(by_left: DataFrame, left: Sequence[str]) -> DataFrame:
     """The distinct ``left`` tuples that have cells."""
-    return by_left.select(*[F.col(k).alias(c) for k, c in zip(_left_names(left), left, strict=True)]).distinct()
+    # the condition always holds: it keeps the cells in the plan, so that their exchange is shared
+    held = by_left.where(F.size(_CELLS) > 0)
+    return held.select(*[F.col(k).alias(c) for k, c in zip(_left_names(left), left, strict=True)]).distinct()
 
 
 def right_tuples(by_left: DataFrame, right: Sequence[str]) -> DataFrame:
@@ -83,15 +86,13 @@ def expand_cells(by_left: DataFrame, lefts: DataFrame, left: Sequence[str], tupl
     """
     right, names = list(right), _left_names(left)
     others = [c for c in lefts.columns if c not in (_KEY, *names)]
-    kinds = by_left.schema[_CELLS].dataType.elementType
-    empty = [F.lit(None).cast(kinds[v].dataType).alias(v) for v in values or ()]
     # Few blocks would mean few join keys: spread each over several shares of
     # the left rows, as many as the cluster has partitions for.
     shares = max(1, -(-shuffle_partitions(by_left) // blocks))
 
     block = _bucket(right, blocks)
     listed = (tuples.groupBy(block.alias(_BLOCK))
-              .agg(F.collect_list(F.struct(*right, *empty)).alias(_ALL))
+              .agg(F.collect_list(F.struct(*right)).alias(_ALL))
               .withColumn(_SHARE, F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))))
     spread = lefts.withColumn(_BLOCK, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     # The hash of the left tuple is the key, so its columns are compared apart from the key: as equalities they
@@ -99,19 +100,27 @@ def expand_cells(by_left: DataFrame, lefts: DataFrame, left: Sequence[str], tupl
     alike = ~F.array_contains(F.array(*[spread[k].eqNullSafe(by_left[k]) for k in names]), F.lit(False))
     own = spread.join(by_left, (spread[_KEY] == by_left[_KEY]) & (spread[_BLOCK] == by_left[_BLOCK]) & alike, "left")
     per_block = own.select(*[spread[c] for c in others], spread[_BLOCK],
-                           F.pmod(spread[_KEY], F.lit(shares)).cast("int").alias(_SHARE), _CELLS)
-
-    def blank(c):
-        return F.struct(*[c[k].alias(k) for k in right], *empty)
-
-    out = F.when(F.col(_CELLS).isNull(), F.col(_ALL)).otherwise(
-        F.array_except(_ALL, F.transform(_CELLS, blank)))
-    fields = [*right, *(values or ())]
+                           F.coalesce(F.pmod(spread[_KEY], F.lit(shares)), F.lit(0)).cast("int").alias(_SHARE), _CELLS)
+
+    # What a row lacks is told by places in the list, what it has by negative ones in its cells: the tuples
+    # themselves are compared once for each cell and copied only into the rows they end in.
+    places = F.sequence(F.lit(1), F.size(_ALL))
+    held = F.transform(_CELLS, lambda c: F.array_position(
+        _ALL, F.struct(*[c[k].alias(k) for k in right])).cast("int"))
+    out = F.array_except(places, held)
     if values is not None:
-        out = F.when(F.col(_CELLS).isNull(), F.col(_ALL)).otherwise(F.concat(out, F.transform(
-            _CELLS, lambda c: F.struct(*[c[k].alias(k) for k in fields]))))
-    dense = per_block.join(listed, [_BLOCK, _SHARE]).select(*others, F.explode(out).alias(_ONE))
-    return dense.select(*others, *[F.col(f"{_ONE}.{c}").alias(c) for c in fields])
+        out = F.concat(out, F.sequence(-F.size(_CELLS), F.lit(-1)))
+    out = F.when(F.col(_CELLS).isNull(), places).otherwise(out)
+    # The places are a column of their own: inside the generator they would keep Spark from compiling the
+    # expansion. A plain explode would filter on their number first, and so compute them twice.
+    lacking = per_block.join(listed, [_BLOCK, _SHARE]).select(*others, _ALL, _CELLS, out.alias(_OUT))
+    dense = lacking.select(*others, _ALL, _CELLS, F.explode_outer(_OUT).alias(_ONE)).where(F.col(_ONE).isNotNull())
+    at, listed_at, cell_at = F.col(_ONE), F.get(_ALL, F.col(_ONE) - 1), F.get(_CELLS, -F.col(_ONE) - 1)
+    if values is None:
+        return dense.select(*others, *[listed_at[c].alias(c) for c in right])
+    return dense.select(
+        *others, *[F.when(at > 0, listed_at[c]).otherwise(cell_at[c]).alias(c) for c in right],
+        *[F.when(at < 0, cell_at[c]).alias(c) for c in values])
 
 
 def fill_missing(df: DataFrame, fill: Mapping[str, object]) -> DataFrame:

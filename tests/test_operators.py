@@ -228,6 +228,23 @@ def test_completion_reads_its_input_once(spark):
     assert "ReusedExchange" in final
 
 
+def test_completion_with_carried_columns_aggregates_its_input_once(spark, tmp_path):
+    """The blocks' shares once made one reader filter on a key that is never missing, so nothing was shared."""
+    maxn = spark.createDataFrame([("s1", "a", 1.0), ("s2", "b", 2.0), (None, "b", 3.0)], "s string, t string, n double")
+    maxn.write.parquet(str(tmp_path / "maxn"))
+    summed = spark.read.parquet(str(tmp_path / "maxn")).groupBy("s", "t").agg(F.sum("n").alias("n"))
+    place = spark.createDataFrame([("s1", "east"), ("s1", "west"), ("s2", "north")], "s string, place string")
+    out = R.complete_cells(summed, ["s"], ["t"], {"n": 0}, carry=place, wanted=F.col("t") != "c")
+    assert rows(out.select("s", "place", "t", "n")) == [
+        ("s1", "east", "a", 1.0), ("s1", "east", "b", 0.0), ("s1", "west", "a", 1.0), ("s1", "west", "b", 0.0),
+        ("s2", "north", "a", 0.0), ("s2", "north", "b", 2.0)]
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("FileScan parquet") == 1
+    expansions = [line for line in final.split("\n") if "Generate" in line and "__out" in line]
+    assert expansions and all("*(" in line and "array_except" not in line for line in expansions)
+
+
 @pytest.mark.parametrize("n,times", [(None, 0), (0.0, 0), (1.0, 1), (2.9, 2), (25001.0, 25001)])
 def test_uncount(spark, n, times):
     df = spark.createDataFrame([("k", n)], "k string, n double")
