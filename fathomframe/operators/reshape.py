@@ -76,7 +76,8 @@ def right_tuples(by_left: DataFrame, right: Sequence[str]) -> DataFrame:
 
 def expand_cells(by_left: DataFrame, lefts: DataFrame, left: Sequence[str], tuples: DataFrame,
                  right: Sequence[str], values: Sequence[str] | None = None,
-                 blocks: int = RIGHT_BLOCKS) -> DataFrame:
+                 blocks: int = RIGHT_BLOCKS, carry: DataFrame | None = None,
+                 carry_key: Sequence[str] = ()) -> DataFrame:
     """Rows for the ``right`` tuples each of ``lefts`` (see :func:`keyed`) lacks.
 
     With ``values`` the cells it has are returned as well, and new cells carry
@@ -113,7 +114,11 @@ def expand_cells(by_left: DataFrame, lefts: DataFrame, left: Sequence[str], tupl
     out = F.when(F.col(_CELLS).isNull(), places).otherwise(out)
     # The places are a column of their own: inside the generator they would keep Spark from compiling the
     # expansion. A plain explode would filter on their number first, and so compute them twice.
-    lacking = per_block.join(listed, [_BLOCK, _SHARE]).select(*others, _ALL, _CELLS, out.alias(_OUT))
+    lacking = per_block.join(listed, [_BLOCK, _SHARE]).select(
+        *others, _BLOCK, _SHARE, _ALL, _CELLS if values is not None else F.lit(None).alias(_CELLS), out.alias(_OUT))
+    if carry is not None:
+        others = [*carry_key, *[c for c in others if c not in carry_key], *[c for c in carry.columns if c not in carry_key]]
+        lacking = join_on(lacking.drop(_ALL), carry, carry_key, "inner", null_safe=()).join(listed, [_BLOCK, _SHARE])
     dense = lacking.select(*others, _ALL, _CELLS, F.explode_outer(_OUT).alias(_ONE)).where(F.col(_ONE).isNotNull())
     at, listed_at, cell_at = F.col(_ONE), F.get(_ALL, F.col(_ONE) - 1), F.get(_CELLS, -F.col(_ONE) - 1)
     if values is None:

@@ -190,21 +190,24 @@ def complete_mass(length: DataFrame, metadata: DataFrame, life_history: DataFram
     empty = join_on(metadata.select(*SAMPLE), pairs.select(*SAMPLE).distinct(), SAMPLE, "left_anti", null_safe=())
     taxa = pairs.select(*TAXON).distinct().unionByName(_no_taxon(empty))
     parameters = stored(mass_parameters(taxa, life_history), "mass-parameters")
-    few = parameters.count() <= MOST_PARAMETERS
     times = parameters.groupBy(*TAXON).agg(F.count(F.lit(1)).cast("int").alias("__times"))
+    rows, most = times.agg(F.coalesce(F.sum("__times"), F.lit(0)), F.coalesce(F.max("__times"), F.lit(0))).first()
+    few = rows <= MOST_PARAMETERS
     parameters, times = hinted(parameters, few), hinted(times, few)
     found = join_on(observed, parameters, TAXON)
     # a cell names how often its taxon is listed, so a missing one can be repeated after the expansion
     cells = cells_by_left(join_on(pairs, times, TAXON), SAMPLE, [*TAXON, "__times"])
-    samples = keyed(factors, SAMPLE)
+    samples, by_key = keyed(factors, SAMPLE), {}
     if key != list(SAMPLE):
         found = attach_metadata(found.select(*key, *TAXON, "length", "number", "range", "__a", "__b",
                                              "__all", "__bll"), factors, "inner", key)
         own = [c for c in samples.columns if c not in factors.columns]
-        samples = join_on(samples.select(*key, *own), factors, key, "inner", null_safe=())
+        samples, by_key = samples.select(*key, *own), {"carry": factors, "carry_key": key}
     rows = _weighed(fill_missing(found, {"number": 0})).drop("__a", "__b", "__all", "__bll")
-    missing = expand_cells(cells, samples, SAMPLE, times, [*TAXON, "__times"])
-    missing = uncount(missing.withColumn("number", F.lit(0.0)), "__times")
+    missing = expand_cells(cells, samples, SAMPLE, times, [*TAXON, "__times"], **by_key)
+    missing = missing.withColumn("number", F.lit(0.0))
+    # without a taxon listed twice no dense row need be repeated
+    missing = uncount(missing, "__times") if most > 1 else missing.drop("__times")
     rows = rows.unionByName(missing, allowMissingColumns=True)
     kept = [c for c in rows.columns if c not in MASS_COLUMNS]
     out = rows.select(*kept, *MASS_COLUMNS)
