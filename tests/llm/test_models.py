@@ -1,8 +1,10 @@
 """Tokens against the library, language and extraction on small tables, the pipeline against brute force."""
 
 import random
+import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -44,6 +46,51 @@ def test_encode_equals_the_library_and_decodes(frame, limit, hints):
         assert row.decoded == text.replace(tokens.SPACE, " ") == library.decode(list(row.ids))
 
 
+@pytest.mark.parametrize("limit", [tokens.DICTIONARY_BYTES, 0])
+def test_ids_and_decoded_text_come_from_one_python_node(frame, limit):
+    pieces, texts = tokens.Pieces.load(), odd_texts() + ["a ", "  ", "a  b c"]
+    df = frame([(i, t, "en", "s", "old") for i, t in enumerate(texts)], DOC)
+    out = tokens.encode(df, pieces, limit=limit, decoded="decoded")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not limit or plan.count("ArrowEvalPython") == 1
+    apart = {r.doc_id: (r.ids, r.decoded) for r in tokens.decode(tokens.encode(df, pieces), pieces).collect()}
+    assert {r.doc_id: (r.ids, r.decoded) for r in out.collect()} == apart
+
+
+def test_merges_of_many_words_equal_those_of_one():
+    r = random.Random(7)
+    pieces = tokens.Pieces.of(tokens.BPE, [("<unk>", 0.0, 2)] + [(p, -r.randrange(9), 1) for p in (
+        "a", "b", "ab", "ba", "aa", "aba", "abab", "bb", "abb")])
+    words = sorted({"".join(r.choice("abx") for _ in range(r.randrange(1, 30))) for _ in range(300)} | {"ab" * 30})
+    ranks = {s: i for i, s in enumerate(sorted(set(pieces.score.values()), reverse=True))}
+    offsets, edges = [0], []
+    for w in words:
+        for i in range(len(w)):
+            for n in range(1, len(w) - i + 1):
+                p = w[i : i + n]
+                if p in pieces.ids or n == 1:
+                    known = p in pieces.ids
+                    rank, at = (ranks[pieces.score[p]], pieces.ids[p]) if known else (tokens._NO_PIECE, tokens._NO_PIECE)
+                    edges.append(rank << 32 | i << 26 | n << 20 | at)
+        offsets.append(len(edges))
+    out = tokens.merged(pa.array(words), np.array(offsets), np.array(edges), pieces)
+    assert out.column(1).to_pylist() == [pieces.fold_long(w) for w in words]
+
+
+def test_stretches_cut_together_give_the_words_of_each():
+    cut = re.compile(tokens.CUTS[0])
+    for stretches in ([], ["▁a1", "▁b.c", "▁"], ["▁", "▁x"], ["▁▁a", ",", "b"], ["▁²½", "▁é", "▁\n"], ["▁"]):
+        words, n = tokens._cut_words(cut, stretches)
+        each = [cut.findall(x) for x in stretches]
+        assert words == [w for x in each for w in x] and n.tolist() == [len(x) for x in each]
+
+
+def test_stretches_are_the_escaped_text():
+    pieces = tokens.Pieces.load()
+    for text in odd_texts() + ["a b", "a b ", " a", "a  b", "a ▁b", "▁", "a▁b"]:
+        assert "".join(tokens.headed(pieces.stretches(text))) == pieces.escaped(text)
+
+
 def test_unigram_path_is_the_best(frame, hints):
     r = random.Random(5)
     rows = [("<unk>", 0.0, 2)] + [(p, -r.uniform(1, 9), 1) for p in ("▁", "a", "b", "c", "ab", "bc", "abc", "▁a", "▁ab", "ca", "cab")]
