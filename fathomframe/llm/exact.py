@@ -88,7 +88,9 @@ def unequal(docs: DataFrame, shared: DataFrame, text: str = "text") -> DataFrame
     small = few(shared)
     lengths = shared.select("n_bytes").distinct()
     rows = rows.join(F.broadcast(lengths) if small else lengths, "n_bytes", "left_semi")
-    marked = rows.withColumn("_h", F.pandas_udf(_whole_hash, PAIR)("_body")).select("n_bytes", F.col("_h.a").alias("fp_a"), F.col("_h.b").alias("fp_b"), "_body")
+    # told to be not deterministic, or the join's filter on nulls would hash each text a second time in a worker of its own
+    whole_hash = F.pandas_udf(_whole_hash, PAIR).asNondeterministic()
+    marked = rows.withColumn("_h", whole_hash("_body")).select("n_bytes", F.col("_h.a").alias("fp_a"), F.col("_h.b").alias("fp_b"), "_body")
     marked = marked.join(F.broadcast(shared.select(*FP)) if small else shared.select(*FP), FP, "left_semi")
     ends = chunked(marked, "_body").groupBy(*FP, "_at").agg(F.min("_chunk").alias("_lo"), F.max("_chunk").alias("_hi"))
     return ends.where("_lo <> _hi").select(*FP).distinct()

@@ -24,6 +24,8 @@ BLOCK = 512
 #: Keys of more members than CROWD are first met by members drawn from them, at most TURNS times and while a turn
 #: links one of WORTH members.
 CROWD, TURNS, WORTH = 8, 8, 50
+#: Word hashes that a task keeps between texts, and signatures whose keys leave it at a time.
+KNOWN_WORDS, KEYED_ROWS = 100_000, 1_000
 LAST = (1 << 63) - 1
 _RNG = np.random.default_rng(20)
 _XOR = _RNG.integers(0, 1 << 32, ELEMENTS, dtype=np.uint32)
@@ -42,7 +44,7 @@ class Shingler:
         words = (text or "").encode("utf-8", "surrogatepass").lower().split()
         if not words:
             return np.zeros(0, np.uint64)
-        if len(self.words) > 1_000_000:
+        if len(self.words) > KNOWN_WORDS:
             self.words.clear()
         known = self.words
         for w in set(words):
@@ -224,10 +226,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keys = [index_keys(np.frombuffer(s, np.uint16)) for s in batch["sig"]]
-            yield pd.DataFrame({
-                "key": np.concatenate(keys), "left_out": np.tile(np.arange(KEYED), len(keys)),
-                "vertex": np.repeat(batch["vertex"].to_numpy(), KEYED)})
+            for i in range(0, len(batch), KEYED_ROWS):
+                part = batch.iloc[i : i + KEYED_ROWS]
+                keys = [index_keys(np.frombuffer(s, np.uint16)) for s in part["sig"]]
+                yield pd.DataFrame({
+                    "key": np.concatenate(keys), "left_out": np.tile(np.arange(KEYED), len(keys)),
+                    "vertex": np.repeat(part["vertex"].to_numpy(), KEYED)})
 
     index = vertices.select("vertex", "sig").mapInPandas(keyed, "key long, left_out int, vertex long")
     leaders = index.groupBy("key").agg(F.min("vertex").alias("lead"), F.max("vertex").alias("_top"), F.count("*").alias("members"))

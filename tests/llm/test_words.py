@@ -5,9 +5,11 @@ import random
 import re
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
-from fathomframe.llm import exact, mixing, quality, urls
+from fathomframe.llm import common, exact, mixing, quality, urls
+from fathomframe.llm.common import written
 
 DOC = "doc_id long, text string, source string, kept string"
 
@@ -54,6 +56,26 @@ def _all_alike_whole(body):
     return pd.DataFrame({"a": [1] * len(body), "b": [1] * len(body)})
 
 
+def test_texts_are_hashed_once_in_a_task(frame):
+    docs = frame([(1, "same"), (2, "same"), (3, "other")], "doc_id long, text string")
+    marks = exact.fingerprints(docs)
+    shared = marks.groupBy(*exact.FP).count().where("count > 1").select(*exact.FP)
+    found = exact.unequal(docs, written(shared, "shared"))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert found.collect() == []
+
+
+def test_written_tables_leave_no_shuffle_files(frame, monkeypatch):
+    docs = frame([(i, "x") for i in range(9)], "doc_id long, text string")
+    held = docs.sparkSession.conf.get(common.CLEANUP, "false")
+    seen = []
+    kept = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (
+        seen.append(docs.sparkSession.conf.get(common.CLEANUP)), kept(self, *a, **k))[1])
+    assert written(docs.groupBy("text").count(), "counts").first()["count"] == 9
+    assert seen == ["true"] and docs.sparkSession.conf.get(common.CLEANUP, "false") == held
+
+
 def test_exact_empty_table(frame):
     assert exact.exact_duplicates(frame([], DOC)).collect() == []
 
