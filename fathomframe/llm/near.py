@@ -20,7 +20,10 @@ ELEMENTS, KEYED, CHUNKS = 128, 64, 12
 #: Largest numbers of differing elements: 5 and 4.75 standard deviations above the mean at similarity 0.85.
 KEYED_DISTANCE, DISTANCE = 23, 38
 ERRORS = KEYED_DISTANCE // CHUNKS
-BLOCK = 512
+#: Members of a key or a home that are met with as many others at a time, and shingles of a home.
+BLOCK, WHOLE = 512, 1_000_000
+#: Members of pairs of homes that a task gathers before it sends them once each.
+CELL_ROWS = 200_000
 #: Keys of more members than CROWD are first met by members drawn from them, at most TURNS times and while a turn
 #: links one of WORTH members.
 CROWD, TURNS, WORTH = 8, 8, 50
@@ -168,44 +171,108 @@ def _relabelled(member: DataFrame, labels: DataFrame) -> DataFrame:
     return member.drop("component").join(labels, "vertex", "left").withColumn("component", F.coalesce("component", "vertex"))
 
 
+def _homes(member: DataFrame) -> DataFrame:
+    """vertex, home: members whose largest key is the same share a home, of about BLOCK members or WHOLE shingles at most."""
+    own = member.groupBy("vertex").agg(F.max(F.struct("members", "key"))["key"].alias("key"), F.max("n").alias("n"))
+    many = own.groupBy("key").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / WHOLE)).alias("_m"))
+    home = F.xxhash64("key", F.pmod(F.xxhash64("vertex", F.lit("home")), F.col("_m")))
+    return own.join(many, "key").select("vertex", home.alias("home"))
+
+
 def _blocks(members: DataFrame) -> DataFrame:
     """Each member of a key once for each pair of blocks it takes part in: no task meets more than two blocks."""
     many = members.withColumn("_m", F.ceil(F.col("members") / BLOCK).cast("int"))
     own = F.pmod(F.xxhash64("vertex", F.lit("block")), F.col("_m")).cast("int")
     many = many.withColumn("_own", own)
     return many.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_m") - 1))).select(
-        "key", "left_out", "vertex", "component", "n", "lone", "sig", "_own",
+        "key", "left_out", "vertex", "component", "n", "lone", "sig", "home", "_own",
         F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"))
 
 
-def _close_pairs(batches: Iterator[pd.DataFrame], percent: int) -> Iterator[pd.DataFrame]:
-    """Pairs of different components in each pair of blocks that may be similar, each in its first key only."""
-    def pairs(g: pd.DataFrame) -> pd.DataFrame:
-        sig = np.frombuffer(b"".join(g["sig"]), np.uint16).reshape(len(g), ELEMENTS)
-        comp, n, lone, own, v = (g[x].to_numpy() for x in ("component", "n", "lone", "_own", "vertex"))
-        i, j = g["_i"].iloc[0], g["_j"].iloc[0]
-        found = []
-        for x in np.flatnonzero(own == i):
-            y = np.flatnonzero((own == j) & (comp != comp[x]) & ((v > v[x]) if i == j else True))
-            common = np.minimum(n[x] - lone[x], n[y] - lone[y])
-            y = y[common * 100 >= percent * (n[x] + n[y] - common)]
-            y = y[(sig[y] != sig[x]).sum(axis=1) <= DISTANCE]
-            y = y[first_key(np.broadcast_to(sig[x], (len(y), ELEMENTS)), sig[y]) == g["left_out"].iloc[0]]
-            if len(y):
-                found.append(np.stack([np.full(len(y), v[x]), v[y]], 1))
-        out = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": out.min(axis=1, initial=LAST), "b": out.max(axis=1, initial=0)})
-
+def _groups(batches: Iterator[pd.DataFrame], key: list[str]) -> Iterator[pd.DataFrame]:
+    """The rows of each key, which follow each other."""
     held: list[pd.DataFrame] = []
-    key = ["key", "_i", "_j"]
     for batch in batches:
         whole = pd.concat([*held, batch], ignore_index=True)
         last = (whole[key] == whole[key].iloc[-1]).all(axis=1)
         held = [whole[last]]
         for _, g in whole[~last].groupby(key, sort=False):
-            yield pairs(g)
-    for g in held:
-        yield pairs(g)
+            yield g
+    yield from held
+
+
+def _similar_signatures(g: pd.DataFrame, side: np.ndarray, i: int, j: int, percent: int) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+    """For each row x of side i the rows y of side j that may be similar, with the rows' components, which a caller may join."""
+    sig = np.frombuffer(b"".join(g["sig"]), np.uint16).reshape(len(g), ELEMENTS)
+    comp, n, lone, v = (g[x].to_numpy(copy=True) for x in ("component", "n", "lone", "vertex"))
+    for x in np.flatnonzero(side == i):
+        y = np.flatnonzero((side == j) & (comp != comp[x]) & ((v > v[x]) if i == j else True))
+        common = np.minimum(n[x] - lone[x], n[y] - lone[y])
+        y = y[common * 100 >= percent * (n[x] + n[y] - common)]
+        y = y[(sig[y] != sig[x]).sum(axis=1) <= DISTANCE]
+        if len(y):
+            yield comp, x, y
+
+
+def _cells(batches: Iterator[pd.DataFrame], percent: int) -> Iterator[pd.DataFrame]:
+    """lo, hi, vertex: pairs of homes, and those of their members that may be similar to one of the other home.
+
+    A pair counts in the first key that it shares.
+    """
+    def meeting(g: pd.DataFrame) -> pd.DataFrame:
+        home, v = g["home"].to_numpy(), g["vertex"].to_numpy()
+        sig = np.frombuffer(b"".join(g["sig"]), np.uint16).reshape(len(g), ELEMENTS)
+        found = [np.zeros((0, 3), np.int64)]
+        for _, x, y in _similar_signatures(g, g["_own"].to_numpy(), g["_i"].iloc[0], g["_j"].iloc[0], percent):
+            y = y[first_key(np.broadcast_to(sig[x], (len(y), ELEMENTS)), sig[y]) == g["left_out"].iloc[0]]
+            lo, hi = np.minimum(home[x], home[y]), np.maximum(home[x], home[y])
+            found += [np.stack([lo, hi, v[y]], 1), np.stack([lo, hi, np.full(len(y), v[x])], 1)]
+        return pd.DataFrame(np.concatenate(found), columns=["lo", "hi", "vertex"]).drop_duplicates()
+
+    out, rows = [], 0
+    for g in _groups(batches, ["key", "_i", "_j"]):
+        out.append(meeting(g))
+        rows += len(out[-1])
+        if rows >= CELL_ROWS:
+            yield pd.concat(out).drop_duplicates()
+            out, rows = [], 0
+    if rows:
+        yield pd.concat(out).drop_duplicates()
+
+
+def _links(batches: Iterator[pd.DataFrame], percent: int) -> Iterator[pd.DataFrame]:
+    """a, b: of the members of each pair of homes, as many similar pairs as join all components that such pairs join."""
+    for g in _groups(batches, ["lo", "hi"]):
+        v, n, home, found = g["vertex"].to_numpy(), g["n"].to_numpy(), g["home"].to_numpy(), []
+        ends = np.cumsum(n)
+        values, places = np.unique(np.concatenate(list(g["shingles"])), return_inverse=True)
+        own, held = np.split(places, ends[:-1]), np.zeros(len(values), bool)
+        for comp, x, near in _similar_signatures(g, home, g["lo"].iloc[0], g["hi"].iloc[0], percent):
+            held[own[x]] = True
+            for y in near:
+                if comp[y] != comp[x]:
+                    common = int(held[own[y]].sum())
+                    if 100 * common >= percent * (int(n[x]) + int(n[y]) - common):
+                        found.append((min(v[x], v[y]), max(v[x], v[y])))
+                        comp[comp == comp[y]] = comp[x]
+            held[own[x]] = False
+        yield pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["a", "b"])
+
+
+def _all_links(member: DataFrame, vertices: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """a, b: links that join all members of keys that similar pairs of them join.
+
+    Pairs are neither rows nor sent: keys tell which homes have members to be compared, and each such pair of homes
+    gets the sets of those members and compares them.
+    """
+    rows = member.select("vertex", "component", "n", "lone").distinct().join(vertices.select("vertex", "n", "sig"), ["vertex", "n"])
+    rows = written(rows.join(_homes(member), "vertex"), "homes")
+    blocks = _blocks(member.select("key", "left_out", "members", "vertex", "n").join(rows, ["vertex", "n"]))
+    dealt = blocks.repartition("key", "_i", "_j").sortWithinPartitions("key", "_i", "_j")
+    cells = written(dealt.mapInPandas(lambda x: _cells(x, percent), "lo long, hi long, vertex long").distinct(), "cells")
+    sets_of = full.select("vertex", F.size("shingles").cast("long").alias("n"), "shingles")
+    met = cells.join(rows, "vertex").join(sets_of, ["vertex", "n"]).repartition("lo", "hi").sortWithinPartitions("lo", "hi")
+    return met.mapInPandas(lambda x: _links(x, percent), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -218,7 +285,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Equal sets are one vertex from the start. Signatures meet on keys, each document of a key is first compared
     with the key's smallest. Where the counts of shingles found nowhere else leave similarity possible, large keys
     still apart are met by members drawn from them, turn after turn, so that a large group is joined by few links;
-    what is apart then is compared pair by pair, in blocks, in the first key that a pair shares.
+    what is apart then is compared in pairs of homes, to which keys bring their members that may be similar.
     """
     marks = written(sets(docs, doc_id, text, full=False), "signatures")
     vertices = written(marks.where("n > 0").groupBy("digest").agg(
@@ -263,10 +330,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 member = written(_apart(_relabelled(member, labels)), "possible")
             if linked * WORTH <= many:
                 break
-        blocks = _blocks(member.join(vertices.select("vertex", "sig"), "vertex"))
-        dealt = blocks.repartition("key", "_i", "_j").sortWithinPartitions("key", "_i", "_j")
-        close = dealt.mapInPandas(lambda x: _close_pairs(x, percent), "a long, b long").distinct()
-        more = written(_confirm(close, full, percent), "more-links")
+        more = written(_all_links(member, vertices, full, percent), "more-links")
         if not more.isEmpty():
             labels = _merged(labels, more)
     first = marks.where("n > 0").groupBy("digest").agg(F.min("vertex").alias("_first"))

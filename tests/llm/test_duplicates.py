@@ -90,6 +90,24 @@ def test_near_group_apart_after_its_leaders_is_joined_by_few_links(frame, monkey
     assert max(seen) < 4 * len(rows)
 
 
+@pytest.mark.parametrize("whole", [2000, 1_000_000])
+def test_near_group_of_many_unlinked_pairs_makes_no_row_of_each(frame, monkeypatch, whole):
+    monkeypatch.setattr(near, "WHOLE", whole, raising=False)
+    monkeypatch.setattr(near, "TURNS", 0)
+    r = random.Random(7)
+
+    def changed():
+        at = {16 * i + 4 for i in range(24) if r.random() < 0.5}
+        return " ".join(f"x{i}" if i in at else f"w{i}" for i in range(400))
+
+    rows = [(i, changed()) for i in range(240)]
+    seen, real = [], near._confirm
+    monkeypatch.setattr(near, "_confirm", lambda pairs, *more: (seen.append(pairs.count()), real(pairs, *more))[1])
+    got = near.near_duplicates(frame([(*x, "v", "c") for x in rows], DOC)).collect()
+    assert {x.doc_id: x.component_id for x in got} == brute_components(rows)
+    assert sum(seen) < 20 * len(rows)
+
+
 def test_near_empty_table(frame):
     assert near.near_duplicates(frame([], DOC)).collect() == []
 
